@@ -18,6 +18,11 @@ def _dbl(c) -> F.Column:
 
 
 def channel_revenue_ranking(fact: DataFrame) -> DataFrame:
+    """Q1 ordered by last-touch revenue (see :func:`channel_ranking_rows`)."""
+    return channel_ranking_rows(fact).orderBy(F.desc_nulls_last("last_touch_revenue"))
+
+
+def channel_ranking_rows(fact: DataFrame) -> DataFrame:
     """Q1: revenue per channel under last- and first-touch attribution, their
     difference, a rank per model and the share of the last-touch total.
 
@@ -41,7 +46,7 @@ def channel_revenue_ranking(fact: DataFrame) -> DataFrame:
         F.rank().over(everything.orderBy(F.desc_nulls_last("f_amt"))).cast("bigint").alias("first_touch_rank"),
         round_dp(safe_div(F.lit(100.0) * l_rev, _dbl(F.sum("l_amt").over(everything))), 1)
         .alias("pct_of_total_last_touch"),
-    ).orderBy(F.desc_nulls_last("last_touch_revenue"))
+    )
 
 
 def campaign_roi(roi: DataFrame) -> DataFrame:
@@ -65,6 +70,11 @@ def campaign_roi_coverage(roi: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def cac_by_channel_company(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Q3 ordered by company, then CAC with NULLs last."""
+    return cac_rows(fact, campaigns).orderBy(F.asc("company_id"), F.asc_nulls_last("cac"))
+
+
+def cac_rows(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Q3: spend / distinct customers per company x last-touch channel; NULL CAC
     where there is no spend.  Spend and customers are aggregated separately,
     then joined on the two keys, so budgets never fan out over revenue rows."""
@@ -80,10 +90,15 @@ def cac_by_channel_company(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
         F.when(sp.isNotNull() & (cust > 0), round_dp(safe_div(sp, cust), 2)).alias("cac"),
         round_dp(safe_div(rev, cust), 2).alias("revenue_per_customer"),
         F.when(sp > 0, round_dp(safe_div(rev, sp), 2)).alias("revenue_per_dollar_spent"),
-    ).orderBy(F.asc("company_id"), F.asc_nulls_last("cac"))
+    )
 
 
 def cohort_retention_by_channel(fact: DataFrame, max_index: int = 12) -> DataFrame:
+    """Q4 ordered by channel and month index."""
+    return retention_rows(fact, max_index).orderBy("channel", "month_index")
+
+
+def retention_rows(fact: DataFrame, max_index: int = 12) -> DataFrame:
     """Q4: distinct users active N month boundaries after their signup month,
     per last-touch channel, over the users active in month 0 of that channel.
 
@@ -99,8 +114,7 @@ def cohort_retention_by_channel(fact: DataFrame, max_index: int = 12) -> DataFra
     return (active.withColumn("cohort_users", cohort)
             .where(F.col("cohort_users").isNotNull())
             .select("channel", "month_index", "cohort_users", "active_users",
-                    round_dp(safe_div("active_users", "cohort_users"), 3).alias("retention_rate"))
-            .orderBy("channel", "month_index"))
+                    round_dp(safe_div("active_users", "cohort_users"), 3).alias("retention_rate")))
 
 
 def revenue_trend_by_channel(fact: DataFrame) -> DataFrame:

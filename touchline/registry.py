@@ -10,9 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.plans import analytics
+from touchline.operators import expectations as ex
+from touchline.operators import quality
+from touchline.plans import analytics, model_tests, report
 from touchline.plans.warehouse import Warehouse
 from touchline.sources import fixtures
+from touchline.sources.files import manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +30,68 @@ def _on(build: Callable[[Warehouse], DataFrame], **kw) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {
+def _model(name: str, **kw) -> Query:
+    return _on(lambda w: w.model(name), **kw)
+
+
+def _raw(build: Callable[[SparkSession, object], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(spark, fixtures.from_tpch(spark, sf_dir))
+    return run
+
+
+MODELS = [
+    "stg_campaign_metadata", "stg_content_performance", "stg_portfolio_revenue", "stg_user_signups",
+    "int_user_attribution", "int_user_revenue", "int_user_journey",
+    "fct_attributed_revenue", "fct_campaign_roi", "fct_content_performance",
+    "dim_channel", "dim_company", "dim_time", "dim_user_cohort",
+]
+
+QUERIES: dict[str, Query] = {name: _model(name) for name in MODELS}
+QUERIES.update({
+    # M8 both ways: plain (channel, company) equi join with a range residual,
+    # and month-bucketed windows (the scale path, used by the marts).
+    "int_campaign_attribution": _model("int_campaign_attribution", bucketed=False),
+    "int_campaign_attribution_bucketed": _model("int_campaign_attribution", bucketed=True),
+    # data quality (D1-D25) and ingest manifest (IO6)
+    "dq_report": _raw(lambda spark, raw: quality.dq_report(spark, raw)),
+    "dq_source_profile": _raw(lambda spark, raw: quality.source_profile(raw)),
+    "ingest_manifest": _raw(lambda spark, raw: manifest(raw)),
+    # declarative tests
+    "expect_not_null": _on(model_tests.not_null),
+    "expect_unique": _on(model_tests.unique),
+    "expect_accepted_values": _on(model_tests.accepted_values),
+    "expect_relationships": _on(model_tests.relationships),
+    # reconciliation tests
+    "reconcile_revenue_to_source": _on(
+        lambda w: ex.reconcile_revenue_to_source(w.fct_attributed_revenue, w.stg_portfolio_revenue)),
+    "reconcile_attributed_not_exceeds_total": _on(
+        lambda w: ex.reconcile_attributed_not_exceeds_total(w.fct_attributed_revenue, w.stg_portfolio_revenue)),
+    "reconcile_row_count": _on(
+        lambda w: ex.reconcile_row_count(w.fct_attributed_revenue, w.stg_portfolio_revenue)),
+    "reconcile_campaign_not_exceeds_total": _on(
+        lambda w: ex.reconcile_campaign_not_exceeds_total(w.int_campaign_attribution, w.stg_portfolio_revenue)),
+    # analysis queries (Q1-Q7)
     "channel_revenue_ranking": _on(lambda w: analytics.channel_revenue_ranking(w.fct_attributed_revenue)),
-}
+    "campaign_roi": _on(lambda w: analytics.campaign_roi(w.fct_campaign_roi)),
+    "campaign_roi_coverage": _on(
+        lambda w: analytics.campaign_roi_coverage(w.fct_campaign_roi, w.fct_attributed_revenue)),
+    "cac_by_channel_company": _on(
+        lambda w: analytics.cac_by_channel_company(w.fct_attributed_revenue, w.stg_campaign_metadata)),
+    "cohort_retention_by_channel": _on(lambda w: analytics.cohort_retention_by_channel(w.fct_attributed_revenue)),
+    "revenue_trend_by_channel": _on(lambda w: analytics.revenue_trend_by_channel(w.fct_attributed_revenue)),
+    "forecast_by_company": _on(lambda w: analytics.forecast_by_company(w.fct_attributed_revenue)),
+    "channel_revenue_totals": _on(lambda w: analytics.channel_revenue_totals(w.fct_attributed_revenue)),
+    # dashboard / one-pager aggregates
+    "channel_view": _on(lambda w: report.channel_view(w.fct_attributed_revenue, w.dim_channel)),
+    "channel_type_split": _on(lambda w: report.channel_type_split(w.fct_attributed_revenue, w.dim_channel)),
+    "monthly_revenue": _on(lambda w: report.monthly_revenue(w.fct_attributed_revenue)),
+    "company_cac": _on(lambda w: report.company_cac(w.fct_attributed_revenue, w.stg_campaign_metadata)),
+    "spend_verdict": _on(lambda w: report.spend_verdict(w.fct_attributed_revenue, w.stg_campaign_metadata)),
+    "top_campaigns": _on(lambda w: report.top_campaigns(w.fct_campaign_roi)),
+    "pooled_retention": _on(lambda w: report.pooled_retention(w.fct_attributed_revenue)),
+    "quality_label_counts": _on(lambda w: report.quality_label_counts(w.int_user_attribution)),
+    "company_revenue": _on(lambda w: report.company_revenue(w.fct_attributed_revenue, w.dim_company)),
+    "top_channel_share": _on(lambda w: report.top_channel_share(w.fct_attributed_revenue)),
+    "active_months_by_channel": _on(lambda w: report.active_months_by_channel(w.int_user_journey)),
+})
