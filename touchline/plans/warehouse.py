@@ -20,8 +20,8 @@ from touchline.plans import intermediate, marts, staging
 from touchline.sources.tables import RawTables
 
 MATERIALIZED = (
-    "stg_campaign_metadata", "stg_content_performance",
-    "int_user_attribution", "int_user_journey", "int_campaign_attribution",
+    "stg_campaign_metadata", "stg_content_performance", "stg_portfolio_revenue",
+    "int_user_attribution", "int_user_revenue", "int_user_journey", "int_campaign_attribution",
     "fct_attributed_revenue", "fct_campaign_roi", "fct_content_performance",
     "dim_time", "dim_user_cohort",
 )
@@ -129,20 +129,24 @@ class Warehouse:
     # -- materialisation ---------------------------------------------------
     def materialize(self, root: str | None = None, names=MATERIALIZED,
                     partition_fact_by_month: bool = False) -> Warehouse:
-        """Write ``names`` as Parquet tables and return a warehouse reading them.
-
-        ``root`` defaults to a fresh folder under ``spark.checkpoint.dir`` (shared
-        storage on a cluster, so a lost executor never loses a finished table).
+        """Write ``names`` (in dependency order) as Parquet tables and return a
+        warehouse reading them.
+
+        Each written table replaces its model before the next one is planned,
+        so a dependent model is computed from the stored table instead of
+        re-running its upstream lineage.  ``root`` defaults to a fresh folder
+        under ``spark.checkpoint.dir`` (shared storage on a cluster, so a lost
+        executor never loses a finished table).
         """
         root = root or os.path.join(shared_dir(self.spark), "touchline", uuid.uuid4().hex)
-        written: dict[str, DataFrame] = {}
+        w: Warehouse = self
         for name in names:
             path = os.path.join(root, name)
-            w = self.model(name).write.mode("overwrite")
+            writer = w.model(name).write.mode("overwrite")
             if partition_fact_by_month and name == "fct_attributed_revenue":
-                w = w.partitionBy("revenue_month_str")
-            w.parquet(path)
-            written[name] = self.spark.read.parquet(path)
-        return Warehouse(self.spark, self.raw, bucketed=self.bucketed,
-                         max_broadcast_rows=self.max_broadcast_rows,
-                         overrides={**self._overrides, **written})
+                writer = writer.partitionBy("revenue_month_str")
+            writer.parquet(path)
+            w = Warehouse(self.spark, self.raw, bucketed=self.bucketed,
+                          max_broadcast_rows=self.max_broadcast_rows,
+                          overrides={**w._overrides, name: self.spark.read.parquet(path)})
+        return w
