@@ -54,51 +54,53 @@ RECONCILIATION_TOLERANCE = 0.01
 DATE_RANGE = ("2024-01-01", "2025-06-30")
 
 # ---------------------------------------------------------------------------
-# Source schemas
+# Source schemas.  Every field is nullable: the raw layer is a faithful copy
+# of dirty sources and the checks count the NULLs (file readers make fields
+# nullable anyway); the not-null expectations are tests, not reader rules.
 # ---------------------------------------------------------------------------
 CAMPAIGN_METADATA = T.StructType([
-    T.StructField("campaign_id", T.StringType(), False),
-    T.StructField("campaign_name", T.StringType(), False),
-    T.StructField("channel", T.StringType(), False),
-    T.StructField("target_company", T.StringType(), False),
-    T.StructField("budget", T.IntegerType(), False),
-    T.StructField("start_date", T.DateType(), False),
-    T.StructField("end_date", T.DateType(), False),
-    T.StructField("utm_campaign", T.StringType(), False),
+    T.StructField("campaign_id", T.StringType(), True),
+    T.StructField("campaign_name", T.StringType(), True),
+    T.StructField("channel", T.StringType(), True),
+    T.StructField("target_company", T.StringType(), True),
+    T.StructField("budget", T.IntegerType(), True),
+    T.StructField("start_date", T.DateType(), True),
+    T.StructField("end_date", T.DateType(), True),
+    T.StructField("utm_campaign", T.StringType(), True),
 ])
 
 CONTENT_PERFORMANCE = T.StructType([
-    T.StructField("content_id", T.StringType(), False),
-    T.StructField("title", T.StringType(), False),
-    T.StructField("channel", T.StringType(), False),
-    T.StructField("publish_date", T.DateType(), False),
-    T.StructField("views", T.LongType(), False),
-    T.StructField("clicks", T.LongType(), False),
+    T.StructField("content_id", T.StringType(), True),
+    T.StructField("title", T.StringType(), True),
+    T.StructField("channel", T.StringType(), True),
+    T.StructField("publish_date", T.DateType(), True),
+    T.StructField("views", T.LongType(), True),
+    T.StructField("clicks", T.LongType(), True),
     T.StructField("utm_source", T.StringType(), True),
-    T.StructField("utm_medium", T.StringType(), False),
+    T.StructField("utm_medium", T.StringType(), True),
     T.StructField("utm_campaign", T.StringType(), True),
 ])
 
 USER_SIGNUPS = T.StructType([
-    T.StructField("user_id", T.StringType(), False),
-    T.StructField("signup_date", T.DateType(), False),
-    T.StructField("company_id", T.StringType(), False),
-    T.StructField("first_touch_channel", T.StringType(), False),
-    T.StructField("last_touch_channel", T.StringType(), False),
+    T.StructField("user_id", T.StringType(), True),
+    T.StructField("signup_date", T.DateType(), True),
+    T.StructField("company_id", T.StringType(), True),
+    T.StructField("first_touch_channel", T.StringType(), True),
+    T.StructField("last_touch_channel", T.StringType(), True),
     T.StructField("first_touch_content_id", T.StringType(), True),
     T.StructField("last_touch_content_id", T.StringType(), True),
     T.StructField("utm_source", T.StringType(), True),
-    T.StructField("utm_medium", T.StringType(), False),
+    T.StructField("utm_medium", T.StringType(), True),
     T.StructField("utm_campaign", T.StringType(), True),
     T.StructField("referral_source", T.StringType(), True),
 ])
 
 PORTFOLIO_REVENUE = T.StructType([
-    T.StructField("user_id", T.StringType(), False),
-    T.StructField("company_id", T.StringType(), False),
-    T.StructField("revenue_month", T.StringType(), False),
-    T.StructField("revenue_amount", T.DoubleType(), False),
-    T.StructField("revenue_type", T.StringType(), False),
+    T.StructField("user_id", T.StringType(), True),
+    T.StructField("company_id", T.StringType(), True),
+    T.StructField("revenue_month", T.StringType(), True),
+    T.StructField("revenue_amount", T.DoubleType(), True),
+    T.StructField("revenue_type", T.StringType(), True),
 ])
 
 # Registry: logical raw table -> (canonical file name, schema).
