@@ -2,8 +2,8 @@
 
 The 21 checks run on the raw tables (before normalisation).  Instead of one
 query per check, all single-table checks of a table fold into one aggregate
-(one scan per table), the two content-id checks share one anti join, the two
-campaign-tag checks share one join, and the orphan-revenue and
+(one scan per table), the two content-id checks share one anti join, the
+orphan-tag and the two campaign-tag checks share one join, and the orphan-revenue and
 revenue-before-signup checks share one revenue -> signups join.  The per-table
 results are unpivoted into long rows and unioned (no driver round trip).
 """
@@ -100,20 +100,26 @@ def check_counts(raw: RawTables, date_range: tuple[str, str] = schemas.DATE_RANG
                        .agg(F.count_if(F.col("touch") == "first").alias("ri_first_content_missing"),
                             F.count_if(F.col("touch") == "last").alias("ri_last_content_missing")))
 
-    # NOT IN (subquery) semantics.
-    user_orphans = null_aware_anti_count(u, k, "utm_campaign", "utm_campaign") \
-        .withColumnRenamed("n", "ri_user_campaign_fk_orphan")
+    # NOT IN (subquery) semantics over content tags.
     content_orphans = null_aware_anti_count(c.where(F.col("utm_campaign") != ""), k,
                                             "utm_campaign", "utm_campaign") \
         .withColumnRenamed("n", "ri_content_campaign_fk_orphan")
 
-    # D16 + D17: one join of tagged users to their campaign.
+    # D5 + D16 + D17: one LEFT join of users to the campaign of their tag.  A
+    # tagged user without a partner is an orphan (D5), unless the campaign tags
+    # contain a NULL, which makes NOT IN never TRUE.
     tags = k.select(F.col("utm_campaign").alias("__tag"), F.col("channel").alias("__cch"),
                     F.col("target_company").alias("__cco"))
+    tag_has_null = k.agg(F.max(F.col("utm_campaign").isNull().cast("int"))).scalar()
     tags, _ = bounded_broadcast(tags, max_broadcast_rows)
-    tagged = (u.join(tags, u["utm_campaign"] == tags["__tag"], "inner")
-              .agg(F.count_if((F.col("__cch") != first) & (F.col("__cch") != last)).alias("campaign_channel_mismatch"),
-                   F.count_if(F.col("__cco") != F.col("company_id")).alias("campaign_company_mismatch")))
+    tagged = (u.join(tags, u["utm_campaign"] == tags["__tag"], "left")
+              .agg(F.count_if(F.col("utm_campaign").isNotNull() & F.col("__tag").isNull())
+                   .alias("ri_user_campaign_fk_orphan"),
+                   F.count_if((F.col("__cch") != first) & (F.col("__cch") != last)).alias("campaign_channel_mismatch"),
+                   F.count_if(F.col("__cco") != F.col("company_id")).alias("campaign_company_mismatch"))
+              .withColumn("ri_user_campaign_fk_orphan",
+                          F.when(F.coalesce(tag_has_null, F.lit(0)) == 1, F.lit(0).cast("bigint"))
+                          .otherwise(F.col("ri_user_campaign_fk_orphan"))))
 
     # D1 + D19: one revenue -> signups join (left: unmatched rows are D1).
     su = u.select(F.col("user_id").alias("__uid"), F.date_format("signup_date", "yyyy-MM").alias("__smonth"))
@@ -123,7 +129,7 @@ def check_counts(raw: RawTables, date_range: tuple[str, str] = schemas.DATE_RANG
                 .alias("revenue_before_signup")))
 
     out = None
-    for wide in (rev, missing_content, users, user_orphans, content_orphans, content, tagged, campaigns):
+    for wide in (rev, missing_content, users, content_orphans, content, tagged, campaigns):
         part = _long(wide)
         out = part if out is None else out.unionByName(part)
     return out
