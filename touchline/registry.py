@@ -6,6 +6,7 @@ returns the lazily planned DataFrame of one model, check, test or query.
 """
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,21 @@ from touchline.sources.files import manifest
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+
+
 def warehouse(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
-    return Warehouse(spark, fixtures.from_tpch(spark, sf_dir), **kw)
+    """The model graph over ``sf_dir`` for this session.
+
+    DataFrames are immutable lazy plans, so one graph per (application, tables
+    folder, options) is reused by every query of the session: the plans and the
+    size-checked join decisions are built once, while each query still reads
+    the tables and executes in full (nothing is cached).
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), tuple(sorted(kw.items())))
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse(spark, fixtures.from_tpch(spark, sf_dir), **kw)
+    return _WAREHOUSES[key]
 
 
 def _on(build: Callable[[Warehouse], DataFrame], **kw) -> Query:
@@ -36,7 +50,7 @@ def _model(name: str, **kw) -> Query:
 
 def _raw(build: Callable[[SparkSession, object], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(spark, fixtures.from_tpch(spark, sf_dir))
+        return build(spark, warehouse(spark, sf_dir).raw)
     return run
 
 
