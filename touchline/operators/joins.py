@@ -1,9 +1,11 @@
 """Join operators with explicit, size-checked physical choices.
 
 * :func:`bounded_broadcast` broadcasts a side only after proving it has at
-  most ``max_rows`` rows (a ``limit(max_rows + 1).count()`` probe, which reads
-  no more than that many rows); beyond the bound the caller's shuffle path is
-  used instead.
+  most ``max_rows`` rows (an exact ``limit(max_rows + 1).count()`` probe: every
+  input split stops after max_rows + 1 rows, so a large side costs at most one
+  partial scan); beyond the bound the caller's shuffle path is used instead.
+  The sides we probe are narrow (at most seven short columns), so the row
+  bound is also a memory bound.
 * :func:`interval_join` is the campaign-window join: equality on some keys
   plus ``point BETWEEN lo AND hi``.  The windows are bucketed by month so the
   equality part is selective, and the point side is salted on the non-broadcast
@@ -19,12 +21,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Largest side (rows of at most seven short columns) we ship to every executor.
+DEFAULT_BROADCAST_ROWS = 500_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    """True when ``df`` has at most ``max_rows`` rows (exact).  Each input split
+    is read only up to ``max_rows + 1`` rows (LocalLimit) before the global count."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
