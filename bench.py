@@ -3,8 +3,10 @@
 Prints ONE JSON line:
   {"metric": "headline_total", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
-Each headline query is planned from the driver's parquet tables and executed
-to completion through the ``noop`` sink (full execution, nothing collected).
+First the raw layer is derived from the driver's parquet tables and landed as
+Parquet (``ingest_raw_layer``, timed and counted in the total), then each
+headline query is planned over it and executed to completion through the
+``noop`` sink (full execution, nothing collected).
 ``pipeline_end_to_end`` additionally runs the batch the way a deployment would:
 raw layer landed as Parquet, marts materialised once (under
 ``spark.checkpoint.dir``), then the seven analysis result sets read from them.
@@ -25,7 +27,7 @@ from touchline.plans import analytics  # noqa: E402
 from touchline.plans.warehouse import Warehouse, shared_dir  # noqa: E402
 from touchline.sources import fixtures  # noqa: E402
 from touchline.sources.files import ingest  # noqa: E402
-from touchline.registry import QUERIES  # noqa: E402
+from touchline.registry import QUERIES, raw_layer  # noqa: E402
 from touchline.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -67,6 +69,11 @@ def main() -> None:
     run(QUERIES["channel_revenue_ranking"](spark, "/root/testdata/sf0.001"))
 
     times: dict[str, float] = {}
+    # Ingest: derive the four raw tables from the driver's tables and land them
+    # as Parquet (timed, part of the total); the headline queries read them.
+    t = time.perf_counter()
+    raw_layer(spark, sf_dir)
+    times["ingest_raw_layer"] = round(time.perf_counter() - t, 3)
     for name in HEADLINE:
         t = time.perf_counter()
         run(QUERIES[name](spark, sf_dir))
@@ -78,7 +85,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total",
-        "value": round(sum(v for k, v in times.items() if k in HEADLINE), 3),
+        "value": round(sum(v for k, v in times.items() if k in HEADLINE or k == "ingest_raw_layer"), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
