@@ -85,3 +85,15 @@ def test_ingest_lands_parquet_and_results_sink(spark, source_dir):
     assert len(parts) == 1
     with open(os.path.join(csv_dir, parts[0])) as f:
         assert f.readline().startswith("user_id,company_id,revenue_month")
+
+
+def test_end_to_end_run_from_files(spark, source_dir):
+    from touchline.run import run
+    out = tempfile.mkdtemp(prefix="touchline-run-")
+    w = run(spark, source_dir, out)
+    assert w.fct_attributed_revenue.count() == 2
+    assert sorted(os.listdir(os.path.join(out, "results"))) == sorted([
+        "cac_by_channel_company", "campaign_roi", "campaign_roi_coverage", "channel_revenue_ranking",
+        "cohort_retention_by_channel", "forecast_3mo_by_company", "revenue_trend_by_channel"])
+    rep = spark.read.parquet(os.path.join(out, "raw", "data_quality_report"))
+    assert rep.count() == 21
