@@ -45,3 +45,16 @@ def test_materialize_cuts_lineage(spark):
     text = plan_text(w.fct_attributed_revenue)
     assert "orders" not in text.lower() or "fct_attributed_revenue" in text
     assert w.fct_attributed_revenue.count() == warehouse(spark, SF_SMALL).fct_attributed_revenue.count()
+
+
+def test_lookup_reduction_paths_agree(spark):
+    # 0: no broadcast at all; 100: campaigns too big, reduced-to-user-tags side broadcast
+    base = sorted(warehouse(spark, SF_SMALL).int_user_attribution.collect())
+    for bound in (0, 100):
+        w = warehouse(spark, SF_SMALL, max_broadcast_rows=bound)
+        assert sorted(w.int_user_attribution.collect()) == base, bound
+    from touchline.operators.joins import broadcast_lookup
+    w = warehouse(spark, SF_SMALL)
+    tags = w.stg_campaign_metadata.select("utm_campaign")
+    side, small = broadcast_lookup(tags, w.stg_user_signups, "utm_campaign", "utm_campaign", max_rows=100)
+    assert small and side.count() == 30  # 200 campaigns, 30 distinct user tags

@@ -39,6 +39,26 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return df, False
 
 
+def broadcast_lookup(lookup: DataFrame, probe: DataFrame, lookup_key: str, probe_key: str,
+                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Prepare the lookup side of a many-to-one join on ``probe_key == lookup_key``.
+
+    1. Broadcast it if it is provably small.
+    2. Otherwise keep only lookup rows whose key occurs in the probe (semi join
+       against the probe's distinct keys, combined map-side) and broadcast that
+       if it is provably small: tag-like keys have few distinct values even when
+       the lookup table is huge.
+    3. Otherwise return the reduced side for a shuffle join; AQE splits a hot
+       key's partition on the probe side.
+    """
+    side, small = bounded_broadcast(lookup, max_rows)
+    if small:
+        return side, True
+    keys = probe.select(F.col(probe_key).alias("__pk")).where(F.col("__pk").isNotNull()).distinct()
+    reduced = lookup.join(keys, lookup[lookup_key] == keys["__pk"], "left_semi")
+    return bounded_broadcast(reduced, max_rows)
+
+
 def literal_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a relation whose size is fixed by construction (inline literals)."""
     return F.broadcast(df)

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.exprs import is_in, money_mean, money_sum, round_dp
-from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, interval_join
+from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_lookup, interval_join
 from touchline.sources import schemas
 
 
@@ -22,15 +22,16 @@ def int_user_attribution(signups: DataFrame, campaigns: DataFrame,
                          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """M5: users LEFT JOIN campaigns on the (exact-case) utm_campaign tag.
 
-    The campaign side is broadcast when provably small; otherwise a shuffle
-    join on the tag (AQE splits a hot tag's partition on the user side).
+    The campaign side is broadcast when provably small, else reduced to the
+    tags that occur among the users and broadcast if that is small, else
+    joined by a shuffle on the tag (see :func:`broadcast_lookup`).
     """
     tags = campaigns.select(
         F.col("utm_campaign").alias("__tag"),
         F.col("channel").alias("campaign_channel"),
         F.col("company_id").alias("campaign_company"),
     )
-    tags, _ = bounded_broadcast(tags, max_broadcast_rows)
+    tags, _ = broadcast_lookup(tags, signups, "__tag", "utm_campaign", max_broadcast_rows)
     j = signups.join(tags, signups["utm_campaign"] == tags["__tag"], "left")
     trust = (F.col("utm_campaign").isNotNull()
              & is_in("campaign_channel", "first_touch_channel", "last_touch_channel")
