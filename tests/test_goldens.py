@@ -117,3 +117,26 @@ def test_retention_rate_replay(spark):
         rows += [(f"u{k}", "CTC-001", month, 1.0, "blog", "blog", D("2024-01-01")) for k in range(active)]
     out = analytics.cohort_retention_by_channel(spark.createDataFrame(rows, FACT_SCHEMA)).collect()
     assert [(r["cohort_users"], r["active_users"], r["retention_rate"]) for r in out] == golden
+
+
+# per channel: cohort users (month 0), active at month 1, active at month 12
+RETENTION_COUNTS = {"blog": (728, 442, 51), "instagram": (923, 568, 86), "newsletter": (677, 396, 52),
+                    "organic": (636, 390, 48), "podcast": (728, 422, 54), "referral": (629, 398, 60),
+                    "twitter": (817, 474, 56), "youtube": (1032, 611, 77)}
+DASHBOARD_POOLED = {0: 1.0, 1: 0.6, 12: 0.078}
+
+
+def test_pooled_retention_replay(spark):
+    from touchline.plans import report
+    rows = []
+    for ch, (cohort, m1, m12) in RETENTION_COUNTS.items():
+        for k in range(cohort):
+            uid = f"{ch}-{k}"
+            rows.append((uid, "CTC-001", D("2024-01-01"), 1.0, ch, ch, D("2024-01-01")))
+            if k < m1:
+                rows.append((uid, "CTC-001", D("2024-02-01"), 1.0, ch, ch, D("2024-01-01")))
+            if k < m12:
+                rows.append((uid, "CTC-001", D("2025-01-01"), 1.0, ch, ch, D("2024-01-01")))
+    out = {r["month_index"]: r for r in report.pooled_retention(spark.createDataFrame(rows, FACT_SCHEMA)).collect()}
+    assert {k: out[k]["retention_rate"] for k in DASHBOARD_POOLED} == DASHBOARD_POOLED
+    assert out[0]["cohort_users"] == 6170
