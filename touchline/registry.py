@@ -91,6 +91,8 @@ QUERIES.update({
     # data quality (D1-D25) and ingest manifest (IO6)
     "dq_report": _raw(lambda spark, raw: quality.dq_report(spark, raw)),
     "dq_source_profile": _raw(lambda spark, raw: quality.source_profile(raw)),
+    "dq_anchors": _raw(lambda spark, raw: quality.anchors(raw)),
+    "dq_gate_failures": _raw(lambda spark, raw: quality.gate_failures(quality.dq_report(spark, raw))),
     "ingest_manifest": _raw(lambda spark, raw: manifest(raw)),
     # declarative tests
     "expect_not_null": _on(model_tests.not_null),

@@ -14,7 +14,7 @@ from touchline.sources import schemas
 from touchline.sources.tables import RawTables
 
 
-def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in order, cast to the declared types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
@@ -38,7 +38,7 @@ def read_source(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
         df = reader.option("mode", "FAILFAST").json(path)
     else:
         df = spark.read.parquet(path)
-    return _conform(df, schema)
+    return conform(df, schema)
 
 
 def missing_sources(data_dir: str, names: dict[str, str] | None = None) -> list[str]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.exprs import month_start, month_str, pick
 from touchline.sources import schemas
-from touchline.sources.files import _conform
+from touchline.sources.files import conform
 from touchline.sources.tables import RawTables
 
 # Fixed values of the adapter rules (FIXTURES.md section 2).
@@ -46,7 +46,7 @@ def campaigns_from_parts(part: DataFrame) -> DataFrame:
         _days_after(EPOCH, p * 5 + 120 + (p % 5) * 60).alias("end_date"),
         tag.alias("utm_campaign"),
     )
-    return _conform(df, schemas.CAMPAIGN_METADATA)
+    return conform(df, schemas.CAMPAIGN_METADATA)
 
 
 def content_from_parts(part: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def content_from_parts(part: DataFrame) -> DataFrame:
         F.when(p % 20 < 9, F.lit(None).cast("string"))
          .otherwise(F.format_string("cmp_%03d", p % 30 + 1)).alias("utm_campaign"),
     )
-    return _conform(df, schemas.CONTENT_PERFORMANCE)
+    return conform(df, schemas.CONTENT_PERFORMANCE)
 
 
 def _customer_months(orders: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def signups_from_customers(customer: DataFrame, firsts: DataFrame) -> DataFrame:
               F.when((f == 7) | (l_idx == 7), F.lit("partner_site"))
                .when(k % 17 == 5, F.lit("reddit")).alias("referral_source"),
           ))
-    return _conform(df, schemas.USER_SIGNUPS)
+    return conform(df, schemas.USER_SIGNUPS)
 
 
 def revenue_from_orders(months: DataFrame, firsts: DataFrame, customer: DataFrame) -> DataFrame:
@@ -121,7 +121,7 @@ def revenue_from_orders(months: DataFrame, firsts: DataFrame, customer: DataFram
               F.col("amount").alias("revenue_amount"),
               F.when(one_time, F.lit("one_time")).otherwise(F.lit("recurring")).alias("revenue_type"),
           ))
-    return _conform(df, schemas.PORTFOLIO_REVENUE)
+    return conform(df, schemas.PORTFOLIO_REVENUE)
 
 
 def from_tpch(spark: SparkSession, sf_dir: str) -> RawTables:

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline.plans.warehouse import shared_dir
 from touchline.sources import schemas
-from touchline.sources.files import _conform
+from touchline.sources.files import conform
 
 
 def read_stream(spark: SparkSession, name: str, directory: str, fmt: str | None = None,
@@ -37,7 +37,7 @@ def read_stream(spark: SparkSession, name: str, directory: str, fmt: str | None
         reader = reader.option("multiLine", True)  # each file is one JSON array
     elif fmt == "jsonl":
         fmt = "json"
-    return _conform(reader.format(fmt).load(directory), schema)
+    return conform(reader.format(fmt).load(directory), schema)
 
 
 def land(stream: DataFrame, table_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
