@@ -8,8 +8,10 @@ Parquet (``ingest_raw_layer``, timed and counted in the total), then each
 headline query is planned over it and executed to completion through the
 ``noop`` sink (full execution, nothing collected).
 ``pipeline_end_to_end`` additionally runs the batch the way a deployment would:
-raw layer landed as Parquet, marts materialised once (under
-``spark.checkpoint.dir``), then the seven analysis result sets read from them.
+raw layer landed as Parquet with users and revenue bucketed by user_id, marts
+materialised once (under ``spark.checkpoint.dir``, user-keyed ones bucketed
+the same way, so the user_id joins run without shuffles), then the seven
+analysis result sets read from them.
 """
 from __future__ import annotations
 
@@ -50,8 +52,11 @@ def run(df) -> None:
 
 def pipeline(spark, sf_dir: str) -> None:
     root = os.path.join(shared_dir(spark), "touchline-bench", uuid.uuid4().hex)
-    raw, _ = ingest(spark, fixtures.from_tpch(spark, sf_dir), os.path.join(root, "raw"))
-    w = Warehouse(spark, raw).materialize(os.path.join(root, "marts"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    raw, _ = ingest(spark, fixtures.from_tpch(spark, sf_dir), os.path.join(root, "raw"), bucket_users=buckets,
+                    database="bench_raw_" + uuid.uuid4().hex[:8])
+    w = Warehouse(spark, raw).materialize(os.path.join(root, "marts"), bucket_users=buckets,
+                                          database="bench_marts_" + uuid.uuid4().hex[:8])
     fact, roi = w.fct_attributed_revenue, w.fct_campaign_roi
     for df in (analytics.channel_revenue_ranking(fact), analytics.campaign_roi(roi),
                analytics.campaign_roi_coverage(roi, fact),

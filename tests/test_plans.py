@@ -58,3 +58,26 @@ def test_lookup_reduction_paths_agree(spark):
     tags = w.stg_campaign_metadata.select("utm_campaign")
     side, small = broadcast_lookup(tags, w.stg_user_signups, "utm_campaign", "utm_campaign", max_rows=100)
     assert small and side.count() == 30  # 200 campaigns, 30 distinct user tags
+
+
+def test_bucketed_layout_removes_user_id_shuffles(spark):
+    import re
+    import tempfile
+
+    from touchline.plans.warehouse import Warehouse
+    from touchline.sources import fixtures
+    from touchline.sources.files import ingest
+    raw, _ = ingest(spark, fixtures.from_tpch(spark, SF_SMALL), tempfile.mkdtemp(prefix="tl-bkt-"),
+                    bucket_users=4, database="t_raw_bkt")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = Warehouse(spark, raw)
+        for model in ("fct_attributed_revenue", "int_user_journey"):
+            text = plan_text(w.model(model))
+            assert not re.search(r"Exchange hashpartitioning\(user_id", text), model
+        m = w.materialize(tempfile.mkdtemp(prefix="tl-bkt-m-"), bucket_users=4, database="t_marts_bkt")
+        base = warehouse(spark, SF_SMALL)
+        assert sorted(m.fct_attributed_revenue.collect()) == sorted(base.fct_attributed_revenue.collect())
+        assert sorted(m.int_campaign_attribution.collect()) == sorted(base.int_campaign_attribution.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -96,12 +96,39 @@ def write_table(df: DataFrame, path: str, partition_by: Iterable[str] | None = N
     w.parquet(path)
 
 
-def ingest(spark: SparkSession, raw: RawTables, out_dir: str) -> tuple[RawTables, DataFrame]:
+USER_KEYED = ("raw_user_signups", "raw_portfolio_revenue")
+
+
+def write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, key: str,
+                   buckets: int) -> DataFrame:
+    """Write ``df`` as a Parquet table bucketed and sorted by ``key`` at ``path``
+    (registered in the session catalog as ``table``) and return it read back
+    through the catalog, so joins on ``key`` between tables with the same bucket
+    count need no shuffle."""
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
+def ingest(spark: SparkSession, raw: RawTables, out_dir: str, bucket_users: int | None = None,
+           database: str = "touchline_raw") -> tuple[RawTables, DataFrame]:
     """Land the raw layer as Parquet under ``out_dir`` and return the re-read
-    tables plus the ingest manifest computed from the landed files."""
+    tables plus the ingest manifest computed from the landed files.
+
+    With ``bucket_users=N`` the two user-keyed tables (signups, revenue) are
+    landed bucketed by ``user_id`` into N buckets: every later join on user_id
+    between them and models derived from them (the fact, the journey, the
+    orphan-revenue check) reads co-located buckets instead of shuffling.
+    """
+    if bucket_users:
+        db_path = os.path.join(out_dir, f"_{database}.db")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{db_path}'")
     landed = {}
     for name, df in raw.items():
         path = os.path.join(out_dir, name)
+        if bucket_users and name in USER_KEYED:
+            landed[name] = write_bucketed(spark, df, path, f"{database}.{name}", "user_id", bucket_users)
+            continue
         write_table(df, path)
         landed[name] = spark.read.parquet(path)
     tables = RawTables(
