@@ -17,7 +17,7 @@ from touchline.operators import expectations as ex
 from touchline.operators import quality
 from touchline.plans import analytics, model_tests, report
 from touchline.plans.warehouse import Warehouse
-from touchline.session import ensure_checkpoint_dir
+from touchline.session import app_id, ensure_checkpoint_dir
 from touchline.sources import fixtures
 from touchline.sources.files import ingest, manifest
 from touchline.sources.tables import RawTables
@@ -37,7 +37,7 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> RawTables:
     the shared ``spark.checkpoint.dir``; every query then reads the landed
     tables in full.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     if key not in _RAW:
         # the session's shared checkpoint folder; a private one only if unset
         out = os.path.join(ensure_checkpoint_dir(spark), "touchline-raw", uuid.uuid4().hex)
@@ -53,7 +53,7 @@ def warehouse(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
     size-checked join decisions are built once, while each query still reads
     the landed raw tables and executes in full (nothing is cached in memory).
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), tuple(sorted(kw.items())))
+    key = (app_id(spark), os.path.abspath(sf_dir), tuple(sorted(kw.items())))
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse(spark, raw_layer(spark, sf_dir), **kw)
     return _WAREHOUSES[key]

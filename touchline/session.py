@@ -47,5 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # static conf in some deployments; the context dir suffices
             pass
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # no SparkContext handle (e.g. a Spark Connect session)
+        pass
     return path
+
+
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (stable for the session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no SparkContext handle
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
