@@ -81,3 +81,20 @@ def test_bucketed_layout_removes_user_id_shuffles(spark):
         assert sorted(m.int_campaign_attribution.collect()) == sorted(base.int_campaign_attribution.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_month_partitioned_fact_roundtrip_and_pruning(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+    base = warehouse(spark, SF_SMALL)
+    m = base.materialize(tempfile.mkdtemp(prefix="tl-part-"), names=("fct_attributed_revenue",),
+                         partition_fact_by_month=True)
+    fact = m.fct_attributed_revenue
+    def shape(df):
+        return [(f.name, f.dataType) for f in df.schema.fields]
+    assert shape(fact) == shape(base.fct_attributed_revenue)
+    assert sorted(fact.collect()) == sorted(base.fct_attributed_revenue.collect())
+    month = fact.select("revenue_month_str").first()[0]
+    text = plan_text(fact.where(F.col("revenue_month_str") == month))
+    assert "PartitionFilters: [isnotnull(revenue_month_str" in text

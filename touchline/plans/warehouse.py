@@ -165,7 +165,9 @@ class Warehouse:
                 if partition_fact_by_month and name == "fct_attributed_revenue":
                     writer = writer.partitionBy("revenue_month_str")
                 writer.parquet(path)
-                stored = self.spark.read.parquet(path)
+                # read back with the model's schema: no type inference of
+                # partition directory names, same column order as the model
+                stored = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
             w = Warehouse(self.spark, self.raw, bucketed=self.bucketed,
                           max_broadcast_rows=self.max_broadcast_rows,
                           overrides={**w._overrides, name: stored})
