@@ -108,3 +108,14 @@ def test_forecast_missing_month_shrinks_divisor(spark):
            revenues=[revenue("U1", "2024-01", 30.0), revenue("U1", "2024-03", 60.0)])
     out = analytics.forecast_by_company(w.fct_attributed_revenue).where(F.col("row_type") == "forecast").collect()
     assert [(r["month"], r["revenue"]) for r in out] == [("2024-04", 45.0), ("2024-05", 45.0), ("2024-06", 45.0)]
+
+
+def test_models_as_sql_views(spark):
+    from conftest import SF_SMALL
+    from touchline.registry import warehouse
+    w = warehouse(spark, SF_SMALL)
+    assert "v_fct_attributed_revenue" in w.register_views(prefix="v_")
+    adhoc = spark.sql("SELECT last_touch_channel AS channel, sum(revenue_amount) AS revenue "
+                      "FROM v_fct_attributed_revenue GROUP BY 1").collect()
+    totals = {r["channel"]: r["revenue"] for r in analytics.channel_revenue_totals(w.fct_attributed_revenue).collect()}
+    assert {r["channel"]: round(r["revenue"]) for r in adhoc} == {k: round(v) for k, v in totals.items()}

@@ -27,6 +27,13 @@ MATERIALIZED = (
     "dim_time", "dim_user_cohort",
 )
 
+MODEL_NAMES = (
+    "stg_campaign_metadata", "stg_content_performance", "stg_portfolio_revenue", "stg_user_signups",
+    "int_user_attribution", "int_user_revenue", "int_user_journey", "int_campaign_attribution",
+    "fct_attributed_revenue", "fct_campaign_roi", "fct_content_performance",
+    "dim_channel", "dim_company", "dim_time", "dim_user_cohort",
+)
+
 # Models keyed by user_id (stored bucketed by user_id on request).
 USER_KEYED = (
     "stg_portfolio_revenue", "int_user_attribution", "int_user_revenue", "int_user_journey",
@@ -133,6 +140,15 @@ class Warehouse:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def register_views(self, names=MODEL_NAMES, prefix: str = "") -> list[str]:
+        """Expose the models as session temp views (``prefix + name``) so ad-hoc
+        Spark SQL can query them, e.g. ``spark.sql("SELECT last_touch_channel,
+        round(sum(revenue_amount)) FROM fct_attributed_revenue GROUP BY 1")``.
+        Views are lazy: nothing is computed until a query runs."""
+        for name in names:
+            self.model(name).createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in names]
+
     # -- materialisation ---------------------------------------------------
     def materialize(self, root: str | None = None, names=MATERIALIZED,
                     partition_fact_by_month: bool = False, bucket_users: int | None = None,
