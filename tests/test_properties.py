@@ -50,3 +50,32 @@ def test_null_aware_anti_count_matches_not_in(spark, probe, build):
         con.executemany("INSERT INTO b VALUES (?)", [(v,) for v in build])
     want = con.execute("SELECT count(*) FROM p WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM b)").fetchone()[0]
     assert got == want
+
+
+def test_salting_spreads_a_hot_key(spark):
+    """A third of the points share one (key, month): on the non-broadcast path
+    the salt spreads them over several join tasks instead of one."""
+    from pyspark.sql import functions as F
+    hot = [(f"h{i}", "a", BASE + dt.timedelta(days=i % 20)) for i in range(3000)]
+    cold = [(f"c{i}", "b" if i % 2 else "a", BASE + dt.timedelta(days=40 + i % 300)) for i in range(6000)]
+    pdf = spark.createDataFrame(hot + cold, "pid string, pkey string, d date")
+    wdf = spark.createDataFrame([("w0", "a", BASE, BASE + dt.timedelta(days=30)),
+                                 ("w1", "b", BASE, BASE + dt.timedelta(days=400))],
+                                "wid string, wkey string, lo date, hi date")
+    # simulate a window side too large for any broadcast (ours or Spark's own)
+    confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    prev = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        out = interval_join(pdf, wdf, point_keys=["pkey"], window_keys=["wkey"], point="d", lo="lo", hi="hi",
+                            bucketed=True, max_broadcast_rows=0, salt_buckets=8, salt_on="pid")
+        parts = (out.where(F.col("wid") == "w0").select(F.spark_partition_id().alias("p"))
+                 .groupBy("p").count().collect())
+        assert sum(r["count"] for r in parts) == 3000
+        assert len(parts) >= 4 and max(r["count"] for r in parts) < 3000 / 2
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
