@@ -79,3 +79,35 @@ def test_salting_spreads_a_hot_key(spark):
     finally:
         for k, v in prev.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_tag_lookup_is_salted_on_the_fallback(spark):
+    """A third of the users carry one campaign tag and a sixth carry none.  With
+    no broadcast possible the tag lookup is a salted shuffle join: neither the
+    hot tag nor the NULL tag lands in a single task, and the rows are right."""
+    from pyspark.sql import functions as F
+
+    from touchline.plans.intermediate import int_user_attribution
+    from touchline.plans.staging import stg_campaign_metadata, stg_user_signups
+    from util import campaign, raw_tables, user
+    camps = [campaign(f"C{i}", "blog", "CTC-001", 10, "2024-01-01", "2024-12-31", f"cmp_{i}") for i in range(40)]
+    users = [user(f"U{i}", "2024-02-01", first="blog", last="blog", src="blog",
+                  tag="cmp_0" if i % 3 == 0 else (None if i % 6 == 1 else f"cmp_{i % 40}")) for i in range(6000)]
+    raw = raw_tables(spark, campaigns=camps, users=users)
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    prev = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        attr = int_user_attribution(stg_user_signups(raw.user_signups), stg_campaign_metadata(raw.campaign_metadata),
+                                    max_broadcast_rows=0)
+        rows = attr.collect()
+        assert len(rows) == 6000
+        assert all((r["campaign_channel"] == "blog") == (r["utm_campaign"] is not None) for r in rows)
+        for cond in (F.col("utm_campaign") == "cmp_0", F.col("utm_campaign").isNull()):
+            parts = attr.where(cond).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+            assert len(parts) >= 4 and max(r["count"] for r in parts) < sum(r["count"] for r in parts) / 2
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -59,6 +59,27 @@ def broadcast_lookup(lookup: DataFrame, probe: DataFrame, lookup_key: str, probe
     return bounded_broadcast(reduced, max_rows)
 
 
+def lookup_join(probe: DataFrame, lookup: DataFrame, probe_key: str, lookup_key: str, how: str = "left",
+                max_rows: int = DEFAULT_BROADCAST_ROWS, salt_on: str | None = None,
+                salt_buckets: int = 16) -> DataFrame:
+    """Many-to-one join of ``probe`` to ``lookup`` on ``probe_key == lookup_key``.
+
+    Broadcasts the lookup side when it (or its reduction to the probe's keys,
+    see :func:`broadcast_lookup`) is provably small.  Otherwise the join is a
+    salted shuffle join: every probe row gets a salt in [0, salt_buckets) from
+    ``salt_on`` and the (reduced) lookup side is replicated once per salt, so a
+    key held by a large share of the probe rows - or a NULL key - is spread over
+    ``salt_buckets`` tasks.  (AQE cannot split this join by itself: the reduced
+    side arrives already partitioned by the key, without an exchange to split.)
+    """
+    side, small = broadcast_lookup(lookup, probe, lookup_key, probe_key, max_rows)
+    if small or salt_buckets <= 1:
+        return probe.join(side, probe[probe_key] == side[lookup_key], how)
+    p = probe.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_on or probe_key)), F.lit(salt_buckets)))
+    s = side.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
+    return p.join(s, (p[probe_key] == s[lookup_key]) & (p["__salt"] == s["__salt"]), how).drop("__salt")
+
+
 def literal_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a relation whose size is fixed by construction (inline literals)."""
     return F.broadcast(df)

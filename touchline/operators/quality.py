@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.exprs import round_dp, safe_div
-from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_lookup, null_aware_anti_count
+from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join, null_aware_anti_count
 from touchline.sources import schemas
 from touchline.sources.tables import RawTables
 
@@ -111,8 +111,7 @@ def check_counts(raw: RawTables, date_range: tuple[str, str] = schemas.DATE_RANG
     tags = k.select(F.col("utm_campaign").alias("__tag"), F.col("channel").alias("__cch"),
                     F.col("target_company").alias("__cco"))
     tag_has_null = k.agg(F.max(F.col("utm_campaign").isNull().cast("int"))).scalar()
-    tags, _ = broadcast_lookup(tags, u, "__tag", "utm_campaign", max_broadcast_rows)
-    tagged = (u.join(tags, u["utm_campaign"] == tags["__tag"], "left")
+    tagged = (lookup_join(u, tags, "utm_campaign", "__tag", "left", max_broadcast_rows, salt_on="user_id")
               .agg(F.count_if(F.col("utm_campaign").isNotNull() & F.col("__tag").isNull())
                    .alias("ri_user_campaign_fk_orphan"),
                    F.count_if((F.col("__cch") != first) & (F.col("__cch") != last)).alias("campaign_channel_mismatch"),

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.exprs import is_in, money_mean, money_sum, round_dp
-from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_lookup, interval_join
+from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, interval_join, lookup_join
 from touchline.sources import schemas
 
 
@@ -23,16 +23,16 @@ def int_user_attribution(signups: DataFrame, campaigns: DataFrame,
     """M5: users LEFT JOIN campaigns on the (exact-case) utm_campaign tag.
 
     The campaign side is broadcast when provably small, else reduced to the
-    tags that occur among the users and broadcast if that is small, else
-    joined by a shuffle on the tag (see :func:`broadcast_lookup`).
+    tags that occur among the users and broadcast if that is small, else joined
+    by a shuffle on the tag salted by user (see :func:`lookup_join`): a tag
+    held by a third of the users, or the NULL tag, never lands in one task.
     """
     tags = campaigns.select(
         F.col("utm_campaign").alias("__tag"),
         F.col("channel").alias("campaign_channel"),
         F.col("company_id").alias("campaign_company"),
     )
-    tags, _ = broadcast_lookup(tags, signups, "__tag", "utm_campaign", max_broadcast_rows)
-    j = signups.join(tags, signups["utm_campaign"] == tags["__tag"], "left")
+    j = lookup_join(signups, tags, "utm_campaign", "__tag", "left", max_broadcast_rows, salt_on="user_id")
     trust = (F.col("utm_campaign").isNotNull()
              & is_in("campaign_channel", "first_touch_channel", "last_touch_channel")
              & (F.col("campaign_company") == F.col("company_id")))
