@@ -98,3 +98,14 @@ def test_month_partitioned_fact_roundtrip_and_pruning(spark):
     month = fact.select("revenue_month_str").first()[0]
     text = plan_text(fact.where(F.col("revenue_month_str") == month))
     assert "PartitionFilters: [isnotnull(revenue_month_str" in text
+
+
+def test_interval_join_reduction_path(spark):
+    from touchline.operators.joins import month_buckets
+    sf = "/root/testdata/sf0.01"
+    base = warehouse(spark, sf)
+    full = month_buckets(base.stg_campaign_metadata, "start_date", "end_date").count()
+    # a bound below the full bucketed window side, above its reduction to the users' months
+    w = warehouse(spark, sf, max_broadcast_rows=full // 4)
+    assert sorted(w.int_campaign_attribution.collect()) == sorted(base.int_campaign_attribution.collect())
+    assert "__salt" not in plan_text(w.int_campaign_attribution)  # the reduced side was broadcast

@@ -108,10 +108,11 @@ def interval_join(points: DataFrame, windows: DataFrame, *, point_keys: Sequence
     ``point`` joins as an extra equality key; each (point, window) pair still
     meets in exactly one bucket, so no de-duplication is needed.
 
-    If the (bucketed) window side is too large to broadcast, the point side gets
-    a salt in ``[0, salt_buckets)`` (hash of ``salt_on``) and the window side is
-    replicated once per salt value, spreading a hot key over ``salt_buckets``
-    tasks instead of one.
+    If the (bucketed) window side is too large to broadcast, it is first reduced
+    to the windows whose equality key occurs among the points and re-checked.
+    If it is still too large, the point side gets a salt in ``[0, salt_buckets)``
+    (hash of ``salt_on``) and the window side is replicated once per salt value,
+    spreading a hot key over ``salt_buckets`` tasks instead of one.
     """
     pk, wk = list(point_keys), list(window_keys)
     if bucketed:
@@ -119,6 +120,16 @@ def interval_join(points: DataFrame, windows: DataFrame, *, point_keys: Sequence
         points = points.withColumn("__pbucket", F.trunc(F.col(point), "month"))
         pk, wk = pk + ["__pbucket"], wk + ["__bucket"]
     side, small = bounded_broadcast(windows, max_broadcast_rows)
+    if not small:
+        # keep only windows whose equality key occurs among the points (few
+        # distinct keys: channel x company x month), then re-check the size
+        keys = points.select(*[F.col(a).alias(f"__k{i}") for i, a in enumerate(pk)]).distinct()
+        on = None
+        for i, b in enumerate(wk):
+            c = windows[b] == keys[f"__k{i}"]
+            on = c if on is None else on & c
+        windows = windows.join(keys, on, "left_semi")
+        side, small = bounded_broadcast(windows, max_broadcast_rows)
     if not small and salt_buckets > 1:
         salt_col = salt_on or pk[0]
         points = points.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets)))
