@@ -62,7 +62,8 @@ def test_interval_join_edges_and_split(spark):
         got = sorted((r["user_id"], r["campaign_id"], r["n_campaign_matches"], r["attributed_revenue"])
                      for r in w.int_campaign_attribution.collect())
         assert got == [("U1", "C1", 1, 90.0), ("U2", "C1", 2, 5.005), ("U2", "C2", 2, 5.005),
-                       ("U3", "C1", 3, 33.3333), ("U3", "C2", 3, 33.3333), ("U3", "C3", 3, 33.3333)], (bucketed, max_rows)
+                       ("U3", "C1", 3, 33.3333), ("U3", "C2", 3, 33.3333), ("U3", "C3", 3, 33.3333)], \
+            (bucketed, max_rows)
         roi = {r["campaign_id"]: r for r in w.fct_campaign_roi.collect()}
         assert roi["C4"]["attributed_revenue"] == 0.0 and roi["C4"]["roi_ratio"] is None
         assert roi["C5"]["attributed_users"] == 0 and roi["C5"]["net_return"] == -50.0

@@ -17,7 +17,8 @@ def test_incremental_ingest_exactly_once(spark):
     os.makedirs(rev_dir)
     os.makedirs(usr_dir)
     head = "user_id,company_id,revenue_month,revenue_amount,revenue_type\n"
-    _write(os.path.join(rev_dir, "r1.csv"), head + "U1,CTC-001,2024-01,10.00,recurring\nU2,CTC-002,2024-01,5.5,one_time\n")
+    _write(os.path.join(rev_dir, "r1.csv"),
+           head + "U1,CTC-001,2024-01,10.00,recurring\nU2,CTC-002,2024-01,5.5,one_time\n")
     _write(os.path.join(usr_dir, "u1.json"), json.dumps([{"user_id": "U1", "signup_date": "2024-01-02",
                                                           "company_id": "CTC-001", "first_touch_channel": "blog",
                                                           "last_touch_channel": "blog", "utm_medium": "content"}]))

@@ -6,13 +6,16 @@
   partial scan); beyond the bound the caller's shuffle path is used instead.
   The sides we probe are narrow (at most seven short columns), so the row
   bound is also a memory bound.
+* :func:`lookup_join` is the many-to-one tag lookup: broadcast when small,
+  else reduced to the probe's keys and re-checked, else a salted shuffle join.
 * :func:`interval_join` is the campaign-window join: equality on some keys
   plus ``point BETWEEN lo AND hi``.  The windows are bucketed by month so the
-  equality part is selective, and the point side is salted on the non-broadcast
-  path because the equality keys (channel x company x month) have very low
-  cardinality and one of them may hold a large share of the rows.
-* :func:`anti_count` / :func:`null_aware_anti_count` count probe rows without
-  a partner (``LEFT JOIN .. IS NULL`` and ``NOT IN (subquery)`` semantics).
+  equality part is selective, reduced to the points' keys when too large, and
+  the point side is salted on the non-broadcast path because the equality keys
+  (channel x company x month) have very low cardinality and one of them may
+  hold a large share of the rows.
+* :func:`null_aware_anti_count` counts probe rows for which ``NOT IN
+  (subquery)`` is TRUE without Spark's broadcast-only null-aware anti join.
 """
 from __future__ import annotations
 
@@ -48,8 +51,8 @@ def broadcast_lookup(lookup: DataFrame, probe: DataFrame, lookup_key: str, probe
        against the probe's distinct keys, combined map-side) and broadcast that
        if it is provably small: tag-like keys have few distinct values even when
        the lookup table is huge.
-    3. Otherwise return the reduced side for a shuffle join; AQE splits a hot
-       key's partition on the probe side.
+    3. Otherwise return the reduced side, not broadcast (:func:`lookup_join`
+       then salts the shuffle join).
     """
     side, small = bounded_broadcast(lookup, max_rows)
     if small:
@@ -59,6 +62,11 @@ def broadcast_lookup(lookup: DataFrame, probe: DataFrame, lookup_key: str, probe
     return bounded_broadcast(reduced, max_rows)
 
 
+def _salts(n: int) -> Column:
+    """Generator of the salt values 0 .. n-1 (BIGINT, like ``pmod(xxhash64(..), n)``)."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+
 def lookup_join(probe: DataFrame, lookup: DataFrame, probe_key: str, lookup_key: str, how: str = "left",
                 max_rows: int = DEFAULT_BROADCAST_ROWS, salt_on: str | None = None,
                 salt_buckets: int = 16) -> DataFrame:
@@ -76,7 +84,7 @@ def lookup_join(probe: DataFrame, lookup: DataFrame, probe_key: str, lookup_key:
     if small or salt_buckets <= 1:
         return probe.join(side, probe[probe_key] == side[lookup_key], how)
     p = probe.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_on or probe_key)), F.lit(salt_buckets)))
-    s = side.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
+    s = side.withColumn("__salt", _salts(salt_buckets))
     return p.join(s, (p[probe_key] == s[lookup_key]) & (p["__salt"] == s["__salt"]), how).drop("__salt")
 
 
@@ -133,7 +141,7 @@ def interval_join(points: DataFrame, windows: DataFrame, *, point_keys: Sequence
     if not small and salt_buckets > 1:
         salt_col = salt_on or pk[0]
         points = points.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets)))
-        side = windows.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        side = windows.withColumn("__salt", _salts(salt_buckets))
         pk, wk = pk + ["__salt"], wk + ["__salt"]
     cond: Column = F.col(point).between(F.col(lo), F.col(hi))
     for a, b in zip(pk, wk):
@@ -142,15 +150,6 @@ def interval_join(points: DataFrame, windows: DataFrame, *, point_keys: Sequence
     return out.drop(*[c for c in ("__bucket", "__pbucket", "__salt") if c in out.columns])
 
 
-def anti_count(probe: DataFrame, build: DataFrame, probe_key: str, build_key: str) -> DataFrame:
-    """One-row frame: probe rows with no build row of equal key
-    (``LEFT JOIN build ON k = k WHERE build.k IS NULL``).  NULL probe keys count.
-    A left-anti join never fans out, so build-side duplicates need no distinct."""
-    b = build.select(F.col(build_key).alias("__k"))
-    return (probe.join(b, probe[probe_key] == b["__k"], "left_anti")
-            .agg(F.count(F.lit(1)).alias("n")))
-
-
 def null_aware_anti_count(probe: DataFrame, build: DataFrame, probe_key: str, build_key: str) -> DataFrame:
     """One-row frame: probe rows for which ``probe_key NOT IN (SELECT build_key ...)``
     is TRUE.  A NULL probe key never counts, and a single NULL on the build side
