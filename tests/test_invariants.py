@@ -46,3 +46,18 @@ def test_campaign_split_sums_back_to_user_total(w):
     roi_total = sum(r["attributed_revenue"] for r in w.fct_campaign_roi.collect())
     split_total = sum(r["s"] for r in per_user)
     assert abs(roi_total - split_total) <= 0.005 * len(w.fct_campaign_roi.where("attributed_users > 0").collect())
+
+
+def test_revenue_rollup_answers_additive_queries_exactly(w):
+    from touchline.plans.marts import revenue_rollup
+    fact = w.fct_attributed_revenue
+    roll = revenue_rollup(fact)
+    for q in (analytics.channel_revenue_ranking, analytics.revenue_trend_by_channel, analytics.forecast_by_company,
+              analytics.channel_revenue_totals, report.monthly_revenue, report.top_channel_share):
+        assert q(roll).collect() == q(fact).collect(), q.__name__
+    assert (analytics.campaign_roi_coverage(w.fct_campaign_roi, roll).collect()
+            == analytics.campaign_roi_coverage(w.fct_campaign_roi, fact).collect())
+    assert sorted(report.channel_type_split(roll, w.dim_channel).collect()) == sorted(
+        report.channel_type_split(fact, w.dim_channel).collect())
+    assert sorted(report.company_revenue(roll, w.dim_company).collect()) == sorted(
+        report.company_revenue(fact, w.dim_company).collect())

@@ -33,6 +33,22 @@ def fct_attributed_revenue(revenue: DataFrame, attribution: DataFrame) -> DataFr
     )
 
 
+def revenue_rollup(fact: DataFrame) -> DataFrame:
+    """Exact revenue per (company, month, last-touch, first-touch channel).
+
+    Not a reference model: a physical shortcut for batch runs.  The additive
+    analysis queries (channel ranking, coverage total, trend, forecast, ad-hoc
+    totals and the additive dashboard aggregates) read the same columns from it
+    as from the fact and give identical results, because sums of exact decimal
+    sums are exact; it has at most channels^2 x companies x months rows, so one
+    pass over the fact serves all of them.  Distinct-user queries (CAC,
+    retention) still read the fact.
+    """
+    return (fact.groupBy("company_id", "revenue_month", "last_touch_channel", "first_touch_channel")
+            .agg(F.sum(F.col("revenue_amount").cast("decimal(18,2)")).alias("revenue_amount"),
+                 F.count(F.lit(1)).alias("revenue_rows")))
+
+
 def fct_campaign_roi(campaigns: DataFrame, campaign_attribution: DataFrame) -> DataFrame:
     """Spend vs attributed revenue per campaign.  Attribution is
     aggregated to campaign grain *before* the join, so budgets never fan out."""

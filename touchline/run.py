@@ -17,21 +17,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators import quality
 from touchline.plans import analytics
+from touchline.plans.marts import revenue_rollup
 from touchline.plans.warehouse import Warehouse
 from touchline.sources.files import ingest, load_sources, write_result_csv, write_table
 
 
-def result_sets(w: Warehouse) -> dict[str, DataFrame]:
-    """The seven analysis result sets, by output label."""
+def result_sets(w: Warehouse, rollup: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The seven analysis result sets, by output label.  With ``rollup`` (see
+    :func:`touchline.plans.marts.revenue_rollup`) the additive ones read it
+    instead of the fact."""
     fact, roi = w.fct_attributed_revenue, w.fct_campaign_roi
+    sums = fact if rollup is None else rollup
     return {
-        "channel_revenue_ranking": analytics.channel_revenue_ranking(fact),
+        "channel_revenue_ranking": analytics.channel_revenue_ranking(sums),
         "campaign_roi": analytics.campaign_roi(roi),
-        "campaign_roi_coverage": analytics.campaign_roi_coverage(roi, fact),
+        "campaign_roi_coverage": analytics.campaign_roi_coverage(roi, sums),
         "cac_by_channel_company": analytics.cac_by_channel_company(fact, w.stg_campaign_metadata),
         "cohort_retention_by_channel": analytics.cohort_retention_by_channel(fact),
-        "revenue_trend_by_channel": analytics.revenue_trend_by_channel(fact),
-        "forecast_3mo_by_company": analytics.forecast_by_company(fact),
+        "revenue_trend_by_channel": analytics.revenue_trend_by_channel(sums),
+        "forecast_3mo_by_company": analytics.forecast_by_company(sums),
     }
 
 
@@ -43,7 +47,9 @@ def run(spark: SparkSession, sources: str, out: str, gate: bool = True, preview_
     if gate:
         quality.enforce_gate(spark.read.parquet(os.path.join(out, "raw", "data_quality_report")))
     w = Warehouse(spark, raw).materialize(os.path.join(out, "marts"))
-    for label, df in result_sets(w).items():
+    write_table(revenue_rollup(w.fct_attributed_revenue), os.path.join(out, "marts", "_revenue_rollup"))
+    rollup = spark.read.parquet(os.path.join(out, "marts", "_revenue_rollup"))
+    for label, df in result_sets(w, rollup).items():
         write_result_csv(df, os.path.join(out, "results", label))  # small aggregated results
         if preview_rows:
             df.show(preview_rows, truncate=False)
