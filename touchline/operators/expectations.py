@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.exprs import money, round_dp
+from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from touchline.sources.schemas import RECONCILIATION_TOLERANCE
 
 # ---------------------------------------------------------------------------
@@ -36,9 +37,14 @@ def expect_accepted_values(df: DataFrame, column: str, values: Sequence) -> Data
             .where(~F.col(column).isin(list(values))))
 
 
-def expect_relationships(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row."""
-    p = parent.select(F.col(parent_column).alias("__pk"))
+def expect_relationships(df: DataFrame, column: str, parent: DataFrame, parent_column: str,
+                         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Child rows whose non-NULL key has no parent row.
+
+    The parent keys are broadcast when provably small (e.g. the 4-row company
+    dimension, whose few keys would each be a hot partition of a shuffle join
+    against the fact); otherwise a shuffle anti join, which AQE can split."""
+    p, _ = bounded_broadcast(parent.select(F.col(parent_column).alias("__pk")), max_broadcast_rows)
     return df.where(F.col(column).isNotNull()).join(p, F.col(column) == p["__pk"], "left_anti")
 
 
