@@ -150,20 +150,23 @@ def interval_join(points: DataFrame, windows: DataFrame, *, point_keys: Sequence
     return out.drop(*[c for c in ("__bucket", "__pbucket", "__salt") if c in out.columns])
 
 
-def null_aware_anti_count(probe: DataFrame, build: DataFrame, probe_key: str, build_key: str) -> DataFrame:
+def null_aware_anti_count(probe: DataFrame, build: DataFrame, probe_key: str, build_key: str,
+                          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One-row frame: probe rows for which ``probe_key NOT IN (SELECT build_key ...)``
     is TRUE.  A NULL probe key never counts, and a single NULL on the build side
     makes the predicate NULL for every row, so the count is 0 then.
 
     Spark's own NOT IN plan is a null-aware *broadcast* anti join and degrades
     to a nested-loop join when the build side is large; here the anti join is an
-    ordinary (shuffle or broadcast) equi anti join on the non-NULL keys, and the
-    build side's NULL is a separate scalar subquery.
+    ordinary equi anti join on the non-NULL keys (broadcast when provably
+    small, else a shuffle join), and the build side's NULL is a separate scalar
+    subquery.
     """
     keys = build.select(F.col(build_key).alias("__k"))
     build_has_null = keys.agg(F.max(F.col("__k").isNull().cast("int"))).scalar()
+    present, _ = bounded_broadcast(keys.where(F.col("__k").isNotNull()), max_broadcast_rows)
     misses = (probe.where(F.col(probe_key).isNotNull())
-              .join(keys.where(F.col("__k").isNotNull()), probe[probe_key] == F.col("__k"), "left_anti")
+              .join(present, probe[probe_key] == present["__k"], "left_anti")
               .agg(F.count(F.lit(1)).alias("__misses")))
     return misses.select(
         F.when(F.coalesce(build_has_null, F.lit(0)) == 1, F.lit(0).cast("bigint"))

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.exprs import round_dp, safe_div
-from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join, null_aware_anti_count
+from touchline.operators.joins import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, lookup_join,
+                                      null_aware_anti_count)
 from touchline.sources import schemas
 from touchline.sources.tables import RawTables
 
@@ -95,14 +96,16 @@ def check_counts(raw: RawTables, date_range: tuple[str, str] = schemas.DATE_RANG
         F.struct(F.lit("first").alias("touch"), F.col("first_touch_content_id").alias("cid")),
         F.struct(F.lit("last").alias("touch"), F.col("last_touch_content_id").alias("cid")))).alias("t"))
         .select("t.touch", "t.cid").where(F.col("cid").isNotNull()))
-    ids = c.select(F.col("content_id").alias("__cid"))
+    # content ids broadcast when provably small: a popular content id would
+    # otherwise be one hot partition of a shuffle anti join
+    ids, _ = bounded_broadcast(c.select(F.col("content_id").alias("__cid")), max_broadcast_rows)
     missing_content = (touches.join(ids, touches["cid"] == ids["__cid"], "left_anti")
                        .agg(F.count_if(F.col("touch") == "first").alias("ri_first_content_missing"),
                             F.count_if(F.col("touch") == "last").alias("ri_last_content_missing")))
 
     # NOT IN (subquery) semantics over content tags.
     content_orphans = null_aware_anti_count(c.where(F.col("utm_campaign") != ""), k,
-                                            "utm_campaign", "utm_campaign") \
+                                            "utm_campaign", "utm_campaign", max_broadcast_rows) \
         .withColumnRenamed("n", "ri_content_campaign_fk_orphan")
 
     # D5 + D16 + D17: one LEFT join of users to the campaign of their tag.  A
