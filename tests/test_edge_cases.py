@@ -120,3 +120,12 @@ def test_models_as_sql_views(spark):
                       "FROM v_fct_attributed_revenue GROUP BY 1").collect()
     totals = {r["channel"]: r["revenue"] for r in analytics.channel_revenue_totals(w.fct_attributed_revenue).collect()}
     assert {r["channel"]: round(r["revenue"]) for r in adhoc} == {k: round(v) for k, v in totals.items()}
+
+
+def test_literal_dimensions(spark):
+    from touchline.plans import marts
+    ch = {r["channel"]: r for r in marts.dim_channel(spark).collect()}
+    assert len(ch) == 8 and ch["organic"]["channel_type"] == "earned" and ch["blog"]["is_paid_content_channel"]
+    co = {r["company_id"]: r for r in marts.dim_company(spark).collect()}
+    assert sorted(co) == ["CTC-001", "CTC-002", "CTC-003", "CTC-004"]
+    assert co["CTC-002"]["avg_revenue_per_user_benchmark"] == 85

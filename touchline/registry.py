@@ -79,8 +79,12 @@ MODELS = [
     "stg_campaign_metadata", "stg_content_performance", "stg_portfolio_revenue", "stg_user_signups",
     "int_user_attribution", "int_user_revenue", "int_user_journey",
     "fct_attributed_revenue", "fct_campaign_roi", "fct_content_performance",
-    "dim_channel", "dim_company", "dim_time", "dim_user_cohort",
+    "dim_time", "dim_user_cohort",
 ]
+# dim_channel / dim_company are literal relations (inline values): a query over
+# them alone would not read the tables, so they are registered only through the
+# queries that join them to data (channel_view, channel_type_split,
+# company_revenue, expect_relationships).
 
 QUERIES: dict[str, Query] = {name: _model(name) for name in MODELS}
 QUERIES.update({
