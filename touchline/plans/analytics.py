@@ -1,9 +1,11 @@
 """Analysis queries over the marts (Q1-Q7).
 
-Every query first aggregates the fact to a grain bounded by the domain
-(channels x companies x months); windows, ranks and joins then run on those
-few rows only.  Sums stay DECIMAL until the final projection (exact, order
-independent), see :mod:`touchline.functions.exprs`.
+Every query first aggregates the fact with a partial (map-side) aggregate:
+sums go straight to a grain bounded by the domain (channels x companies x
+months), distinct counts through a (group, user_id) level first.  Windows,
+ranks and joins then run on the few aggregated rows only.  Sums stay DECIMAL
+until the final projection (exact, order independent), see
+:mod:`touchline.functions.exprs`.
 """
 from __future__ import annotations
 
