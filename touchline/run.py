@@ -1,6 +1,6 @@
 """End-to-end batch: ingest -> data-quality gate -> marts -> result sets.
 
-    python -m touchline.run --sources DIR --out DIR [--no-gate]
+    python -m touchline.run --sources DIR --out DIR [--no-gate] [--preview N] [--bucket-users N]
 
 ``--sources`` holds the four source files (campaign_metadata.csv,
 content_performance.csv, portfolio_revenue.csv, user_signups.json).  Raw
@@ -39,14 +39,15 @@ def result_sets(w: Warehouse, rollup: DataFrame | None = None) -> dict[str, Data
     }
 
 
-def run(spark: SparkSession, sources: str, out: str, gate: bool = True, preview_rows: int = 0) -> Warehouse:
-    raw, manifest = ingest(spark, load_sources(spark, sources), os.path.join(out, "raw"))
+def run(spark: SparkSession, sources: str, out: str, gate: bool = True, preview_rows: int = 0,
+        bucket_users: int | None = None) -> Warehouse:
+    raw, manifest = ingest(spark, load_sources(spark, sources), os.path.join(out, "raw"), bucket_users=bucket_users)
     write_table(manifest, os.path.join(out, "raw", "_ingest_manifest"))
     report = quality.dq_report(spark, raw)
     write_table(report, os.path.join(out, "raw", "data_quality_report"))
     if gate:
         quality.enforce_gate(spark.read.parquet(os.path.join(out, "raw", "data_quality_report")))
-    w = Warehouse(spark, raw).materialize(os.path.join(out, "marts"))
+    w = Warehouse(spark, raw).materialize(os.path.join(out, "marts"), bucket_users=bucket_users)
     write_table(revenue_rollup(w.fct_attributed_revenue), os.path.join(out, "marts", "_revenue_rollup"))
     rollup = spark.read.parquet(os.path.join(out, "marts", "_revenue_rollup"))
     for label, df in result_sets(w, rollup).items():
@@ -62,10 +63,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--no-gate", action="store_true", help="do not fail on error-severity checks")
     ap.add_argument("--preview", type=int, default=0, help="print the first N rows of each result")
+    ap.add_argument("--bucket-users", type=int, default=None,
+                    help="store user-keyed tables bucketed by user_id into N buckets (shuffle-free user joins)")
     args = ap.parse_args(argv)
     from touchline.session import build_session
     spark = build_session(app="touchline-run")
-    run(spark, args.sources, args.out, gate=not args.no_gate, preview_rows=args.preview)
+    run(spark, args.sources, args.out, gate=not args.no_gate, preview_rows=args.preview,
+        bucket_users=args.bucket_users)
     spark.stop()
 
 
