@@ -140,3 +140,49 @@ def test_pooled_retention_replay(spark):
     out = {r["month_index"]: r for r in report.pooled_retention(spark.createDataFrame(rows, FACT_SCHEMA)).collect()}
     assert {k: out[k]["retention_rate"] for k in DASHBOARD_POOLED} == DASHBOARD_POOLED
     assert out[0]["cohort_users"] == 6170
+
+
+# V3: the dashboard's monthly totals (whole dollars) are the per-channel trend rows summed.
+TREND_BY_MONTH = {
+    "2024-01": [("blog", 5381.86), ("instagram", 8019.14), ("newsletter", 5389.09), ("organic", 4608.31),
+                ("podcast", 7068.17), ("referral", 6401.84), ("twitter", 10136.26), ("youtube", 9170.8)],
+    "2025-06": [("blog", 21453.61), ("instagram", 31340.91), ("newsletter", 19348.4), ("organic", 18731.71),
+                ("podcast", 21987.98), ("referral", 20186.92), ("twitter", 22084.46), ("youtube", 31429.25)],
+}
+DASHBOARD_MONTHLY = {"2024-01": 56175, "2025-06": 186563}
+
+
+def test_monthly_revenue_replay(spark):
+    from touchline.plans import report
+    rows = [(f"{m}-{ch}", "CTC-001", D(m + "-01"), v, ch, ch, D("2024-01-01"))
+            for m, chans in TREND_BY_MONTH.items() for ch, v in chans]
+    out = {r["month"]: r["revenue"] for r in report.monthly_revenue(spark.createDataFrame(rows, FACT_SCHEMA)).collect()}
+    assert {m: round(v) for m, v in out.items()} == DASHBOARD_MONTHLY
+
+
+# V6: published ROI rows (highest first) and the dashboard's top-8 campaign names.
+ROI_ROWS = [
+    ("CMP-027", "podcast_ctc004_feb2024", "podcast", 2500, 22931.97, 9.173),
+    ("CMP-009", "instagram_ctc001_feb2024", "instagram", 2500, 17741.77, 7.097),
+    ("CMP-002", "twitter_ctc002_mar2024", "twitter", 2500, 16329.06, 6.532),
+    ("CMP-003", "blog_ctc001_oct2024", "blog", 2500, 11957.43, 4.783),
+    ("CMP-016", "blog_ctc003_mar2024", "blog", 7500, 29122.22, 3.883),
+    ("CMP-023", "podcast_ctc003_apr2024", "podcast", 10000, 35992.56, 3.599),
+    ("CMP-001", "blog_ctc001_jan2024", "blog", 7500, 21521.25, 2.87),
+    ("CMP-024", "newsletter_ctc004_mar2024", "newsletter", 5000, 14167.75, 2.834),
+    ("CMP-011", "youtube_ctc004_oct2024", "youtube", 10000, 28125.89, 2.813),
+    ("CMP-012", "youtube_ctc003_feb2025", "youtube", 15000, 39381.03, 2.625),
+    ("CMP-018", "youtube_ctc002_sep2024", "youtube", 5000, 12404.73, 2.481),
+    ("CMP-026", "podcast_ctc004_jul2024", "podcast", 5000, 10283.96, 2.057),
+]
+DASHBOARD_TOP = ["podcast_ctc004_feb2024", "instagram_ctc001_feb2024", "twitter_ctc002_mar2024",
+                 "blog_ctc001_oct2024", "blog_ctc003_mar2024", "podcast_ctc003_apr2024",
+                 "blog_ctc001_jan2024", "newsletter_ctc004_mar2024"]
+
+
+def test_top_campaigns_replay(spark):
+    from touchline.plans import report
+    roi = spark.createDataFrame(list(reversed(ROI_ROWS)),
+                                "campaign_id string, campaign_name string, channel string, budget int, "
+                                "attributed_revenue double, roi_ratio double").repartition(3)
+    assert [r["campaign_name"] for r in report.top_campaigns(roi).collect()] == DASHBOARD_TOP
