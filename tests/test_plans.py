@@ -109,3 +109,13 @@ def test_interval_join_reduction_path(spark):
     w = warehouse(spark, sf, max_broadcast_rows=full // 4)
     assert sorted(w.int_campaign_attribution.collect()) == sorted(base.int_campaign_attribution.collect())
     assert "__salt" not in plan_text(w.int_campaign_attribution)  # the reduced side was broadcast
+
+
+def test_company_filter_reaches_the_parquet_scans(spark):
+    from touchline.plans import report
+    w = warehouse(spark, SF_SMALL)
+    df = report.company_cac(w.fct_attributed_revenue, w.stg_campaign_metadata, company_id="CTC-002")
+    text = df._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in text.splitlines() if "PushedFilters" in line and "CTC-002" in line]
+    assert len(pushed) >= 2, text  # revenue scan and campaign scan both filtered at the source
+    assert {r["company_id"] for r in df.collect()} == {"CTC-002"}
