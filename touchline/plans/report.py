@@ -15,10 +15,10 @@ from touchline.functions.exprs import money, month_str, round_dp, safe_div
 from touchline.operators.joins import literal_broadcast
 from touchline.plans import analytics
 
-# Thresholds of the spend verdict (revenue per dollar of spend).
+# Fixed values (as the dashboard defines them): spend-verdict thresholds on
+# revenue per dollar of spend, and the channels whose combined share it headlines.
 STOP_BELOW = 2.0
 KEEP_ABOVE = 10.0
-# Channels whose combined share the dashboard headlines.
 TOP_CHANNELS = ("youtube", "instagram")
 
 
