@@ -79,6 +79,7 @@ def test_ingest_lands_parquet_and_results_sink(spark, source_dir):
     assert isinstance(landed, RawTables)
     assert sorted(os.listdir(out)) == sorted(n for n, _ in raw.items())
     assert {r["row_count"] for r in man.collect()} == {1, 2}
+    assert sorted(man.collect()) == sorted(files.manifest(landed).collect())  # observed == scanned
     csv_dir = os.path.join(out, "result_csv")
     files.write_result_csv(landed.portfolio_revenue, csv_dir)
     parts = [p for p in os.listdir(csv_dir) if p.endswith(".csv")]

@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,7 +113,7 @@ def write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, ke
 def ingest(spark: SparkSession, raw: RawTables, out_dir: str, bucket_users: int | None = None,
            database: str = "touchline_raw") -> tuple[RawTables, DataFrame]:
     """Land the raw layer as Parquet under ``out_dir`` and return the re-read
-    tables plus the ingest manifest computed from the landed files.
+    tables plus the ingest manifest (row counts observed during the writes).
 
     With ``bucket_users=N`` the two user-keyed tables (signups, revenue) are
     landed bucketed by ``user_id`` into N buckets: every later join on user_id
@@ -123,14 +123,18 @@ def ingest(spark: SparkSession, raw: RawTables, out_dir: str, bucket_users: int
     if bucket_users:
         db_path = os.path.join(out_dir, f"_{database}.db")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{db_path}'")
-    landed = {}
+    landed, counts = {}, {}
     for name, df in raw.items():
         path = os.path.join(out_dir, name)
+        # the row count is observed while writing: no second scan for the manifest
+        obs = Observation(name)
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if bucket_users and name in USER_KEYED:
             landed[name] = write_bucketed(spark, df, path, f"{database}.{name}", "user_id", bucket_users)
-            continue
-        write_table(df, path)
-        landed[name] = spark.read.parquet(path)
+        else:
+            write_table(df, path)
+            landed[name] = spark.read.parquet(path)
+        counts[name] = obs.get["rows"]
     tables = RawTables(
         campaign_metadata=landed["raw_campaign_metadata"],
         content_performance=landed["raw_content_performance"],
@@ -138,7 +142,10 @@ def ingest(spark: SparkSession, raw: RawTables, out_dir: str, bucket_users: int
         portfolio_revenue=landed["raw_portfolio_revenue"],
         provenance=dict(raw.provenance),
     )
-    return tables, manifest(tables)
+    observed = spark.createDataFrame(
+        [(name, tables.provenance.get(name, ""), int(counts[name])) for name, _ in tables.items()],
+        "table_name string, source_file string, row_count bigint")
+    return tables, observed
 
 
 def write_result_csv(df: DataFrame, path: str) -> None:
