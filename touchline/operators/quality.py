@@ -176,33 +176,32 @@ def enforce_gate(report: DataFrame) -> None:
 
 def source_profile(raw: RawTables) -> DataFrame:
     """One-row profile of the sources: missing shares (%), first/last touch
-    conflict share (%), recurring revenue rows and total revenue."""
-    def pct(cond, df):
-        return df.agg(round_dp(safe_div(F.count_if(cond) * 100.0, F.count(F.lit(1))), 1)).scalar()
+    conflict share (%), recurring revenue rows and total revenue.  One aggregate
+    per table; the content and revenue figures are struct-valued scalar
+    subqueries of the users aggregate."""
+    def pct(cond) -> F.Column:
+        return round_dp(safe_div(F.count_if(cond) * 100.0, F.count(F.lit(1))), 1)
 
     def blank(c):
         return F.col(c).isNull() | (F.col(c) == "")
 
     u, c, r = raw.user_signups, raw.content_performance, raw.portfolio_revenue
-    content_rows = c.agg(F.count(F.lit(1))).scalar()
-    content_missing = pct(blank("utm_source"), c)
+    content = c.agg(F.struct(F.count(F.lit(1)).alias("rows"), pct(blank("utm_source")).alias("missing"))).scalar()
+    revenue = r.agg(F.struct(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("revenue_type") == "recurring").alias("recurring"),
+        F.sum(F.col("revenue_amount").cast("decimal(18,2)")).cast("double").alias("total"))).scalar()
     users = u.agg(
         F.count(F.lit(1)).alias("users"),
-        round_dp(safe_div(F.count_if(blank("utm_source")) * 100.0, F.count(F.lit(1))), 1)
-        .alias("user_missing_utm_source_pct"),
-        round_dp(safe_div(F.count_if(blank("utm_campaign")) * 100.0, F.count(F.lit(1))), 1)
-        .alias("user_missing_utm_campaign_pct"),
-        round_dp(safe_div(F.count_if(F.col("first_touch_channel") != F.col("last_touch_channel")) * 100.0,
-                          F.count(F.lit(1))), 1).alias("touch_conflict_pct"),
+        pct(blank("utm_source")).alias("user_missing_utm_source_pct"),
+        pct(blank("utm_campaign")).alias("user_missing_utm_campaign_pct"),
+        pct(F.col("first_touch_channel") != F.col("last_touch_channel")).alias("touch_conflict_pct"),
     )
-    rev_rows = r.agg(F.count(F.lit(1))).scalar()
-    recurring = r.agg(F.count_if(F.col("revenue_type") == "recurring")).scalar()
-    total = r.agg(F.sum(F.col("revenue_amount").cast("decimal(18,2)")).cast("double")).scalar()
     return users.select(
-        content_rows.cast("bigint").alias("content_rows"),
-        content_missing.alias("content_missing_utm_source_pct"),
+        content.getField("rows").cast("bigint").alias("content_rows"),
+        content.getField("missing").alias("content_missing_utm_source_pct"),
         "users", "user_missing_utm_source_pct", "user_missing_utm_campaign_pct", "touch_conflict_pct",
-        rev_rows.cast("bigint").alias("revenue_rows"),
-        recurring.cast("bigint").alias("recurring_rows"),
-        round_dp(total, 2).alias("total_revenue"),
+        revenue.getField("rows").cast("bigint").alias("revenue_rows"),
+        revenue.getField("recurring").cast("bigint").alias("recurring_rows"),
+        round_dp(revenue.getField("total"), 2).alias("total_revenue"),
     )
