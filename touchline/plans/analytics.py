@@ -67,7 +67,7 @@ def campaign_roi_coverage(roi: DataFrame, fact: DataFrame) -> DataFrame:
         round_dp(_dbl(tied), 2).alias("revenue_tied_to_campaigns"),
         round_dp(_dbl(total), 2).alias("total_revenue"),
         round_dp(safe_div(F.lit(100.0) * _dbl(tied), _dbl(total)), 1).alias("pct_covered"),
-        F.sum("budget").cast("bigint").alias("total_spend"),
+        F.sum("budget").cast("double").alias("total_spend"),
     )
 
 
@@ -84,7 +84,7 @@ def cac_rows(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
                 .agg(F.count_distinct("user_id").alias("customers_acquired"),
                      round_dp(_dbl(F.sum(money("revenue_amount"))), 2).alias("attributed_revenue")))
     spend = (campaigns.groupBy("channel", "company_id")
-             .agg(F.sum("budget").cast("bigint").alias("total_spend")))
+             .agg(F.sum("budget").cast("double").alias("total_spend")))
     j = acquired.join(spend, ["channel", "company_id"], "left")
     cust, sp, rev = F.col("customers_acquired"), F.col("total_spend"), F.col("attributed_revenue")
     return j.select(
