@@ -48,7 +48,8 @@ def spark_rows(sdf) -> tuple[list[str], list[tuple]]:
 
 
 def compare(spark, name: str, query, sql: str, sf_dir: str, con=None, rel_tol: float = 0.0):
-    """Return (ok, message).  Float values must be equal (or within rel_tol)."""
+    """Return (ok, message).  Floats must have identical bits (sign of zero
+    included), or be within ``rel_tol`` when one is given."""
     con = con or duck(sf_dir)
     sdf = query(spark, sf_dir)
     s_cols, s_rows = spark_rows(sdf)
@@ -64,7 +65,11 @@ def compare(spark, name: str, query, sql: str, sf_dir: str, con=None, rel_tol: f
             if x is None and y is None:
                 continue
             if isinstance(x, float) or isinstance(y, float):
-                if x is None or y is None or not math.isclose(float(x), float(y), rel_tol=rel_tol, abs_tol=0.0):
+                if x is None or y is None:
+                    return False, f"{name}: value differs in {c}: spark={x!r} duck={y!r}\n{a}\n{b}"
+                same = (repr(float(x)) == repr(float(y)) if rel_tol == 0.0  # same bits, incl. -0.0
+                        else math.isclose(float(x), float(y), rel_tol=rel_tol, abs_tol=0.0))
+                if not same:
                     return False, f"{name}: value differs in {c}: spark={x!r} duck={y!r}\n{a}\n{b}"
             elif x != y and str(x) != str(y):
                 return False, f"{name}: value differs in {c}: spark={x!r} duck={y!r}\n{a}\n{b}"

@@ -12,13 +12,15 @@ def test_round_dp_matches_duckdb_binary_rounding(spark):
     rnd = random.Random(7)
     vals = [rnd.uniform(-1e6, 1e6) for _ in range(3000)]
     vals += [k / 2000 for k in range(-2000, 2000)]  # many exact half-way cases
-    vals += [0.125, 2.675, 1.005, -0.5, 0.5, 1.5, 2.5, -2.5]
+    vals += [0.125, 2.675, 1.005, -0.5, 0.5, 1.5, 2.5, -2.5, 0.0, -0.0, -0.04, -0.0004, 0.04, -1e-9]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     con = duckdb.connect()
     for n in (0, 1, 2, 3, 4):
         got = [r[0] for r in df.select(round_dp("x", n)).collect()]
         exp = [r[0] for r in con.execute(f"SELECT round(x, {n}) FROM (SELECT unnest($1) AS x)", [vals]).fetchall()]
         assert got == exp, f"n={n}"
+        # same bits, including the sign of zero (-0.04 -> -0.0)
+        assert [repr(v) for v in got] == [repr(v) for v in exp], f"n={n}"
 
 
 def test_month_index_counts_boundaries(spark):

@@ -9,8 +9,9 @@ Numeric conventions (they decide cross-engine parity, see README "Numerics"):
   ``DECIMAL(18, 2)`` (exact, independent of partitioning and summation order)
   and cast back to ``DOUBLE`` at the edge.
 * Rounding is ``round(x * 10^n) / 10^n`` on doubles (:func:`round_dp`), which is
-  bit-for-bit what a binary-rounding engine does, instead of Spark's
-  decimal-string HALF_UP rounding of ``round(x, n)``.
+  bit-for-bit what a binary-rounding engine does (including the sign of a
+  result that rounds to zero), instead of Spark's decimal-string HALF_UP
+  rounding of ``round(x, n)``.
 * Means are ``exact decimal sum / count`` so the result does not depend on the
   order rows reach an aggregation buffer.
 """
@@ -29,9 +30,13 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def round_dp(c: ColumnOrName, n: int) -> Column:
-    """Round a double to ``n`` decimals as ``round(x * 10^n) / 10^n``."""
+    """Round a double to ``n`` decimals as ``round(x * 10^n) / 10^n``, half away
+    from zero, keeping the sign of a result that rounds to zero (-0.04 -> -0.0
+    at one decimal), bit-identical to binary-rounding engines.  Spark's own
+    ``round`` drops that sign, so the magnitude is rounded and the sign applied."""
     scale = float(10**n)
-    return F.round(_c(c).cast("double") * F.lit(scale)) / F.lit(scale)
+    x = _c(c).cast("double")
+    return F.signum(x) * (F.round(F.abs(x) * F.lit(scale)) / F.lit(scale))
 
 
 def money(c: ColumnOrName, scale: int = 2) -> Column:
