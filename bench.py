@@ -33,7 +33,7 @@ from touchline.sources.files import ingest  # noqa: E402
 from touchline.registry import QUERIES, raw_layer  # noqa: E402
 from touchline.session import build_session  # noqa: E402
 
-WARMUP_DIR = "/root/testdata/sf0.001"
+WARMUP_NAME = "sf0.001"
 
 HEADLINE = [
     "fct_attributed_revenue",
@@ -71,10 +71,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(cpus=cpus, app="touchline-bench")
     # Warm-up (JIT, class loading, code generation of each query shape) on the
-    # smallest tables; not timed.  The timed runs below still build their own
-    # model graph, size probes and raw layer for BENCH_SF_DIR.
-    for name in HEADLINE:
-        run(QUERIES[name](spark, WARMUP_DIR))
+    # smallest tables next to BENCH_SF_DIR, if present; not timed.  The timed
+    # runs below still build their own model graph, size probes and raw layer.
+    warmup = os.path.join(os.path.dirname(os.path.abspath(sf_dir)), WARMUP_NAME)
+    if os.path.isdir(warmup) and os.path.abspath(warmup) != os.path.abspath(sf_dir):
+        for name in HEADLINE:
+            run(QUERIES[name](spark, warmup))
 
     times: dict[str, float] = {}
     # Ingest: derive the four raw tables from the driver's tables and land them
