@@ -141,3 +141,16 @@ def test_aqe_splits_a_hot_user_in_the_revenue_users_join(spark):
     finally:
         for k, v in prev.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+dates = st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2035, 12, 31))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(dates, dates), min_size=1, max_size=40))
+def test_month_index_matches_duckdb_date_diff(spark, pairs):
+    from touchline.functions.exprs import month_index
+    got = [r[0] for r in spark.createDataFrame(pairs, "a date, b date").select(month_index("a", "b")).collect()]
+    con = duckdb.connect()
+    want = [con.execute("SELECT date_diff('month', ?::DATE, ?::DATE)", [a, b]).fetchone()[0] for a, b in pairs]
+    assert got == want
