@@ -3,9 +3,13 @@ from __future__ import annotations
 
 from touchline.llm.bpe import op9_byte_bpe
 from touchline.llm.chat import OP4_SQL, op4_chat_formatting
+from touchline.llm.secrets import op3_secret_scan
 from touchline.llm.topk import OP7_SQL, op7_top_k
+from touchline.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op3_secret_scan": op3_secret_scan,
     "op4_chat_formatting": op4_chat_formatting,
     "op7_threshold_top_k": op7_top_k,
     "op9_byte_bpe": op9_byte_bpe,
