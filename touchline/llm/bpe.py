@@ -36,17 +36,29 @@ JAVA_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + _WS + r"\p{L
                 r"|[" + _WS + r"]+(?![^" + _WS + r"])|[" + _WS + r"]+")
 #: Pieces with more bytes than this are merged one at a time.
 LONG = 128
-#: Pieces whose ids are laid out at once.
-SLICE = 1 << 20
+#: Pieces that are encoded at once; bounds the worker's memory.
+SLICE = 1 << 18
+
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Token -> rank of a rank file (base64 token and rank per line)."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+
+
+def tokens_of(ranks: dict[bytes, int]) -> list[bytes]:
+    """Token of each rank."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
 
 
 class Merges:
-    """Rank file (base64 token and rank per line) and its table of mergeable
-    pairs of ids."""
+    """A rank file and its table of mergeable pairs of ids."""
 
     def __init__(self, path: str) -> None:
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        self.ranks = read_ranks(path)
         get = self.ranks.get
         pairs = []
         for token, rank in self.ranks.items():
@@ -60,9 +72,7 @@ class Merges:
         self.of_byte = np.array([get(bytes([i]), -1) for i in range(256)], np.int64)
         if (self.of_byte < 0).any():
             raise ValueError("the rank file lacks single bytes")
-        self.tokens = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
+        self.tokens = tokens_of(self.ranks)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids, or -1."""
@@ -187,7 +197,7 @@ def encode_pieces(pieces: pa.Array, merges: Merges) -> tuple[np.ndarray, np.ndar
     width = 2
     while len(rest) and width <= LONG:
         own = rest[(lengths[rest] <= width) & (lengths[rest] > width // 2 if width > 2 else True)]
-        for part in np.array_split(own, max(1, len(own) * width // (1 << 20))) if len(own) else []:
+        for part in np.array_split(own, max(1, len(own) * width // (1 << 19))) if len(own) else []:
             size = lengths[part]
             at = np.minimum(offsets[part][:, None] + np.arange(width), max(len(flat) - 1, 0))
             ids, k = merge_many(flat[at], size, merges)
@@ -215,34 +225,35 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(ids, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())   # freed batches go back to the machine
         merges = Merges(ranks_path)
         for batch in batches:
-            yield _encode_batch(batch, len(keep), ids, merges)
+            out = _encode_lists(batch.column(len(keep)), merges)
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.array(out, pa.binary())],
+                                             names=[*batch.schema.names[:len(keep)], ids])
 
     return src.mapInArrow(run, schema)
 
 
-def _encode_batch(batch: pa.RecordBatch, n_keep: int, name: str, merges: Merges) -> pa.RecordBatch:
-    lists = batch.column(n_keep)
+def _encode_lists(lists: pa.ListArray, merges: Merges) -> list[bytes]:
+    """Packed ids of each list of pieces; a run of documents of about SLICE
+    pieces is laid out at a time."""
     bounds = lists.offsets.to_numpy().astype(np.int64)
-    bounds = bounds - bounds[0]
-    encoded = pc.dictionary_encode(lists.flatten())
-    codes = encoded.indices.to_numpy(zero_copy_only=False)
-    ids, at = encode_pieces(encoded.dictionary, merges)
     out: list[bytes] = []
     start = 0
-    while start < len(lists):   # a run of documents of about SLICE pieces at a time
+    while start < len(lists):
         stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + SLICE, "right")) - 1)
-        own = codes[bounds[start]:bounds[stop]]
-        size = at[own + 1] - at[own]
+        encoded = pc.dictionary_encode(lists.values.slice(bounds[start], bounds[stop] - bounds[start]))
+        codes = encoded.indices.to_numpy(zero_copy_only=False)
+        ids, at = encode_pieces(encoded.dictionary, merges)
+        size = at[codes + 1] - at[codes]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        flat = ids[np.repeat(at[own] - (ends - size), size) + np.arange(total)].tobytes()
+        flat = ids[np.repeat(at[codes] - (ends - size), size) + np.arange(total)].tobytes()
         cuts = np.concatenate([[0], ends])[bounds[start:stop + 1] - bounds[start]] * 4
         out += [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         start = stop
-    cols = [batch.column(i) for i in range(n_keep)]
-    return pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.binary())], names=[*batch.schema.names[:n_keep], name])
+    return out
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -253,7 +264,8 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", decoded: str =
     schema = T.StructType([encoded.schema[c] for c in keep] + [T.StructField(decoded, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Merges(ranks_path).tokens
+        pa.set_memory_pool(pa.system_memory_pool())
+        tokens = tokens_of(read_ranks(ranks_path))
         for batch in batches:
             out = [None if x is None else b"".join([tokens[i] for i in np.frombuffer(x, "<u4").tolist()])
                    for x in batch.column(at).to_pylist()]
