@@ -4,6 +4,7 @@ from __future__ import annotations
 from touchline.llm.bpe import op9_byte_bpe
 from touchline.llm.chat import OP4_SQL, op4_chat_formatting
 from touchline.llm.secrets import op3_secret_scan
+from touchline.llm.sharding import op5_sharding
 from touchline.llm.tiling import op1_decontamination
 from touchline.llm.topk import OP7_SQL, op7_top_k
 from touchline.llm.toxicity import op2_toxicity
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_secret_scan": op3_secret_scan,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_sharding": op5_sharding,
     "op7_threshold_top_k": op7_top_k,
     "op9_byte_bpe": op9_byte_bpe,
 }
