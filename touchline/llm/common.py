@@ -95,14 +95,20 @@ def in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return hit.astype(bool)
 
 
+def lower(texts: pa.Array) -> pa.Array:
+    """The texts (large strings, null as empty) with A-Z lower-cased. A slice
+    is copied first: the kernels below expect an array of its own."""
+    texts = pc.cast(pc.fill_null(texts, ""), pa.large_string())
+    return pc.ascii_lower(texts.take(pa.array(np.arange(len(texts)))))
+
+
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the texts with A-Z lower-cased (null:
     none), as (documents' offsets, codes, dictionary): document i has the codes
     ``codes[offsets[i]:offsets[i + 1]]``."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.cast(pc.fill_null(texts, ""), pa.large_string())
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    lists = pc.ascii_split_whitespace(lower(texts))
     encoded = pc.dictionary_encode(lists.flatten())
     if isinstance(encoded, pa.ChunkedArray):
         encoded = encoded.combine_chunks()

@@ -4,6 +4,7 @@ from __future__ import annotations
 from touchline.llm.bpe import op9_byte_bpe
 from touchline.llm.chat import OP4_SQL, op4_chat_formatting
 from touchline.llm.extraction import op8_html_extraction
+from touchline.llm.ppm import op6_ppm_scores
 from touchline.llm.secrets import op3_secret_scan
 from touchline.llm.sharding import op5_sharding
 from touchline.llm.tiling import op1_decontamination
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_sharding": op5_sharding,
+    "op6_ppm_scores": op6_ppm_scores,
     "op7_threshold_top_k": op7_top_k,
     "op8_html_extraction": op8_html_extraction,
     "op9_byte_bpe": op9_byte_bpe,
