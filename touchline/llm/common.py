@@ -76,11 +76,11 @@ def key_filter(keys: DataFrame, col: str) -> np.ndarray:
             .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
     out = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
     for r in rows:  # at most FILTER_BITS / 32768 + 1 rows of 4 KiB
-        at = (r["bucket"] - 1) * 4096
-        out[at:at + 4096] = np.frombuffer(r["bits"], np.uint8)
-    # bitmap_bucket_number(0) is bucket 0 with bit 0
-    if any(r["bucket"] == 0 for r in rows):
-        out[-1] = 1
+        if r["bucket"] == 0:    # position 0 has a bucket of its own
+            out[-1] = 1
+        else:
+            at = (r["bucket"] - 1) * 4096
+            out[at:at + 4096] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 
@@ -90,8 +90,7 @@ def in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     # bucket b >= 1 holds positions (b - 1) * 32768 + 1 .. b * 32768, bit = (pos - 1) % 32768
     at = np.maximum(pos - 1, 0)
     hit = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-    if bits[-1]:
-        hit[pos == 0] = 1
+    hit[pos == 0] = bits[-1]
     return hit.astype(bool)
 
 

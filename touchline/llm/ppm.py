@@ -200,7 +200,7 @@ def _more(order: int, sent):
     return run
 
 
-def score(docs: DataFrame, held_out: Column, order: int = 4, frequent: int = 1 << 16, block: int = 1 << 22) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, order: int = 5, frequent: int = 1 << 16, block: int = 1 << 22) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text), learned from the rows for
     which ``held_out`` is false: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score. ``order`` is at most 6."""

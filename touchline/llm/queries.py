@@ -4,6 +4,7 @@ from __future__ import annotations
 from touchline.llm.bpe import op9_byte_bpe
 from touchline.llm.chat import OP4_SQL, op4_chat_formatting
 from touchline.llm.extraction import op8_html_extraction
+from touchline.llm.jaccard import op10_ngram_jaccard
 from touchline.llm.ppm import op6_ppm_scores
 from touchline.llm.secrets import op3_secret_scan
 from touchline.llm.sharding import op5_sharding
@@ -21,6 +22,7 @@ QUERIES = {
     "op7_threshold_top_k": op7_top_k,
     "op8_html_extraction": op8_html_extraction,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 ORACLE_SQL = {
