@@ -98,9 +98,12 @@ def labelled_samples(docs: DataFrame, max_docs: int = 8192, text: str = "text")
     """Samples labelled by the rules, from at most ``max_docs`` documents that a
     rule may hit (those with the smallest hash of their text): the values of
     long matches are random strings, whole words of letters ordinary ones."""
-    hit = (docs.select(clean_text(text).alias("t"))
+    may = (docs.select(clean_text(text).alias("t"))
            .filter(F.col("t").rlike("(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{12}|" + HEX))
-           .orderBy(F.xxhash64("t"), "t").limit(max_docs))
+           .withColumn("h", F.xxhash64("t")))
+    # the hashes alone are sorted; then only the texts up to the last one move
+    last = may.select("h").distinct().orderBy("h").limit(max_docs).agg(F.max("h")).first()[0]
+    hit = may.filter(F.col("h") <= F.lit(last)).groupBy("h").agg(F.min("t").alias("t"))
     t = F.col("t")
     values = F.concat(F.regexp_extract_all(t, F.lit(ACCESS), F.lit(0)), F.regexp_extract_all(t, F.lit(HEX), F.lit(0)),
                       F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(2)))
