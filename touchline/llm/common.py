@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -152,3 +152,11 @@ def batch_of(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     """A record batch from columns in the schema's order."""
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type)
                                        for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, which bound a worker's memory."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import ship, table
+from touchline.llm.common import ship, slices, table
 
 ship(__name__)
 
@@ -356,7 +356,7 @@ def extract(pages: DataFrame, chain: Chain) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Chain(*sent.value)
-        for b in batches:
+        for b in slices(batches):
             texts = []
             for html in b.column(2):
                 page = blocks(html.as_py())

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import in_filter, key_filter, rolling, ship, stored, table, word_codes, word_hashes
+from touchline.llm.common import in_filter, key_filter, rolling, ship, slices, stored, table, word_codes, word_hashes
 
 ship(__name__)
 
@@ -73,14 +73,6 @@ def class_hash(own: np.ndarray) -> int | None:
     return None if not len(own) else int(np.uint64(xxhash.xxh3_64_intdigest(own.tobytes())).view(np.int64))
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """The batches in slices, which bound a worker's memory."""
-    pa.set_memory_pool(pa.system_memory_pool())
-    for b in batches:
-        for i in range(0, b.num_rows, rows):
-            yield b.slice(i, rows)
-
-
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, 4096):
         _, codes, words = word_codes(b.column(0))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.llm.common import crc_mod, ship, table, word_codes
+from touchline.llm.common import crc_mod, ship, slices, table, word_codes
 
 ship(__name__)
 
@@ -41,7 +41,7 @@ STRIP = ".,;:!?\"'()[]{}|*#$%&@<>=+-_/\\~`^«»„“”’…"
 @dataclass(frozen=True)
 class Settings:
     max_positive: int = 4096
-    max_unlabelled: int = 12288
+    max_unlabelled: int = 8192
     min_positive_docs: int = 3   # a feature occurs in so many positive texts at least
     epochs: int = 40
     batch: int = 512
@@ -54,7 +54,7 @@ class Settings:
 @dataclass(frozen=True)
 class Model:
     bias: float
-    keys: np.ndarray             # sorted feature hashes (uint64)
+    keys: np.ndarray             # sorted feature hashes (uint32)
     weights: np.ndarray
 
 
@@ -63,7 +63,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     beginnings. Returns (hashes, number of the word)."""
     import xxhash
 
-    h, out, owner = xxhash.xxh3_64_intdigest, [], []
+    h, out, owner = xxhash.xxh32_intdigest, [], []
     for i, w in enumerate(words):
         w = w.strip(STRIP).lower()
         if not w:
@@ -74,7 +74,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             if len(w) >= k:
                 out.append(h("^" + w[:k]))
                 owner.append(i)
-    return np.array(out, np.uint64), np.array(owner, np.int64)
+    return np.array(out, np.uint32), np.array(owner, np.int64)
 
 
 def text_features(texts: pa.Array, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -110,23 +110,23 @@ def text_features(texts: pa.Array, keys: np.ndarray | None = None) -> tuple[np.n
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, positive, features of each text."""
-    for b in batches:
+    for b in slices(batches):
         doc, feat = text_features(b.column(2))
         offsets = np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(feat.view(np.int64)))],
+            [b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(feat.view(np.int32)))],
             names=["doc_id", "positive", "features"])
 
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, settings: Settings) -> Model:
     """Fit by mini-batches (AdaGrad with an L1 step)."""
     prior = float(np.clip(prior, 1e-3, 1 - 1e-3))
-    flat = np.concatenate(positive) if positive else np.empty(0, np.uint64)
+    flat = np.concatenate(positive) if positive else np.empty(0, np.uint32)
     keys, docs = np.unique(flat, return_counts=True)
     keys = keys[docs >= settings.min_positive_docs]
     bias = float(np.log(prior / (1 - prior)))
     if not len(keys) or not unlabelled:
-        return Model(bias, np.empty(0, np.uint64), np.empty(0))
+        return Model(bias, np.empty(0, np.uint32), np.empty(0))
 
     def rows(texts: list[np.ndarray]) -> list[np.ndarray]:
         out = []
@@ -182,17 +182,17 @@ def train(docs: DataFrame, labelled: DataFrame, settings: Settings | None = None
                 .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     n, ones = labelled.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not n:
-        return Model(0.0, np.empty(0, np.uint64), np.empty(0))
+        return Model(0.0, np.empty(0, np.uint32), np.empty(0))
     by_hash = lambda seed: (F.xxhash64(F.col("doc_id"), F.lit(seed)), F.col("doc_id"))
     marked = lambda rows, positive: rows.select("doc_id", F.lit(positive).alias("positive"))
     sample = marked(labelled.filter("toxic = 1").orderBy(*by_hash(s.seed)).limit(s.max_positive), True).unionAll(
         marked(labelled.orderBy(*by_hash(s.seed + 1)).limit(s.max_unlabelled), False))
     texts = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "positive", "text")
-    rows = (texts.mapInArrow(_features, "doc_id long, positive boolean, features array<long>")
+    rows = (texts.mapInArrow(_features, "doc_id long, positive boolean, features array<int>")
             .groupBy("doc_id", "positive").agg(F.min("features").alias("features")).toArrow())
     order = np.lexsort((rows["doc_id"].to_numpy(),))
     lists = rows["features"].combine_chunks()
-    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint32)
     positive = rows["positive"].to_numpy()
     pick = lambda which: [flat[at[i]:at[i + 1]] for i in order if positive[i] == which]
     return fit(pick(True), pick(False), ones / n, s)
@@ -206,7 +206,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, keys, weights = sent.value
-        for b in batches:
+        for b in slices(batches):
             doc, place = text_features(b.column(at), keys)
             z = (np.bincount(doc, weights[place], b.num_rows) if len(doc) else np.zeros(b.num_rows)) + bias
             yield pa.RecordBatch.from_arrays(
