@@ -15,7 +15,7 @@ def w(spark):
 
 
 def test_both_models_reconcile_to_source_total(w):
-    total = w.stg_portfolio_revenue.agg(F.sum(F.col("revenue_amount").cast("decimal(18,2)"))).first()[0]
+    total = w.stg_portfolio_revenue.agg(F.sum(F.col("revenue_amount").cast("decimal(30,8)"))).first()[0]
     rows = analytics.channel_revenue_ranking(w.fct_attributed_revenue).collect()
     last = sum(r["last_touch_revenue"] or 0 for r in rows)
     first = sum(r["first_touch_revenue"] or 0 for r in rows)

@@ -5,9 +5,10 @@ so they stay inside whole-stage codegen (no Python UDF anywhere).
 
 Numeric conventions (they decide cross-engine parity, see README "Numerics"):
 
-* Money amounts carry two decimals in the sources.  Sums are taken over
-  ``DECIMAL(18, 2)`` (exact, independent of partitioning and summation order)
-  and cast back to ``DOUBLE`` at the edge.
+* Amounts are summed as ``DECIMAL(30, 8)`` (independent of partitioning and
+  summation order) and cast back to ``DOUBLE`` at the edge.  No amount is cut to
+  cents; :func:`touchline.operators.quality.amount_precision` counts the amounts
+  that eight decimals do not hold.
 * Rounding is ``round(x * 10^n) / 10^n`` on doubles (:func:`round_dp`), which is
   bit-for-bit what a binary-rounding engine does (including the sign of a
   result that rounds to zero), instead of Spark's decimal-string HALF_UP
@@ -39,22 +40,25 @@ def round_dp(c: ColumnOrName, n: int) -> Column:
     return F.signum(x) * (F.round(F.abs(x) * F.lit(scale)) / F.lit(scale))
 
 
-def money(c: ColumnOrName, scale: int = 2) -> Column:
-    """Exact decimal view of an amount that already has ``scale`` decimals."""
-    return _c(c).cast(f"decimal(18,{scale})")
+MONEY = "decimal(30,8)"
 
 
-def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
-    """Order-independent sum of amounts with ``scale`` decimals, as DOUBLE."""
-    return F.sum(money(c, scale)).cast("double")
+def money(c: ColumnOrName) -> Column:
+    """Decimal view of an amount, eight decimals."""
+    return _c(c).cast(MONEY)
 
 
-def money_mean(c: ColumnOrName, scale: int = 2) -> Column:
-    """Order-independent mean of amounts with ``scale`` decimals, as DOUBLE.
+def money_sum(c: ColumnOrName) -> Column:
+    """Order-independent sum of amounts, as DOUBLE."""
+    return F.sum(money(c)).cast("double")
+
+
+def money_mean(c: ColumnOrName) -> Column:
+    """Order-independent mean of amounts, as DOUBLE.
 
     NULL inputs are ignored like ``avg``; an all-NULL group gives NULL.
     """
-    return F.sum(money(c, scale)).cast("double") / F.nullif(F.count(_c(c)), F.lit(0))
+    return F.sum(money(c)).cast("double") / F.nullif(F.count(_c(c)), F.lit(0))
 
 
 def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:

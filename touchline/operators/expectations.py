@@ -102,16 +102,16 @@ def relationships_summary(specs: Sequence[tuple[str, DataFrame, str, DataFrame,
 # ---------------------------------------------------------------------------
 
 
-def _total(df: DataFrame, col: str, scale: int = 2) -> F.Column:
+def _total(df: DataFrame, col: str) -> F.Column:
     """Exact total of an amount column as a scalar subquery (DECIMAL)."""
-    return df.agg(F.sum(money(col, scale))).scalar()
+    return df.agg(F.sum(money(col))).scalar()
 
 
 def reconcile_revenue_to_source(fact: DataFrame, revenue: DataFrame,
                                 tolerance: float = RECONCILIATION_TOLERANCE) -> DataFrame:
     """Fact total equals the source total within ``tolerance``."""
     fct, src = _total(fact, "revenue_amount"), _total(revenue, "revenue_amount")
-    diff = (fct - src).cast("double")
+    diff = (fct.cast("decimal(37,8)") - src.cast("decimal(37,8)")).cast("double")
     return fact.sparkSession.range(1).select(
         F.lit("revenue_reconciles_to_source").alias("test_name"),
         round_dp(fct.cast("double"), 2).alias("fct_total"),
@@ -152,7 +152,7 @@ def reconcile_row_count(fact: DataFrame, revenue: DataFrame) -> DataFrame:
 def reconcile_campaign_not_exceeds_total(campaign_attribution: DataFrame, revenue: DataFrame,
                                          tolerance: float = RECONCILIATION_TOLERANCE) -> DataFrame:
     """Revenue split over campaigns does not exceed the source total."""
-    attr = _total(campaign_attribution, "attributed_revenue", 4).cast("double")
+    attr = _total(campaign_attribution, "attributed_revenue").cast("double")
     total = _total(revenue, "revenue_amount").cast("double")
     return campaign_attribution.sparkSession.range(1).select(
         F.lit("campaign_attribution_not_exceeds_total").alias("test_name"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.functions.exprs import round_dp, safe_div
+from touchline.functions.exprs import MONEY, money_sum, round_dp, safe_div
 from touchline.operators.joins import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, lookup_join,
                                       null_aware_anti_count)
 from touchline.sources import schemas
@@ -156,10 +156,21 @@ def anchors(raw: RawTables) -> DataFrame:
     """Total users and total revenue (2 dp), one row."""
     users = raw.user_signups.agg(F.count(F.lit(1))).scalar()
     return raw.portfolio_revenue.agg(
-        round_dp(F.sum(F.col("revenue_amount").cast("decimal(18,2)")).cast("double"), 2).alias("total_revenue")
+        round_dp(money_sum("revenue_amount"), 2).alias("total_revenue")
     ).select(users.cast("bigint").alias("total_users"), "total_revenue")
 
 
+def amount_precision(raw: RawTables) -> DataFrame:
+    """One row: revenue rows, amounts beyond the decimal's range, and amounts
+    with more decimals than it holds (their sums are exact to 8 decimals only)."""
+    amount = F.col("revenue_amount").cast("double")
+    held = amount.try_cast(MONEY)
+    return raw.portfolio_revenue.agg(
+        F.count(F.lit(1)).alias("revenue_rows"),
+        F.count_if(amount.isNotNull() & held.isNull()).alias("beyond_range"),
+        F.count_if(held.cast("double") != amount).alias("beyond_scale"))
+
+
 def gate_failures(report: DataFrame) -> DataFrame:
     """Rows of the report that fail the run: error severity with a count > 0."""
     return report.where((F.col("severity") == "error") & (F.col("record_count") > 0))
@@ -190,7 +201,7 @@ def source_profile(raw: RawTables) -> DataFrame:
     revenue = r.agg(F.struct(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("revenue_type") == "recurring").alias("recurring"),
-        F.sum(F.col("revenue_amount").cast("decimal(18,2)")).cast("double").alias("total"))).scalar()
+        money_sum("revenue_amount").alias("total"))).scalar()
     users = u.agg(
         F.count(F.lit(1)).alias("users"),
         pct(blank("utm_source")).alias("user_missing_utm_source_pct"),

@@ -43,7 +43,8 @@ def channel_ranking_rows(fact: DataFrame) -> DataFrame:
         "channel",
         round_dp(l_rev, 2).alias("last_touch_revenue"),
         round_dp(f_rev, 2).alias("first_touch_revenue"),
-        round_dp(_dbl(F.col("l_amt") - F.col("f_amt")), 2).alias("last_minus_first"),
+        round_dp(_dbl(F.col("l_amt").cast("decimal(37,8)") - F.col("f_amt").cast("decimal(37,8)")), 2)
+        .alias("last_minus_first"),
         F.rank().over(everything.orderBy(F.desc_nulls_last("l_amt"))).cast("bigint").alias("last_touch_rank"),
         F.rank().over(everything.orderBy(F.desc_nulls_last("f_amt"))).cast("bigint").alias("first_touch_rank"),
         round_dp(safe_div(F.lit(100.0) * l_rev, _dbl(F.sum("l_amt").over(everything))), 1)
@@ -73,7 +74,7 @@ def campaign_roi_coverage(roi: DataFrame, fact: DataFrame) -> DataFrame:
 
 def cac_by_channel_company(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Q3 ordered by company, then CAC with NULLs last."""
-    return cac_rows(fact, campaigns).orderBy(F.asc("company_id"), F.asc_nulls_last("cac"))
+    return cac_rows(fact, campaigns).orderBy(F.asc_nulls_last("company_id"), F.asc_nulls_last("cac"))
 
 
 def cac_rows(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
@@ -97,7 +98,7 @@ def cac_rows(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
 
 def cohort_retention_by_channel(fact: DataFrame, max_index: int = 12) -> DataFrame:
     """Q4 ordered by channel and month index."""
-    return retention_rows(fact, max_index).orderBy("channel", "month_index")
+    return retention_rows(fact, max_index).orderBy(F.asc_nulls_last("channel"), F.asc_nulls_last("month_index"))
 
 
 def retention_rows(fact: DataFrame, max_index: int = 12) -> DataFrame:
@@ -132,11 +133,11 @@ def revenue_trend_by_channel(fact: DataFrame) -> DataFrame:
         "channel",
         month_str("revenue_month").alias("month"),
         round_dp(_dbl("amt"), 2).alias("revenue"),
-        round_dp(safe_div(F.lit(100.0) * _dbl(F.col("amt") - prev), _dbl(prev)), 1).alias("mom_growth_pct"),
-        round_dp(_dbl(F.sum("amt").over(trailing)) / F.count(F.lit(1)).over(trailing), 2)
+        round_dp(safe_div(F.lit(100.0) * _dbl(F.col("amt").cast("decimal(37,8)") - prev.cast("decimal(37,8)")), _dbl(prev)), 1).alias("mom_growth_pct"),
+        round_dp(safe_div(F.sum("amt").over(trailing), F.count("amt").over(trailing)), 2)
         .alias("trailing_3mo_avg"),
         "revenue_month",
-    ).orderBy("channel", "revenue_month").drop("revenue_month")
+    ).orderBy(F.asc_nulls_last("channel"), F.asc_nulls_last("revenue_month")).drop("revenue_month")
 
 
 def forecast_by_company(fact: DataFrame, horizon: int = 3, trailing_months: int = 3,
@@ -150,7 +151,7 @@ def forecast_by_company(fact: DataFrame, horizon: int = 3, trailing_months: int
     since = lambda n: F.col("revenue_month") >= F.add_months("last_month", -(n - 1))
     mean = (monthly.where(since(trailing_months))
             .groupBy("company_id", "last_month")
-            .agg(round_dp(_dbl(F.sum("amt")) / F.count(F.lit(1)), 2).alias("avg_rev")))
+            .agg(round_dp(safe_div(F.sum("amt"), F.count("amt")), 2).alias("avg_rev")))
     actual = monthly.where(since(actual_months)).select(
         "company_id", "revenue_month", round_dp(_dbl("amt"), 2).alias("revenue"),
         F.lit("actual").alias("row_type"))
@@ -160,11 +161,11 @@ def forecast_by_company(fact: DataFrame, horizon: int = 3, trailing_months: int
                         F.col("avg_rev").alias("revenue"), F.lit("forecast").alias("row_type")))
     return (actual.unionByName(forecast)
             .select("company_id", month_str("revenue_month").alias("month"), "revenue", "row_type")
-            .orderBy("company_id", "month"))
+            .orderBy(F.asc_nulls_last("company_id"), F.asc_nulls_last("month")))
 
 
 def channel_revenue_totals(fact: DataFrame) -> DataFrame:
     """Q7: revenue per last-touch channel rounded to whole units, descending."""
     return (fact.groupBy(F.col("last_touch_channel").alias("channel"))
             .agg(round_dp(_dbl(F.sum(money("revenue_amount"))), 0).alias("revenue"))
-            .orderBy(F.desc("revenue")))
+            .orderBy(F.desc_nulls_last("revenue")))

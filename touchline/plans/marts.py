@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.functions.exprs import money_mean, money_sum, month_str, round_dp, safe_div
+from touchline.functions.exprs import money, money_mean, money_sum, month_str, round_dp, safe_div
 from touchline.sources import schemas
 
 
@@ -45,7 +45,7 @@ def revenue_rollup(fact: DataFrame) -> DataFrame:
     retention) still read the fact.
     """
     return (fact.groupBy("company_id", "revenue_month", "last_touch_channel", "first_touch_channel")
-            .agg(F.sum(F.col("revenue_amount").cast("decimal(18,2)")).alias("revenue_amount"),
+            .agg(F.sum(money("revenue_amount")).alias("revenue_amount"),
                  F.count(F.lit(1)).alias("revenue_rows")))
 
 
@@ -54,7 +54,7 @@ def fct_campaign_roi(campaigns: DataFrame, campaign_attribution: DataFrame) -> D
     aggregated to campaign grain *before* the join, so budgets never fan out."""
     attributed = (campaign_attribution.groupBy("campaign_id")
                   .agg(F.count_distinct("user_id").alias("attributed_users"),
-                       round_dp(money_sum("attributed_revenue", 4), 2).alias("attributed_revenue"))
+                       round_dp(money_sum("attributed_revenue"), 2).alias("attributed_revenue"))
                   .withColumnRenamed("campaign_id", "__cid"))
     j = campaigns.join(attributed, campaigns["campaign_id"] == attributed["__cid"], "left")
     rev = F.coalesce("attributed_revenue", F.lit(0.0))
@@ -73,7 +73,7 @@ def fct_content_performance(content: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("content_pieces"),
                  F.sum("views").cast("bigint").alias("total_views"),
                  F.sum("clicks").cast("bigint").alias("total_clicks"),
-                 round_dp(money_mean("click_through_rate", 4), 4).alias("avg_click_through_rate"),
+                 round_dp(money_mean("click_through_rate"), 4).alias("avg_click_through_rate"),
                  round_dp(safe_div(F.sum("clicks"), F.sum("views")), 4).alias("blended_click_through_rate"),
                  F.count_if(~F.col("has_utm_source")).alias("pieces_missing_utm_source")))
 

@@ -118,9 +118,9 @@ def top_channel_share(fact: DataFrame, channels: Sequence[str] = TOP_CHANNELS) -
     top = F.sum(F.when(F.col("last_touch_channel").isin(list(channels)), amt))
     total = F.sum(amt)
     return fact.agg(
-        round_dp(_dbl(F.coalesce(top, F.lit(0).cast("decimal(18,2)"))), 2).alias("top_revenue"),
+        round_dp(_dbl(F.coalesce(top, F.lit(0).cast("decimal(38,8)"))), 2).alias("top_revenue"),
         round_dp(_dbl(total), 2).alias("total_revenue"),
-        round_dp(safe_div(F.lit(100.0) * _dbl(F.coalesce(top, F.lit(0).cast("decimal(18,2)"))), _dbl(total)), 1)
+        round_dp(safe_div(F.lit(100.0) * _dbl(F.coalesce(top, F.lit(0).cast("decimal(38,8)"))), _dbl(total)), 1)
         .alias("pct_of_total"),
     )
 

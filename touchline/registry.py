@@ -88,13 +88,14 @@ MODELS = [
 
 QUERIES: dict[str, Query] = {name: _model(name) for name in MODELS}
 QUERIES.update({
-    # M8 both ways: plain (channel, company) equi join with a range residual,
-    # and month-bucketed windows (the scale path, used by the marts).
-    "int_campaign_attribution": _model("int_campaign_attribution", bucketed=False),
+    # M8 by month-bucketed windows (the plain form, a range residual on 24 keys,
+    # is kept for the equality test)
+    "int_campaign_attribution": _model("int_campaign_attribution", bucketed=True),
     "int_campaign_attribution_bucketed": _model("int_campaign_attribution", bucketed=True),
     # data quality (D1-D25) and ingest manifest (IO6)
     "dq_report": _raw(lambda spark, raw: quality.dq_report(spark, raw)),
     "dq_source_profile": _raw(lambda spark, raw: quality.source_profile(raw)),
+    "dq_amount_precision": _raw(lambda spark, raw: quality.amount_precision(raw)),
     "dq_anchors": _raw(lambda spark, raw: quality.anchors(raw)),
     "dq_gate_failures": _raw(lambda spark, raw: quality.gate_failures(quality.dq_report(spark, raw))),
     "ingest_manifest": _raw(lambda spark, raw: manifest(raw)),

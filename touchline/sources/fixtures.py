@@ -18,7 +18,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.functions.exprs import month_start, month_str, pick
+from touchline.functions.exprs import money, month_start, month_str, pick
 from touchline.sources import schemas
 from touchline.sources.files import conform
 from touchline.sources.tables import RawTables
@@ -42,8 +42,8 @@ def campaigns_from_parts(part: DataFrame) -> DataFrame:
         channel.alias("channel"),
         F.concat(F.lit("CTC-00"), ((F.floor(p / 6) % 4) + 1).cast("string")).alias("target_company"),
         F.element_at(F.array(*[F.lit(b) for b in BUDGETS]), (p % 7 + 1).cast("int")).alias("budget"),
-        _days_after(EPOCH, p * 5).alias("start_date"),
-        _days_after(EPOCH, p * 5 + 120 + (p % 5) * 60).alias("end_date"),
+        _days_after(EPOCH, (p * 37) % 730 - 45).alias("start_date"),
+        _days_after(EPOCH, (p * 37) % 730 - 45 + 2 + p % 6 + F.when(p % 40 == 0, 60).otherwise(0)).alias("end_date"),
         tag.alias("utm_campaign"),
     )
     return conform(df, schemas.CAMPAIGN_METADATA)
@@ -73,9 +73,10 @@ def _customer_months(orders: DataFrame) -> DataFrame:
     return (orders
             .select(F.col("o_custkey").alias("k"),
                     month_start(F.col("o_orderdate")).alias("month"),
-                    F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+                    F.col("o_orderdate").cast("date").alias("day"),
+                    money("o_totalprice").alias("price"))
             .groupBy("k", "month")
-            .agg(F.sum("price").cast("double").alias("amount")))
+            .agg(F.sum("price").cast("double").alias("amount"), F.min("day").alias("first_order")))
 
 
 def signups_from_customers(customer: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -86,10 +87,12 @@ def signups_from_customers(customer: DataFrame, firsts: DataFrame) -> DataFrame:
     def content_id(i):
         return F.when(i <= 5, F.format_string("CNT-%08d", i + (k % 33) * 6))
 
-    df = (customer.join(firsts, customer["c_custkey"] == firsts["k"], "inner")
+    # a customer without orders signed up as well, and has no revenue
+    first = F.coalesce("first_order_date", _days_after(EPOCH, k % 700))
+    df = (customer.join(firsts, customer["c_custkey"] == firsts["k"], "left")
           .select(
               F.format_string("USR-%09d", k).alias("user_id"),
-              F.date_sub(F.col("first_order_date"), (k % 45).cast("int")).alias("signup_date"),
+              F.date_sub(first, (k % 45).cast("int")).alias("signup_date"),
               F.concat(F.lit("CTC-00"), (F.col("c_nationkey") % 4 + 1).cast("string")).alias("company_id"),
               pick(schemas.SIGNUP_CHANNELS, f).alias("first_touch_channel"),
               pick(schemas.SIGNUP_CHANNELS, l_idx).alias("last_touch_channel"),
@@ -109,11 +112,10 @@ def signups_from_customers(customer: DataFrame, firsts: DataFrame) -> DataFrame:
 
 def revenue_from_orders(months: DataFrame, firsts: DataFrame, customer: DataFrame) -> DataFrame:
     k = F.col("k")
-    one_time = k % 10 < 4
+    one_time = F.col("n_months") == 1
     cust = customer.select(F.col("c_custkey").alias("k"), "c_nationkey")
-    df = (months.join(firsts.select("k", "first_month"), "k")
+    df = (months.join(firsts.select("k", "n_months"), "k")
           .join(cust, "k")
-          .where(~one_time | (F.col("month") == F.col("first_month")))
           .select(
               F.format_string("USR-%09d", k).alias("user_id"),
               F.concat(F.lit("CTC-00"), (F.col("c_nationkey") % 4 + 1).cast("string")).alias("company_id"),
@@ -131,11 +133,8 @@ def from_tpch(spark: SparkSession, sf_dir: str) -> RawTables:
     orders = spark.read.parquet(os.path.join(sf_dir, "orders.parquet")).select(
         "o_custkey", "o_orderdate", "o_totalprice")
     months = _customer_months(orders)
-    # First order per customer straight from orders: one partial+final
-    # aggregate (one shuffle of at most #customers x #map-tasks rows).
-    firsts = (orders.groupBy(F.col("o_custkey").alias("k"))
-              .agg(F.min(F.col("o_orderdate").cast("date")).alias("first_order_date"))
-              .withColumn("first_month", F.trunc("first_order_date", "month")))
+    # First order and number of order months per customer, from the months.
+    firsts = months.groupBy("k").agg(F.min("first_order").alias("first_order_date"), F.count(F.lit(1)).alias("n_months"))
     return RawTables(
         campaign_metadata=campaigns_from_parts(part),
         content_performance=content_from_parts(part),
