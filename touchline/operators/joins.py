@@ -1,11 +1,8 @@
 """Join operators with explicit, size-checked physical choices.
 
-* :func:`bounded_broadcast` broadcasts a side only after proving it has at
-  most ``max_rows`` rows (an exact ``limit(max_rows + 1).count()`` probe: every
-  input split stops after max_rows + 1 rows, so a large side costs at most one
-  partial scan); beyond the bound the caller's shuffle path is used instead.
-  The sides we probe are narrow (at most seven short columns), so the row
-  bound is also a memory bound.
+* :func:`bounded_broadcast` broadcasts a side only after counting its rows and
+  bytes (one aggregate: each task sends one row) and finding both within bounds;
+  beyond them the caller's shuffle path is used instead.
 * :func:`lookup_join` is the many-to-one tag lookup: broadcast when small,
   else reduced to the probe's keys and re-checked, else a salted shuffle join.
 * :func:`interval_join` is the campaign-window join: equality on some keys
@@ -24,24 +21,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows of at most seven short columns) we ship to every executor.
+# Largest side we ship to every executor.
 DEFAULT_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 << 20
+# Probe rows per salt of a salted join (a key may hold all of them).
+ROWS_PER_SALT = 2_000_000
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (exact).  Each input split
-    is read only up to ``max_rows + 1`` rows (LocalLimit) before the global count."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` by one aggregate: text by its length, any other
+    value as 16 bytes."""
+    width = F.lit(0)
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) + 16 if kind in ("string", "binary") else F.lit(16))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()
+    return rows, size or 0
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(df_with_broadcast_hint, True)`` if ``df`` is provably small,
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Return ``(df_with_broadcast_hint, True)`` if ``df`` is within both bounds,
     else ``(df, False)`` so the join falls back to a shuffle join."""
-    if row_count_at_most(df, max_rows):
+    rows, size = measured(df)
+    if rows <= max_rows and size <= max_bytes:
         return F.broadcast(df), True
     return df, False
 
 
+def salts_for(probe: DataFrame, least: int = 16) -> int:
+    """Salts that leave ``ROWS_PER_SALT`` rows to a task even if one key holds
+    all of ``probe``; grows with it."""
+    return max(least, -(-probe.count() // ROWS_PER_SALT))
+
+
 def broadcast_lookup(lookup: DataFrame, probe: DataFrame, lookup_key: str, probe_key: str,
                      max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Prepare the lookup side of a many-to-one join on ``probe_key == lookup_key``.
@@ -68,8 +81,8 @@ def _salts(n: int) -> Column:
 
 
 def lookup_join(probe: DataFrame, lookup: DataFrame, probe_key: str, lookup_key: str, how: str = "left",
-                max_rows: int = DEFAULT_BROADCAST_ROWS, salt_on: str | None = None,
-                salt_buckets: int = 16) -> DataFrame:
+                max_rows: int = DEFAULT_BROADCAST_ROWS, *, salt_on: str,
+                salt_buckets: int | None = None) -> DataFrame:
     """Many-to-one join of ``probe`` to ``lookup`` on ``probe_key == lookup_key``.
 
     Broadcasts the lookup side when it (or its reduction to the probe's keys,
@@ -81,9 +94,10 @@ def lookup_join(probe: DataFrame, lookup: DataFrame, probe_key: str, lookup_key:
     side arrives already partitioned by the key, without an exchange to split.)
     """
     side, small = broadcast_lookup(lookup, probe, lookup_key, probe_key, max_rows)
-    if small or salt_buckets <= 1:
+    if small or salt_buckets == 1:
         return probe.join(side, probe[probe_key] == side[lookup_key], how)
-    p = probe.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_on or probe_key)), F.lit(salt_buckets)))
+    salt_buckets = salt_buckets or salts_for(probe)
+    p = probe.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_on)), F.lit(salt_buckets)))
     s = side.withColumn("__salt", _salts(salt_buckets))
     return p.join(s, (p[probe_key] == s[lookup_key]) & (p["__salt"] == s["__salt"]), how).drop("__salt")
 
@@ -107,7 +121,7 @@ def month_buckets(df: DataFrame, lo: str, hi: str, bucket: str = "bucket_month")
 def interval_join(points: DataFrame, windows: DataFrame, *, point_keys: Sequence[str],
                   window_keys: Sequence[str], point: str, lo: str, hi: str,
                   bucketed: bool = True, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  salt_buckets: int = 16, salt_on: str | None = None) -> DataFrame:
+                  salt_buckets: int | None = None, salt_on: str) -> DataFrame:
     """Inner join ``points`` to ``windows`` on equal keys and
     ``points[point] BETWEEN windows[lo] AND windows[hi]``.
 
@@ -138,9 +152,9 @@ def interval_join(points: DataFrame, windows: DataFrame, *, point_keys: Sequence
             on = c if on is None else on & c
         windows = windows.join(keys, on, "left_semi")
         side, small = bounded_broadcast(windows, max_broadcast_rows)
-    if not small and salt_buckets > 1:
-        salt_col = salt_on or pk[0]
-        points = points.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets)))
+    if not small and salt_buckets != 1:
+        salt_buckets = salt_buckets or salts_for(points)
+        points = points.withColumn("__salt", F.pmod(F.xxhash64(F.col(salt_on)), F.lit(salt_buckets)))
         side = windows.withColumn("__salt", _salts(salt_buckets))
         pk, wk = pk + ["__salt"], wk + ["__salt"]
     cond: Column = F.col(point).between(F.col(lo), F.col(hi))

@@ -81,7 +81,7 @@ def int_user_journey(attribution: DataFrame, user_revenue: DataFrame) -> DataFra
 
 def int_campaign_attribution(journey: DataFrame, campaigns: DataFrame, *, bucketed: bool = True,
                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                             salt_buckets: int = 16) -> DataFrame:
+                             salt_buckets: int | None = None) -> DataFrame:
     """M8: credit a campaign iff its channel = the user's last touch, its company
     = the user's company and the signup date lies in the closed campaign window;
     the user's lifetime revenue is split 1/N over the N matches (4 dp).

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from touchline.operators import expectations as ex
 from touchline.plans.warehouse import Warehouse
@@ -68,3 +69,40 @@ def accepted_values(w: Warehouse) -> DataFrame:
 
 def relationships(w: Warehouse) -> DataFrame:
     return ex.relationships_summary([(m, w.model(m), c, w.model(p), pc) for m, c, p, pc in RELATIONSHIPS])
+
+
+class ModelTestError(RuntimeError):
+    """Raised by :func:`enforce` when a model test fails."""
+
+
+def every_test(w: Warehouse) -> DataFrame:
+    """All column tests (G1-G4) and reconciliations (R1-R4): test_name, model,
+    column_name, failing_rows."""
+    recon = {
+        "fct_attributed_revenue": [
+            ex.reconcile_revenue_to_source(w.fct_attributed_revenue, w.stg_portfolio_revenue),
+            ex.reconcile_row_count(w.fct_attributed_revenue, w.stg_portfolio_revenue),
+            ex.reconcile_attributed_not_exceeds_total(w.fct_attributed_revenue, w.stg_portfolio_revenue)],
+        "int_campaign_attribution": [
+            ex.reconcile_campaign_not_exceeds_total(w.int_campaign_attribution, w.stg_portfolio_revenue)],
+    }
+    out = not_null(w).unionByName(unique(w)).unionByName(accepted_values(w)).unionByName(relationships(w))
+    for model, tests in recon.items():
+        for t in tests:
+            out = out.unionByName(t.groupBy("test_name").agg(F.sum("failing_rows").alias("failing_rows")).select(
+                "test_name", F.lit(model).alias("model"), F.lit(None).cast("string").alias("column_name"), "failing_rows"))
+    return out
+
+
+def failing_tests(w: Warehouse) -> DataFrame:
+    return every_test(w).where(F.col("failing_rows") > 0)
+
+
+def enforce(tests: DataFrame) -> None:
+    """Raise :class:`ModelTestError` naming the tests of ``tests`` (see
+    :func:`every_test`) that fail; at most one row per test is collected."""
+    bad = tests.where(F.col("failing_rows") > 0).collect()
+    if bad:
+        raise ModelTestError(f"{len(bad)} model test(s) failed: " + ", ".join(
+            f"{r['test_name']}({r['model']}{'.' + r['column_name'] if r['column_name'] else ''})={r['failing_rows']}"
+            for r in bad))

@@ -51,7 +51,7 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
     """V3: total revenue per month."""
     return (fact.groupBy("revenue_month")
             .agg(round_dp(_dbl(F.sum(money("revenue_amount"))), 2).alias("revenue"))
-            .orderBy("revenue_month")
+            .orderBy(F.asc_nulls_last("revenue_month"))
             .select(month_str("revenue_month").alias("month"), "revenue"))
 
 
@@ -79,7 +79,7 @@ def top_campaigns(roi: DataFrame, k: int = 8) -> DataFrame:
     A top-k: Spark plans it as TakeOrderedAndProject (per-partition top-k, no
     full sort)."""
     return (roi.select("campaign_id", "campaign_name", "channel", "budget", "attributed_revenue", "roi_ratio")
-            .orderBy(F.desc_nulls_last("roi_ratio"), F.asc("campaign_id"))
+            .orderBy(F.desc_nulls_last("roi_ratio"), F.asc_nulls_last("campaign_id"))
             .limit(k))
 
 
@@ -91,7 +91,7 @@ def pooled_retention(fact: DataFrame) -> DataFrame:
                  F.sum("active_users").cast("bigint").alias("active_users"))
             .select("month_index", "cohort_users", "active_users",
                     round_dp(safe_div("active_users", "cohort_users"), 3).alias("retention_rate"))
-            .orderBy("month_index"))
+            .orderBy(F.asc_nulls_last("month_index")))
 
 
 def quality_label_counts(attribution: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def company_revenue(fact: DataFrame, dim_company: DataFrame) -> DataFrame:
     d = literal_broadcast(dim_company.select("company_id", "company_name"))
     return (per_company.join(d, "company_id", "left")
             .select("company_id", "company_name", "revenue")
-            .orderBy(F.desc("revenue")))
+            .orderBy(F.desc_nulls_last("revenue")))
 
 
 def top_channel_share(fact: DataFrame, channels: Sequence[str] = TOP_CHANNELS) -> DataFrame:

@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators.joins import DEFAULT_BROADCAST_ROWS
 from touchline.plans import intermediate, marts, staging
+from touchline.session import checkpoint_dir
 from touchline.sources.files import write_bucketed
 from touchline.sources.tables import RawTables
 
 MATERIALIZED = (
-    "stg_campaign_metadata", "stg_content_performance", "stg_portfolio_revenue",
+    "stg_campaign_metadata", "stg_content_performance",
     "int_user_attribution", "int_user_revenue", "int_user_journey", "int_campaign_attribution",
     "fct_attributed_revenue", "fct_campaign_roi", "fct_content_performance",
     "dim_time", "dim_user_cohort",
@@ -42,8 +43,8 @@ USER_KEYED = (
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder (see :func:`touchline.session.checkpoint_dir`)."""
+    path = checkpoint_dir(spark)
     if not path:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
     return path
@@ -179,7 +180,9 @@ class Warehouse:
             else:
                 writer = df.write.mode("overwrite")
                 if partition_fact_by_month and name == "fct_attributed_revenue":
-                    writer = writer.partitionBy("revenue_month_str")
+                    # rows of a month meet before they are written; AQE splits a large month
+                    writer = (df.hint("rebalance", "revenue_month_str").write.mode("overwrite")
+                              .partitionBy("revenue_month_str"))
                 writer.parquet(path)
                 # read back with the model's schema: no type inference of
                 # partition directory names, same column order as the model

@@ -75,6 +75,17 @@ def _raw(build: Callable[[SparkSession, object], DataFrame]) -> Query:
     return run
 
 
+def _dirty(build: Callable[[Warehouse], DataFrame]) -> Query:
+    """A query over the dirtied sources."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(Warehouse(spark, fixtures.dirtied(raw_layer(spark, sf_dir))))
+    return run
+
+
+def _dirty_report(w: Warehouse) -> DataFrame:
+    return quality.dq_report(w.spark, w.raw, fixtures.DIRTY_RANGE)
+
+
 MODELS = [
     "stg_campaign_metadata", "stg_content_performance", "stg_portfolio_revenue", "stg_user_signups",
     "int_user_attribution", "int_user_revenue", "int_user_journey",
@@ -113,6 +124,13 @@ QUERIES.update({
         lambda w: ex.reconcile_row_count(w.fct_attributed_revenue, w.stg_portfolio_revenue)),
     "reconcile_campaign_not_exceeds_total": _on(
         lambda w: ex.reconcile_campaign_not_exceeds_total(w.int_campaign_attribution, w.stg_portfolio_revenue)),
+    # the checks and tests on dirtied sources, where they trip
+    "dirty_dq_report": _dirty(_dirty_report),
+    "dirty_dq_gate_failures": _dirty(lambda w: quality.gate_failures(_dirty_report(w))),
+    "dirty_failing_tests": _dirty(model_tests.failing_tests),
+    "dirty_revenue_trend_by_channel": _dirty(lambda w: analytics.revenue_trend_by_channel(w.fct_attributed_revenue)),
+    "dirty_forecast_by_company": _dirty(lambda w: analytics.forecast_by_company(w.fct_attributed_revenue)),
+    "dirty_int_user_journey": _dirty(lambda w: w.int_user_journey),
     # analysis queries (Q1-Q7)
     "channel_revenue_ranking": _on(lambda w: analytics.channel_revenue_ranking(w.fct_attributed_revenue)),
     "campaign_roi": _on(lambda w: analytics.campaign_roi(w.fct_campaign_roi)),

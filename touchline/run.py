@@ -1,11 +1,12 @@
-"""End-to-end batch: ingest -> data-quality gate -> marts -> result sets.
+"""End-to-end batch: ingest -> data-quality gate -> marts -> model tests -> result sets.
 
-    python -m touchline.run --sources DIR --out DIR [--no-gate] [--preview N] [--bucket-users N]
+    python -m touchline.run --sources DIR --out DIR [--no-gate] [--preview N] [--bucket-users N] [--signups NAME]
 
 ``--sources`` holds the four source files (campaign_metadata.csv,
 content_performance.csv, portfolio_revenue.csv, user_signups.json).  Raw
-tables, the quality report and the marts are written as Parquet under
-``--out``; each of the seven analysis result sets is written as one CSV
+tables, the quality report, the marts and the results of the model tests are
+written as Parquet under ``--out``; a failing test ends the run before any result
+is written.  Each of the seven analysis result sets is written as one CSV
 (``--out/results/<label>``).  Plain function composition, no scheduler.
 """
 from __future__ import annotations
@@ -16,7 +17,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators import quality
-from touchline.plans import analytics
+from touchline.plans import analytics, model_tests
 from touchline.plans.marts import revenue_rollup
 from touchline.plans.warehouse import Warehouse
 from touchline.sources.files import ingest, load_sources, write_result_csv, write_table
@@ -40,18 +41,22 @@ def result_sets(w: Warehouse, rollup: DataFrame | None = None) -> dict[str, Data
 
 
 def run(spark: SparkSession, sources: str, out: str, gate: bool = True, preview_rows: int = 0,
-        bucket_users: int | None = None) -> Warehouse:
-    raw, manifest = ingest(spark, load_sources(spark, sources), os.path.join(out, "raw"), bucket_users=bucket_users)
+        bucket_users: int | None = None, file_names: dict[str, str] | None = None) -> Warehouse:
+    raw, manifest = ingest(spark, load_sources(spark, sources, file_names), os.path.join(out, "raw"), bucket_users=bucket_users)
     write_table(manifest, os.path.join(out, "raw", "_ingest_manifest"))
     report = quality.dq_report(spark, raw)
     write_table(report, os.path.join(out, "raw", "data_quality_report"))
     if gate:
         quality.enforce_gate(spark.read.parquet(os.path.join(out, "raw", "data_quality_report")))
     w = Warehouse(spark, raw).materialize(os.path.join(out, "marts"), bucket_users=bucket_users)
+    tests = os.path.join(out, "marts", "_model_tests")
+    write_table(model_tests.every_test(w), tests)
+    model_tests.enforce(spark.read.parquet(tests))
     write_table(revenue_rollup(w.fct_attributed_revenue), os.path.join(out, "marts", "_revenue_rollup"))
     rollup = spark.read.parquet(os.path.join(out, "marts", "_revenue_rollup"))
     for label, df in result_sets(w, rollup).items():
-        write_result_csv(df, os.path.join(out, "results", label))  # small aggregated results
+        # a row per campaign is not small
+        write_result_csv(df, os.path.join(out, "results", label), one_file=label != "campaign_roi")
         if preview_rows:
             df.show(preview_rows, truncate=False)
     return w
@@ -65,11 +70,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--preview", type=int, default=0, help="print the first N rows of each result")
     ap.add_argument("--bucket-users", type=int, default=None,
                     help="store user-keyed tables bucketed by user_id into N buckets (shuffle-free user joins)")
+    ap.add_argument("--signups", default=None,
+                    help="file name of the signups, e.g. user_signups.jsonl (one object per line, splittable)")
     args = ap.parse_args(argv)
     from touchline.session import build_session
     spark = build_session(app="touchline-run")
     run(spark, args.sources, args.out, gate=not args.no_gate, preview_rows=args.preview,
-        bucket_users=args.bucket_users)
+        bucket_users=args.bucket_users, file_names={"raw_user_signups": args.signups} if args.signups else None)
     spark.stop()
 
 

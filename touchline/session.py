@@ -37,21 +37,30 @@ def build_session(master: str | None = None, cpus: int | None = None, app: str =
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) create a private scratch folder for it."""
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder that the session or its context names, if any:
+    ``spark.checkpoint.dir``, else the checkpoint folder that the application
+    has set."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="touchline-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # static conf in some deployments; the context dir suffices
-            pass
+    if path:
+        return path
     try:
-        spark.sparkContext.setCheckpointDir(path)
+        own = spark.sparkContext._jsc.sc().getCheckpointDir()
     except Exception:  # no SparkContext handle (e.g. a Spark Connect session)
-        pass
-    return path
+        return None
+    return own.get() if own.isDefined() else None
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """:func:`checkpoint_dir`; where there is none, a private folder is made for
+    a local session (tests), and any other session raises."""
+    path = checkpoint_dir(spark)
+    if path:
+        return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-ckpt-"))
+    return checkpoint_dir(spark)
 
 
 def app_id(spark: SparkSession) -> str:

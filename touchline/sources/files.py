@@ -41,19 +41,26 @@ def read_source(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return conform(df, schema)
 
 
-def missing_sources(data_dir: str, names: dict[str, str] | None = None) -> list[str]:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's own file system for ``path`` has it (local paths, and any
+    scheme that Spark reads: ``file://``, ``hdfs://``, object stores)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def missing_sources(spark: SparkSession, data_dir: str, names: dict[str, str] | None = None) -> list[str]:
     """Paths of required source files that do not exist (checked all at once)."""
     names = names or {k: v[0] for k, v in schemas.SOURCES.items()}
-    return [os.path.join(data_dir, f) for f in names.values()
-            if not os.path.exists(os.path.join(data_dir, f))]
+    paths = [os.path.join(data_dir, f) for f in names.values()]
+    return [p for p in paths if not path_exists(spark, p)]
 
 
 def load_sources(spark: SparkSession, data_dir: str,
                  file_names: dict[str, str] | None = None) -> RawTables:
     """Load the four raw sources from ``data_dir``; fail before reading anything
     if any required file is missing, naming all of them."""
-    file_names = file_names or {k: v[0] for k, v in schemas.SOURCES.items()}
-    missing = missing_sources(data_dir, file_names)
+    file_names = {k: v[0] for k, v in schemas.SOURCES.items()} | (file_names or {})
+    missing = missing_sources(spark, data_dir, file_names)
     if missing:
         raise FileNotFoundError("missing source files: " + ", ".join(missing))
     frames = {
@@ -104,8 +111,10 @@ def write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, ke
     """Write ``df`` as a Parquet table bucketed and sorted by ``key`` at ``path``
     (registered in the session catalog as ``table``) and return it read back
     through the catalog, so joins on ``key`` between tables with the same bucket
-    count need no shuffle."""
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    count need no shuffle. Rows meet by bucket first: one file per bucket. A key
+    with a large share of the rows stays in one bucket; leave such tables
+    unbucketed, where AQE splits the join."""
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))
     return spark.table(table)
 
@@ -148,7 +157,8 @@ def ingest(spark: SparkSession, raw: RawTables, out_dir: str, bucket_users: int
     return tables, observed
 
 
-def write_result_csv(df: DataFrame, path: str) -> None:
-    """Result-set sink: one CSV with a header.  Only for small, already
-    aggregated results (it funnels the rows through one task)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_result_csv(df: DataFrame, path: str, one_file: bool = True) -> None:
+    """Result-set sink: CSV with a header.  ``one_file`` only for results whose
+    size is bounded (by channels, companies and months): it funnels the rows
+    through one task.  Otherwise the parts keep the result's order by name."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)

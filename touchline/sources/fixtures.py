@@ -147,3 +147,50 @@ def from_tpch(spark: SparkSession, sf_dir: str) -> RawTables:
             "raw_user_signups": "customer.parquet+orders.parquet",
         },
     )
+
+
+def _number(c: str) -> F.Column:
+    """The number in an id of the stand-in sources (``USR-000000012`` -> 12)."""
+    return F.substring(F.col(c), 5, 12).cast("long")
+
+
+def dirtied(raw: RawTables) -> RawTables:
+    """The same sources with faults of every kind that the checks and tests look
+    for (FIXTURES.md section 3); rows in the source schemas, nothing else."""
+    k = _number("user_id")
+
+    def swap(name: str, cond, value):
+        kind = {f.name: f.dataType for s in schemas.SOURCES.values() for f in s[1].fields}[name]
+        return F.when(cond, F.lit(value).cast(kind) if not isinstance(value, F.Column) else value).otherwise(F.col(name))
+
+    users = raw.user_signups.withColumns({
+        "company_id": swap("company_id", k % 97 == 3, "CTC-009"),
+        "utm_source": swap("utm_source", k % 89 == 5, "tv"),
+        "utm_campaign": swap("utm_campaign", k % 83 == 7, "cmp_unknown"),
+        "first_touch_content_id": swap("first_touch_content_id", k % 79 == 1, "CNT-none"),
+        "last_touch_content_id": swap("last_touch_content_id", k % 73 == 2, "CNT-none"),
+        "first_touch_channel": swap("first_touch_channel", k % 61 == 6, None),
+        "last_touch_channel": swap("last_touch_channel", k % 59 == 8, "radio"),
+    })
+    users = users.unionAll(users.where(k % 71 == 0))
+    revenue = raw.portfolio_revenue.withColumns({
+        "revenue_amount": swap("revenue_amount", F.col("revenue_month").isin("1996-03", "2001-07"), None),
+        "revenue_month": swap("revenue_month", k % 47 == 1, "1994-01"),
+        "user_id": swap("user_id", k % 53 == 9, F.concat(F.lit("GONE"), F.col("user_id"))),
+    })
+    c = _number("campaign_id")
+    campaigns = raw.campaign_metadata.withColumns({
+        "end_date": swap("end_date", c % 11 == 3, F.date_sub("start_date", 5)),
+        "utm_campaign": swap("utm_campaign", c % 50 == 10, "cmp_001"),
+    })
+    p = _number("content_id")
+    content = raw.content_performance.withColumns({
+        "utm_source": swap("utm_source", p % 19 == 3, "fax"),
+        "utm_campaign": swap("utm_campaign", p % 23 == 4, "cmp_none"),
+    })
+    return RawTables(campaign_metadata=campaigns, content_performance=content, user_signups=users,
+                     portfolio_revenue=revenue, provenance=dict(raw.provenance))
+
+
+#: Date bounds inside the data, for the dirtied sources' range checks.
+DIRTY_RANGE = ("1995-06-01", "1995-12-31")

@@ -32,11 +32,11 @@ def read_stream(spark: SparkSession, name: str, directory: str, fmt: str | None
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        reader = reader.option("header", True).option("dateFormat", "yyyy-MM-dd")
+        reader = reader.option("header", True).option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd")
     elif fmt == "json":
-        reader = reader.option("multiLine", True)  # each file is one JSON array
+        reader = reader.option("multiLine", True).option("mode", "FAILFAST")  # each file is one JSON array
     elif fmt == "jsonl":
-        fmt = "json"
+        fmt, reader = "json", reader.option("mode", "FAILFAST")
     return conform(reader.format(fmt).load(directory), schema)
 
 
