@@ -9,7 +9,8 @@ by the hash of its set; only classes are compared.
 * Points are dealt into blocks that a linked pair surely shares: with the
   shingles in one order (by their rarest word, then hash), two sets of the
   wanted similarity have a common shingle among the first of either. Rare
-  shingles come first, so a passage that many documents share makes no block.
+  shingles come first, so a passage that many documents share makes no block. Of
+  blocks with the same members one is kept.
 * First, each class is verified against one hub of its blocks. Links give
   components, and only blocks with several components go on: their points form
   R-trees (leaves packed by size and coordinates, with upper and lower corners),
@@ -41,7 +42,7 @@ from touchline.llm.common import in_filter, key_filter, rolling, ship, slices, s
 
 ship(__name__)
 
-GROUPS = 32
+GROUPS = 256
 #: Points in a leaf of a block's R-tree.
 LEAF = 32
 
@@ -149,6 +150,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub = rows[1][start]
         if carry is not None:
             hub[start == 0] = last_hub          # the block goes on from the batch before
+        again = np.concatenate([[False], ~new[1:] & (rows[1, 1:] == rows[1, :-1])])     # a class's second row
         many = rows[1] != hub                    # a row of another class than the hub's
         block = np.cumsum(new) - 1
         has = np.bincount(block, many) > 0
@@ -160,19 +162,13 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wait = not has[block[-1]]
         first = 1 if carry is not None and not pending else 0   # the carried row has gone out before
         keep = np.nonzero(out)[0]
-        keep = keep[keep >= first]
+        keep = keep[(keep >= first) & ~again[keep]]
         if len(keep):
             yield pa.RecordBatch.from_arrays([pa.array(rows[0][keep]), pa.array(rows[1][keep]), pa.array(hub[keep]),
                                               pa.array(rows[2][keep].astype(bool))], names=names)
         carry, last_hub, pending = rows[:, -1:], int(hub[-1]), wait
 
 
-def _close_enough(x: Column, y: Column, n: Column, m: Column, percent: int) -> Column:
-    """Whether two points' summed coordinate minima allow a link."""
-    bound = F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b)), F.lit(0), lambda a, v: a + v)
-    return bound * 100 >= F.lit(percent) * (n + m - bound)
-
-
 def leaf_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (i in left, j in right) whose bound allows a link, from two R-trees
     of one level of leaves each (the same tree if ``left`` is ``right``)."""
@@ -322,28 +318,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
     ranks = spark.sparkContext.broadcast(dict(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True)))
 
     points = stored(docs.mapInArrow(_points(k, groups), "doc_id long, n long, cls long, point array<int>"))
-    classes = stored(points.filter(F.col("cls").isNotNull()).groupBy("cls", "n", "point").agg(F.min("doc_id").alias("rep")))
+    classes = stored(points.filter(F.col("cls").isNotNull()).groupBy("cls", "n").agg(F.min("doc_id").alias("rep")))
     bits = spark.sparkContext.broadcast(key_filter(classes.filter("rep IS NOT NULL"), "rep"))
     prefixes = docs.mapInArrow(_prefixes(k, percent, bits, ranks), "shingle long, n long, cls long, indexed boolean")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = stored(prefixes.repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "cls")
-                    .mapInArrow(_shared, "shingle long, cls long, hub long, indexed boolean"))
-
-    # one hub for each class: of those that the bound allows, the one with most common blocks
-    mine = classes.select("cls", "n", "point")
-    theirs = classes.select(F.col("cls").alias("hub"), F.col("n").alias("m"), F.col("point").alias("other"))
-    tried = (blocks.filter("cls <> hub").groupBy("cls", "hub").count().join(mine, "cls").join(theirs, "hub")
-             .filter(_close_enough(F.col("point"), F.col("other"), F.col("n"), F.col("m"), percent))
-             .groupBy("cls").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub")))
+    every_block = stored(prefixes.repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "cls")
+                         .mapInArrow(_shared, "shingle long, cls long, hub long, indexed boolean"))
+    # of blocks with the same members (and the same ones indexed) one is kept, with their number
+    member = lambda seed: F.bit_xor(F.xxhash64("cls", "indexed", F.lit(seed)))
+    kept = (every_block.groupBy("shingle").agg(member(1).alias("x"), member(2).alias("y"), F.count(F.lit(1)).alias("members"))
+            .groupBy("x", "y", "members").agg(F.min("shingle").alias("shingle"), F.count(F.lit(1)).alias("same"))
+            .select("shingle", "members", "same"))
+    blocks = stored(every_block.join(kept, "shingle"))
+
+    # one hub for each class: of those of a fitting size, the one with most common blocks
+    sizes = classes.select("cls", "n")
+    hubs = classes.select(F.col("cls").alias("hub"), F.col("n").alias("m"))
+    tried = (blocks.filter("cls <> hub").groupBy("cls", "hub").agg(F.sum("same").alias("common")).join(sizes, "cls").join(hubs, "hub")
+             .filter(F.greatest("n", "m") * percent <= F.least("n", "m") * 100)
+             .groupBy("cls").agg(F.max(F.struct("common", "hub"))["hub"].alias("hub")))
     links = verify(stored(tried.select(F.col("hub").alias("a"), F.col("cls").alias("b"))), docs, classes, k, percent)
     first = components(links)
 
-    known = mine.join(first.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cls", "n", "point", F.coalesce("root", "cls").alias("comp"))
-    rows = blocks.select("shingle", "cls", "indexed").join(known.select("cls", "comp"), "cls")
-    mixed = rows.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                        F.count(F.lit(1)).alias("members")).filter("x <> y").select("shingle", "members")
-    left = stored(rows.select("shingle", "cls", "indexed").join(mixed, "shingle").join(known, "cls"))
+    known = sizes.join(first.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", F.coalesce("root", "cls").alias("comp"))
+    rows = blocks.select("shingle", "cls", "indexed", "members").join(known, "cls")
+    mixed = rows.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("shingle")
+    left = stored(rows.join(mixed, "shingle"))
+    # points of the classes that are left, one row each
+    used = (points.select("cls", "point").join(left.select("cls").distinct(), "cls", "left_semi")
+            .groupBy("cls").agg(F.min("point").alias("point")))
+    left = left.join(used, "cls")
     small = left.filter(F.col("members") <= chunk).withColumn("chunk", F.lit(0)).withColumn("chunks", F.lit(1))
     big = left.filter(F.col("members") > chunk).withColumn("chunks", F.ceil(F.col("members") / chunk).cast("int"))
     big = big.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
