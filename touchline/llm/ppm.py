@@ -119,8 +119,8 @@ def gram_scores(counts: DataFrame, order: int) -> DataFrame:
             here = here.withColumn("b", low("g", j)).join(below, "b")
         else:
             here = here.withColumn("below", F.lit(0).cast("long"))
-        contexts.append(here.groupBy("c").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"),
-                                              F.sum("below").alias("gone")))
+        contexts.append(stored(here.groupBy("c").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"),
+                                                     F.sum("below").alias("gone"))))
     asked = counts.select("gram", F.col("gram").alias("g"), F.when(F.col("n_train") > 0, F.col("n_train")).alias("n"),
                           F.lit(0.0).alias("logp"), F.lit(0).cast("long").alias("gone"), F.lit(0).cast("long").alias("kinds_above"))
     done: list[DataFrame] = []
@@ -136,7 +136,7 @@ def gram_scores(counts: DataFrame, order: int) -> DataFrame:
         kinds = F.coalesce("kinds", F.lit(0)) - F.col("kinds_above")
         asked = asked.select("gram", "g", "n", "logp", total.alias("t"), kinds.alias("d"),
                              F.coalesce("gone_below", F.lit(0)).alias("gone"), F.coalesce("kinds", F.lit(0)).alias("kinds_above"))
-        asked = stored(asked) if j == order else asked
+        asked = stored(asked)      # each level reads what the one above has left
         done.append(asked.filter(F.col("n").isNotNull()).select(
             "gram", (F.col("logp") + F.log10(F.col("n") / (F.col("t") + F.col("d")))).alias("logp")))
         escape = F.when(F.col("d") > 0, F.log10(F.col("d") / (F.col("t") + F.col("d")))).otherwise(F.lit(0.0))
