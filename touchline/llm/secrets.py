@@ -2,7 +2,7 @@
 
 Fixed rules find assignments, access keys and hex strings. Two character
 Markov models (pair statistics of random strings and of ordinary identifiers,
-with add-one smoothing) find further strings: a run of ``min_chars`` or more of
+smoothed by single characters) find further strings: a run of ``min_chars`` or more of
 ``[A-Za-z0-9+/_=-]`` whose log-likelihood ratio per character pair is at least
 ``threshold`` becomes a span of kind ``markov``, unless it overlaps a span of a
 rule. The models are trained from labelled samples (text, random).
@@ -36,6 +36,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 SIDE = len(ALPHABET) + 1
 RUN = r"[A-Za-z0-9+/_=-]"
+#: Weight of the single-character statistics in the pair statistics.
+BACKOFF = 4.0
 SPAN = "array<struct<start:int,end:int>>"
 
 
@@ -90,7 +92,12 @@ def train(samples: DataFrame) -> list[float]:
     if not any(counts[0]) or not any(counts[1]):
         return [0.0] * (SIDE * SIDE)
     rows = [[sum(c[a * SIDE:(a + 1) * SIDE]) for a in range(SIDE)] for c in counts]
-    logp = lambda k, p: math.log((counts[k][p] + 1) / (rows[k][p // SIDE] + SIDE))
+    ends = [[sum(c[b::SIDE]) for b in range(SIDE)] for c in counts]
+
+    def logp(k: int, p: int) -> float:
+        alone = (ends[k][p % SIDE] + 0.5) / (sum(ends[k]) + 0.5 * SIDE)
+        return math.log((counts[k][p] + BACKOFF * alone) / (rows[k][p // SIDE] + BACKOFF))
+
     return [round(logp(1, p) - logp(0, p), 6) for p in range(SIDE * SIDE)]
 
 

@@ -43,7 +43,7 @@ class Settings:
     max_positive: int = 4096
     max_unlabelled: int = 8192
     min_positive_docs: int = 3   # a feature occurs in so many positive texts at least
-    epochs: int = 40
+    steps: int = 1000            # mini-batches in all, in whole rounds over the unlabelled texts
     batch: int = 512
     rate: float = 0.1
     l1: float = 2e-4
@@ -147,7 +147,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     w, acc, acc_b = np.zeros(len(keys)), np.full(len(keys), 1e-6), 1e-6
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     n_batches = max(1, len(u_rows) // settings.batch)
-    for _ in range(settings.epochs):
+    for _ in range(-(-settings.steps // n_batches)):
         u_order, p_order = rng.permutation(len(u_rows)), rng.permutation(len(p_rows))
         for part, p_part in zip(np.array_split(u_order, n_batches),
                                 np.array_split(np.resize(p_order, max(len(p_order), n_batches * 64)), n_batches), strict=True):
