@@ -129,3 +129,40 @@ def test_literal_dimensions(spark):
     co = {r["company_id"]: r for r in marts.dim_company(spark).collect()}
     assert sorted(co) == ["CTC-001", "CTC-002", "CTC-003", "CTC-004"]
     assert co["CTC-002"]["avg_revenue_per_user_benchmark"] == 85
+
+
+def test_amounts_below_a_cent_are_summed(spark):
+    from touchline.functions.exprs import money_sum
+    from touchline.operators import quality
+    from util import raw_tables, revenue
+    raw = raw_tables(spark, revenues=[revenue(f"u{i}", "2024-01", 0.004) for i in range(1000)] + [revenue("x", "2024-01", 1e-9)])
+    assert raw.portfolio_revenue.agg(money_sum("revenue_amount")).first()[0] == 4.0
+    assert tuple(quality.amount_precision(raw).first()) == (1001, 0, 1)
+
+
+def test_null_months_are_no_part_of_means_and_null_keys_sort_last(spark):
+    import datetime as dt
+
+    from touchline.plans import analytics
+    rows = [("a", "C1", dt.date(2024, m, 1), x) for m, x in ((1, 100.0), (2, None), (3, 300.0))] + [(None, None, dt.date(2024, 1, 1), 5.0)]
+    fact = spark.createDataFrame(rows, "last_touch_channel string, company_id string, revenue_month date, revenue_amount double")
+    trend = analytics.revenue_trend_by_channel(fact).collect()
+    assert [(r.channel, r.trailing_3mo_avg) for r in trend] == [("a", 100.0), ("a", 100.0), ("a", 200.0), (None, 5.0)]
+    forecast = analytics.forecast_by_company(fact).collect()
+    assert [r.revenue for r in forecast if r.company_id == "C1" and r.row_type == "forecast"] == [200.0] * 3
+    assert forecast[-1].company_id is None and forecast[0].company_id == "C1"
+
+
+def test_a_checkpoint_folder_set_by_the_application_is_kept(spark):
+    from touchline.plans.warehouse import shared_dir
+    from touchline.session import checkpoint_dir, ensure_checkpoint_dir
+    before = checkpoint_dir(spark)
+    assert ensure_checkpoint_dir(spark) == before == shared_dir(spark) == ensure_checkpoint_dir(spark)
+
+
+def test_size_probe_sends_one_row_per_task(spark):
+    from touchline.operators.joins import bounded_broadcast, measured
+    df = spark.range(1000).selectExpr("id", "cast(id AS string) AS name")
+    rows, size = measured(df)
+    assert rows == 1000 and size == 1000 * 32 + sum(len(str(i)) for i in range(1000))
+    assert bounded_broadcast(df, 1000)[1] and not bounded_broadcast(df, 999)[1] and not bounded_broadcast(df, 1000, 1000)[1]

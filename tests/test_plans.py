@@ -104,9 +104,12 @@ def test_interval_join_reduction_path(spark):
     from touchline.operators.joins import month_buckets
     sf = "/root/testdata/sf0.01"
     base = warehouse(spark, sf)
-    full = month_buckets(base.stg_campaign_metadata, "start_date", "end_date").count()
-    # a bound below the full bucketed window side, above its reduction to the users' months
-    w = warehouse(spark, sf, max_broadcast_rows=full // 4)
+    full = month_buckets(base.stg_campaign_metadata, "start_date", "end_date", "m")
+    users = base.int_user_journey.selectExpr("last_touch_channel AS channel", "company_id", "trunc(signup_date, 'month') AS m").distinct()
+    reduced = full.join(users, ["channel", "company_id", "m"], "left_semi").count()
+    assert reduced < full.count()
+    # a bound below the full bucketed window side, not below its reduction to the users' months
+    w = warehouse(spark, sf, max_broadcast_rows=reduced)
     assert sorted(w.int_campaign_attribution.collect()) == sorted(base.int_campaign_attribution.collect())
     assert "__salt" not in plan_text(w.int_campaign_attribution)  # the reduced side was broadcast
 

@@ -98,3 +98,32 @@ def test_end_to_end_run_from_files(spark, source_dir):
         "cohort_retention_by_channel", "forecast_3mo_by_company", "revenue_trend_by_channel"])
     rep = spark.read.parquet(os.path.join(out, "raw", "data_quality_report"))
     assert rep.count() == 21
+
+
+def test_run_takes_uris_and_splittable_signups(spark, source_dir):
+    from touchline.run import run
+    with open(os.path.join(source_dir, "users.jsonl"), "w") as f:
+        f.writelines(json.dumps(u) + "\n" for u in USERS)
+    os.remove(os.path.join(source_dir, "user_signups.json"))
+    w = run(spark, f"file://{source_dir}", tempfile.mkdtemp(prefix="touchline-run-"),
+            file_names={"raw_user_signups": "users.jsonl"})
+    assert w.fct_attributed_revenue.count() == 2
+
+
+def test_run_stops_at_a_failing_model_test(spark, source_dir):
+    from touchline.plans.model_tests import ModelTestError
+    from touchline.run import run
+    with open(os.path.join(source_dir, "campaign_metadata.csv"), "a") as f:
+        f.write("CMP-003,blog_c,blog,CTC-001,100,2024-01-01,2024-05-01,cmp_001\n")
+    out = tempfile.mkdtemp(prefix="touchline-run-")
+    with pytest.raises(ModelTestError, match="unique.stg_campaign_metadata.utm_campaign"):
+        run(spark, source_dir, out)
+    assert not os.path.exists(os.path.join(out, "results"))
+
+
+def test_bucketed_writer_makes_one_file_per_bucket(spark):
+    d = os.path.join(tempfile.mkdtemp(prefix="tl-files-"), "t")
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_files")
+    df = spark.range(4000).selectExpr("concat('u', id % 97) AS user_id", "id").repartition(8)
+    back = files.write_bucketed(spark, df, d, "t_files.one", "user_id", 4)
+    assert back.count() == 4000 and len([p for p in os.listdir(d) if p.endswith(".parquet")]) == 4
