@@ -36,6 +36,8 @@ ship(__name__)
 
 #: Bytes of text whose grams are handled at once; bounds a worker's memory.
 SLICE = 1 << 21
+#: Grams that a counting task holds at most before it passes them on.
+HELD = 1 << 21
 
 
 def runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -71,11 +73,25 @@ def grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets
 
 
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal keys added up."""
+    flat = np.concatenate(keys)
+    order = np.argsort(flat, kind="stable")
+    flat, n = flat[order], np.concatenate(counts)[order]
+    first = np.nonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))[0]
+    return flat[first], np.add.reduceat(n, first)
+
+
 def _count(order: int):
-    """(word, gram, n, n_train): counts of words and grams of each run of
-    documents, by fold."""
+    """(word, gram, n, n_train): counts of words and grams by fold; grams are
+    added up over a task's documents as long as at most HELD are held."""
+    def gram_rows(held: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        key, n = held
+        return _rows(None, key >> 1, n, np.where(key & 1, n, 0))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())
+        held = (np.empty(0, np.int64), np.empty(0, np.int64))
         for b in batches:
             for start, stop in runs(b.column(1)):
                 train = b.column(0).slice(start, stop - start).to_numpy(zero_copy_only=False).astype(bool)
@@ -89,9 +105,13 @@ def _count(order: int):
                 yield _rows(some, None, n[n > 0], n_train[n > 0])
                 flat, at = grams(texts, order)
                 # the training fold is one more bit, so that one sort counts both
-                flat = flat << 1 | np.repeat(train, np.diff(at))
-                key, count = np.unique(flat, return_counts=True)
-                yield _rows(None, key >> 1, count, np.where(key & 1, count, 0))
+                key, count = np.unique(flat << 1 | np.repeat(train, np.diff(at)), return_counts=True)
+                held = merged([held[0], key], [held[1], count])
+                if len(held[0]) > HELD:
+                    yield gram_rows(held)
+                    held = (held[0][:0], held[1][:0])
+        if len(held[0]):
+            yield gram_rows(held)
     return run
 
 
