@@ -13,10 +13,12 @@ by the hash of its set; only classes are compared.
   blocks with the same members one is kept.
 * First, each class is verified against one hub of its blocks. Links give
   components, and only blocks with several components go on: their points form
-  R-trees (leaves packed by size and coordinates, with upper and lower corners),
-  a pair of leaves is opened if its corners' bound allows a link, and pairs of
-  points of different components that pass the bound are verified on the whole
-  sets. So a group of n copies costs about n verifications, and no link between
+  R-trees (leaves packed by size and coordinates, with upper corners), a pair of
+  leaves is opened if its corners' bound allows a link, and pairs of points of
+  different components that pass the bound are candidates. Of each two
+  components, the pair with the highest bound is verified first, and components
+  are joined; then all candidates that still lie in two components are verified.
+  So a group of n copies costs about n verifications, and no link between
   components is lost.
 
 A block of more than ``chunk`` points is split into chunks, and pairs of chunks
@@ -45,6 +47,8 @@ ship(__name__)
 GROUPS = 256
 #: Points in a leaf of a block's R-tree.
 LEAF = 32
+#: Largest count that a point holds; a set with a larger one is bounded by its size alone.
+FULL = 32767
 
 
 def shingle_sets(texts: pa.Array, k: int, rank_of: dict[str, int] | None = None):
@@ -89,8 +93,8 @@ def _points(k: int, groups: int):
             for own, _ in shingle_sets(b.column(1), k):
                 n.append(len(own))
                 cls.append(class_hash(own))
-                points.append(np.bincount((own >> np.uint64(40)).astype(np.int64) % groups, minlength=groups).astype(np.int32))
-            flat = pa.array(np.concatenate(points) if points else np.empty(0, np.int32))
+                points.append(np.minimum(np.bincount((own >> np.uint64(40)).astype(np.int64) % groups, minlength=groups), FULL).astype(np.int16))
+            flat = pa.array(np.concatenate(points) if points else np.empty(0, np.int16))
             at = pa.array(np.arange(0, len(points) * groups + 1, groups, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
                                               pa.ListArray.from_arrays(at, flat)], names=["doc_id", "n", "cls", "point"])
@@ -169,9 +173,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry, last_hub, pending = rows[:, -1:], int(hub[-1]), wait
 
 
-def leaf_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i in left, j in right) whose bound allows a link, from two R-trees
-    of one level of leaves each (the same tree if ``left`` is ``right``)."""
+def leaf_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs (i in left, j in right) whose bound allows a link, with the bound,
+    from two R-trees of one level of leaves each (the same tree if ``left`` is
+    ``right``)."""
     def pack(rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int, int]]:
         order = rows[np.lexsort((points[rows, 1], points[rows, 0], sizes[rows]))]
         leaves = [order[i:i + LEAF] for i in range(0, len(order), LEAF)]
@@ -191,27 +196,31 @@ def leaf_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: n
             if same and q is r:
                 ok = np.triu(ok, 1)
             x, y = np.nonzero(ok)
-            yield r[x], q[y]
+            yield r[x], q[y], both[x, y]
 
 
 def _block_pairs(percent: int):
-    """a, b: pairs of classes of different components that pass the bound. The
-    rows of a chunk pair come together."""
+    """a, b, bound (of the similarity): pairs of classes of different components
+    that pass the bound. The rows of a chunk pair come together."""
     def solve(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
         cls, n, comp = (t.column(i).to_numpy() for i in (3, 4, 5))
-        points = t.column(6).flatten().to_numpy().reshape(len(cls), -1)
+        points = t.column(6).flatten().to_numpy().reshape(len(cls), -1).astype(np.int64)
+        full = (points >= FULL).any(1)
+        points[full] = n[full][:, None]
         indexed = t.column(7).to_numpy(zero_copy_only=False).astype(bool)
         chunk, lo, hi = t.column(8).to_numpy(), t.column(1)[0].as_py(), t.column(2)[0].as_py()
         left = np.nonzero(chunk == lo)[0]
         right = left if lo == hi else np.nonzero(chunk == hi)[0]
-        out = [(np.empty(0, np.int64),) * 2]
-        for i, j in leaf_pairs(points, n, left, right, percent):
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for i, j, bound in leaf_pairs(points, n, left, right, percent):
             ok = (comp[i] != comp[j]) & (indexed[i] | indexed[j])
-            i, j = cls[i[ok]], cls[j[ok]]
-            out.append((np.minimum(i, j), np.maximum(i, j)))
-        pairs = np.unique(np.stack([np.concatenate(c) for c in zip(*out, strict=True)]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            i, j, bound = i[ok], j[ok], np.minimum(bound[ok], np.minimum(n[i[ok]], n[j[ok]]))
+            share = bound / (n[i] + n[j] - bound)
+            i, j = cls[i], cls[j]
+            out.append((np.minimum(i, j), np.maximum(i, j), share))
+        a, b, share = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share)], names=["a", "b", "bound"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -317,7 +326,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
            .orderBy(F.col("n").desc(), "word").limit(frequent).toArrow())
     ranks = spark.sparkContext.broadcast(dict(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True)))
 
-    points = stored(docs.mapInArrow(_points(k, groups), "doc_id long, n long, cls long, point array<int>"))
+    points = stored(docs.mapInArrow(_points(k, groups), "doc_id long, n long, cls long, point array<smallint>"))
     classes = stored(points.filter(F.col("cls").isNotNull()).groupBy("cls", "n").agg(F.min("doc_id").alias("rep")))
     bits = spark.sparkContext.broadcast(key_filter(classes.filter("rep IS NOT NULL"), "rep"))
     prefixes = docs.mapInArrow(_prefixes(k, percent, bits, ranks), "shingle long, n long, cls long, indexed boolean")
@@ -355,10 +364,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
     ready = (spread.select("shingle", F.least("chunk", "with").alias("lo"), F.greatest("chunk", "with").alias("hi"),
                            "cls", "n", "comp", "point", "indexed", "chunk")
              .repartition(parts, "shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi"))
-    more = stored(ready.mapInArrow(_block_pairs(percent), "a long, b long").distinct())
-    every = components(links.unionAll(verify(more, docs, classes, k, percent)))
-
-    rooted = points.select("doc_id", "n", "cls").join(every.withColumnRenamed("node", "cls"), "cls", "left").select(
+    more = stored(ready.mapInArrow(_block_pairs(percent), "a long, b long, bound double")
+                  .groupBy("a", "b").agg(F.max("bound").alias("bound")))
+
+    def apart(found: DataFrame) -> DataFrame:
+        """The candidates whose classes lie in two components, with those."""
+        side = lambda c: found.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+        return (more.join(side("a"), "a", "left").join(side("b"), "b", "left")
+                .select("a", "b", "bound", F.coalesce("a_root", "a").alias("x"), F.coalesce("b_root", "b").alias("y"))
+                .filter("x <> y"))
+
+    found = first
+    for last in (False, True):
+        tried = apart(found)
+        if not last:    # the best pair of each two components
+            tried = (tried.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+                     .agg(F.max(F.struct("bound", "a", "b")).alias("p")).select("p.a", "p.b"))
+        links = stored(links.unionAll(verify(stored(tried.select("a", "b")), docs, classes, k, percent)))
+        found = components(links)
+
+    rooted = points.select("doc_id", "n", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select(
         "doc_id", "n", F.coalesce("root", "cls").alias("root"))
     ids = rooted.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(ids, "root", "left").select(
