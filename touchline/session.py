@@ -57,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = checkpoint_dir(spark)
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-ckpt-"))
     return checkpoint_dir(spark)
