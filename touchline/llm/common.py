@@ -41,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and jsc.getCheckpointDir().isDefined():
         path = jsc.getCheckpointDir().get()
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="touchline-llm-")
         spark.sparkContext.setCheckpointDir(path)
