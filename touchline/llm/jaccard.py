@@ -242,24 +242,27 @@ def _block_pairs(percent: int):
     return run
 
 
-def _sets(k: int, bits):
-    """cls, elements of the documents that the filter lets pass."""
+def _sets(k: int, bits, short: bool):
+    """cls, elements of the documents that the filter lets pass; ``short``: of
+    each element 16 bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             b = _kept(b, bits.value)
             own = [s for s, _ in shingle_sets(b.column(1), k) if len(s)]
             at = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
-            flat = np.concatenate(own).view(np.int64) if own else np.empty(0, np.int64)
+            flat = np.concatenate(own) if own else np.empty(0, np.uint64)
+            flat = flat.astype(np.uint16).view(np.int16) if short else flat.view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([class_hash(s) for s in own], pa.int64()),
                                               pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], names=["id", "elements"])
     return run
 
 
-def _links(percent: int):
+def _links(percent: int, short: bool):
     """a, b of the verified pairs; rows are sorted by a, salt, role, and the row
-    of role 0 is a's own set."""
+    of role 0 is a's own set. ``short``: the elements of b whose 16 bits a has
+    are no fewer than the common ones, so no link is lost."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, key = np.empty(0, np.int64), None
+        own, key, size = np.empty(0, np.int64), None, 0
         for b in slices(batches):
             a, salt, role, other = (b.column(i).to_numpy() for i in range(4))
             lists = b.column(4)
@@ -268,27 +271,28 @@ def _links(percent: int):
             for i in range(b.num_rows):
                 members = flat[at[i]:at[i + 1]]
                 if role[i] == 0:
-                    own, key = members.copy(), (a[i], salt[i])
+                    own, key, size = np.unique(members), (a[i], salt[i]), len(members)
                     continue
                 assert key == (a[i], salt[i])
-                place = np.searchsorted(own.view(np.uint64), members.view(np.uint64))
+                place = np.searchsorted(own, members)
                 place[place == len(own)] = 0
-                common = int((own[place] == members).sum())
-                if 100 * common >= percent * (len(own) + len(members) - common):
+                common = min(int((own[place] == members).sum()), size)
+                if 100 * common >= percent * (size + len(members) - common):
                     out.append((a[i], other[i]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
     return run
 
 
-def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, short: bool = False) -> DataFrame:
     """The pairs (a, b) of classes that are linked. The sets are computed anew
     from one document of each class that occurs in a pair; a's set meets its
-    partners' in as many tasks as their number asks for."""
+    partners' in as many tasks as their number asks for. ``short`` moves 16 bits
+    of each element and also keeps pairs that only look linked."""
     spark = docs.sparkSession
     ids = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
     bits = spark.sparkContext.broadcast(key_filter(classes.join(ids, "cls", "left_semi").filter("rep IS NOT NULL"), "rep"))
-    sets = docs.mapInArrow(_sets(k, bits), "id long, elements array<long>")
+    sets = docs.mapInArrow(_sets(k, bits, short), f"id long, elements array<{'smallint' if short else 'bigint'}>")
     salted = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 256).cast("int").alias("salts")), "a")
     rows = salted.select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("id"))
     hubs = (salted.select("a", "salts").distinct()
@@ -296,7 +300,7 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percen
     met = rows.unionAll(hubs).join(sets, "id").select("a", "salt", "role", "id", "elements")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return stored(met.repartition(n, "a", "salt").sortWithinPartitions("a", "salt", "role")
-                  .mapInArrow(_links(percent), "a long, b long").distinct())
+                  .mapInArrow(_links(percent, short), "a long, b long").distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -380,7 +384,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
         if not last:    # the best pair of each two components
             tried = (tried.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
                      .agg(F.max(F.struct("bound", "a", "b")).alias("p")).select("p.a", "p.b"))
-        links = stored(links.unionAll(verify(stored(tried.select("a", "b")), docs, classes, k, percent)))
+        likely = verify(stored(tried.select("a", "b")), docs, classes, k, percent, short=True)
+        links = stored(links.unionAll(verify(likely, docs, classes, k, percent)))
         found = components(links)
 
     rooted = points.select("doc_id", "n", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select(
