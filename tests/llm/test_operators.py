@@ -121,6 +121,27 @@ def test_secrets_rules_models_and_redaction(spark):
     assert sum(hits[i] for i in range(50)) >= 45 and sum(hits[i] for i in range(50, 100)) == 0
 
 
+def test_secrets_joined_to_ordinary_text(spark):
+    random.seed(12)
+    code = lambda n: "".join(random.choice("ABCDEFGHJKLMNPQRSTUVWXYZ0123456789") for _ in range(n))
+    plain = [c.islower() or c == "_" for c in secrets.ALPHABET] + [False]
+    ratios = [-2.0 if x and y else 2.0 for x in plain for y in plain]
+    one, two, aws = "aB3dE5fG7hJ9kLmN2pQr", "kQxZvTfLwPqRzXcVbNmGhJd", "wJhRrXUtnFMVB/K7MDPNG/bPxRfzCYQXVMPLGKWY"
+    path = "client/credentials/production/"
+    texts = [f"a the_connection_string={one} z", f"{path}{one}", f"access_credential_value={two}", f"{path}{one}/{path * 3}{two}/identifier",
+             f"{path * 40}{one}/{path * 40}", f"{path * 20}the_connection_string", f"x {one} y", f"{path * 5}words/{code(60)}",
+             "https://www.com/2024/01/15/some-long-article-title-here", f"{path * 2}value={aws}"]
+    want = [[one], [one], [two], [one, two], [one], [], [one], [texts[7][-60:]], [], [aws]]
+    got = {r.doc_id: r.spans for r in secrets.scan(docs_of(spark, texts), ratios).collect()}
+    assert [[texts[i][s.start:s.end] for s in got[i]] for i in range(len(texts))] == want
+    text = secrets.redact(secrets.scan(docs_of(spark, texts[:1], True), ratios)).first().text
+    assert text == "a the_connection_string=[SECRET] z"
+    # any part of a run that would be found alone is found in it, wherever the parts of the work end
+    odd = [f"{'some_plain_name' * n}{'x' * k}={one}/{'identifier' * 9}" for n in (0, 5, 11) for k in range(0, 80, 7)]
+    rows = secrets.scan(docs_of(spark, odd), ratios).collect()
+    assert all(any(odd[r.doc_id][s.start:s.end].find(one) >= 0 for s in r.spans) for r in rows) and len(rows) == len(odd)
+
+
 # -- 2: toxicity --------------------------------------------------------------------------
 def test_toxicity_learns_from_positive_and_unlabelled(spark):
     random.seed(4)

@@ -5,7 +5,9 @@ Markov models (pair statistics of random strings and of ordinary identifiers,
 smoothed by single characters) find further strings: a run of ``min_chars`` or more of
 ``[A-Za-z0-9+/_=-]`` whose log-likelihood ratio per character pair is at least
 ``threshold`` becomes a span of kind ``markov``, unless it overlaps a span of a
-rule. The models are trained from labelled samples (text, random).
+rule; of any other run, the stretches of ``min_chars`` or more that reach it become
+spans (:func:`stretches`: a random string joined to a name or a path). The models
+are trained from labelled samples (text, random).
 
 A text's spans come from its own row: the pieces between the matches give the
 positions, so no row is shuffled. The models' table has a fixed size.
@@ -38,6 +40,9 @@ SIDE = len(ALPHABET) + 1
 RUN = r"[A-Za-z0-9+/_=-]"
 #: Weight of the single-character statistics in the pair statistics.
 BACKOFF = 4.0
+#: Ratio of a pair that ends in ``=``, ``/`` or ``-``, which join names and paths: about one of
+#: 64 characters of a random string, and one of 8 of a path.
+JOINT = math.log(8 / 64)
 SPAN = "array<struct<start:int,end:int>>"
 
 
@@ -121,9 +126,72 @@ def labelled_samples(docs: DataFrame, max_docs: int = 8192, text: str = "text")
     return hit.select(F.explode(both).alias("s")).select("s.text", "s.random")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def stretches(run: Column, ratios: Column, min_chars: int, threshold: float) -> Column:
+    """Spans, by places in the run, of the strings that the models call random:
+    a stretch of ``min_chars`` to twice as many characters qualifies if its mean
+    ratio is at least ``threshold`` (a longer one that does holds such a one).
+    Each moves to the ends near it that add most, then on to the next ``=`` or
+    ``/``. Stretches that meet are one span. Worked in parts, so the cost is
+    linear in the run. The samples hold no joined names, so a joint's ratio is fixed."""
+    m = min_chars - 1
+    joints = [ALPHABET.index(c) for c in "=/-"]
+    over = F.transform(pair_places(run), lambda p: F.when((p % SIDE).isin(*joints), F.lit(JOINT)).when(F.floor(p / SIDE).isin(*joints), F.lit(0.0))
+                       .otherwise(F.get(ratios, p.cast("int"))) - threshold)
+
+    def windows(sums: Column, lo: Column, at: Column) -> Column:
+        """From the sums up to each character of a part, which begins at ``lo``:
+        the stretches that end in the part's core, from ``at`` on."""
+        last = F.size(sums) - 1
+        part = lambda i, j: F.slice(sums, F.greatest(i, F.lit(0)) + 1, F.greatest(F.least(j, last) - F.greatest(i, F.lit(0)) + 1, F.lit(0)))
+        least = lambda j: part(j - 2 * m, j - m)
+
+        def start(j: Column) -> Column:     # the last of equals
+            near = least(j)
+            return j - m - (F.array_position(F.reverse(near), F.array_min(near)).cast("int") - 1)
+
+        def end(i: Column) -> Column:
+            near = part(i + m, i + 2 * m)
+            return i + m + F.array_position(near, F.array_max(near)).cast("int") - 1
+
+        ends = F.filter(F.sequence(F.lit(0), last), lambda j: (j + lo >= at) & (j + lo < at + 4 * m) & (j >= m))
+        good = F.filter(ends, lambda j: F.get(sums, j) >= F.array_min(least(j)))
+        tops = F.array_distinct(F.transform(F.array_distinct(F.transform(good, start)), end))
+        return F.transform(tops, lambda j: F.struct((start(j) + lo).alias("start"), (j + lo + 1).alias("end")))
+
+    def core(scores: Column, at: Column) -> Column:
+        lo = F.greatest(at - 3 * m, F.lit(0))
+        part = F.slice(scores, lo + 1, at + 5 * m - lo)
+        sums = F.aggregate(part, F.array(F.lit(0.0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+        return let(sums, lambda s: windows(s, lo, at))
+
+    def widen(s: Column) -> Column:
+        before = F.translate(F.substring(run, F.lit(1), s["start"]), "/", "=")
+        after = F.translate(run.substr(s["end"] + 1, F.length(run)), "/", "=")
+        return F.struct((s["start"] - F.length(F.substring_index(before, "=", -1))).cast("int").alias("start"),
+                        (s["end"] + F.length(F.substring_index(after, "=", 1))).cast("int").alias("end"))
+
+    def merge(acc: Column, s: Column) -> Column:
+        old = F.element_at(acc, -1)
+        both = F.array(F.struct(old["start"].alias("start"), F.greatest(old["end"], s["end"]).alias("end")))
+        return (F.when(F.size(acc) == 0, F.array(s)).when(s["start"] > old["end"], F.concat(acc, F.array(s)))
+                .when(s["end"] <= old["end"], acc).otherwise(F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), both)))
+
+    found_ = let(over, lambda scores: F.flatten(F.transform(
+        F.sequence(F.lit(0), F.size(scores), F.lit(4 * m)), lambda at: core(scores, at))))
+    none = F.array().cast(SPAN)
+    met = lambda spans: F.aggregate(F.array_sort(spans), none, merge)
+    # merged before they are widened, so that a long run is not read for each of its stretches
+    return met(F.transform(met(F.transform(found_, lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end")))), widen))
+
+
 def markov_spans(text: Column, ratios: list[float], taken: Column, min_chars: int, threshold: float) -> Column:
-    """Spans of runs that the models call random and no span of ``taken``
-    overlaps."""
+    """Spans that the models call random and no span of ``taken`` overlaps:
+    whole runs, else the random stretches of a run."""
     table_ = F.from_json(F.lit(json.dumps(ratios)), "array<double>")   # folded to a constant
     pattern = f"{RUN}{{{min_chars},}}"
 
@@ -131,8 +199,15 @@ def markov_spans(text: Column, ratios: list[float], taken: Column, min_chars: in
         total = F.aggregate(pair_places(run), F.lit(0.0), lambda acc, p: acc + F.get(table_, p.cast("int")))
         return total / (F.length(run) - 1) >= threshold
 
-    spans = found(text, pattern, F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), random))
-    return F.filter(spans, lambda s: ~F.exists(taken, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
+    def of_run(x: Column) -> Column:
+        at = x["span"]["start"]
+        inner = F.transform(stretches(x["run"], table_, min_chars, threshold),
+                            lambda s: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end")))
+        free = lambda s: ~F.exists(taken, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
+        return F.when(random(x["run"]) & free(x["span"]), F.array(x["span"])).otherwise(F.filter(inner, free))
+
+    runs = F.arrays_zip(found(text, pattern).alias("span"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("run"))
+    return F.flatten(F.transform(runs, of_run))
 
 
 def scan(docs: DataFrame, ratios: list[float], text: str = "text", min_chars: int = 20, threshold: float = 0.5) -> DataFrame:
