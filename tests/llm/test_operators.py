@@ -248,6 +248,25 @@ def test_extraction_equals_the_marked_up_article(spark):
     assert extraction.extract(df.limit(0), chain).count() == 0
 
 
+def test_blocks_of_pages_with_unclosed_elements():
+    texts = lambda page: [t for t, _, _ in extraction.blocks(page)]
+    body = "<body><article><p>One</p><p>Two</p></article>"
+    head = "<html><head><meta charset=x><title>T</title><style>p {}</style><script>x('<p>')</script>"
+    for page in (head + body, head + "</head>" + body, head + body[6:], head + "<noscript><img src=x></noscript><link rel=x>" + body,
+                 head + "<noscript>Script is off" + body):
+        assert texts(page) == ["One", "Two"]
+    assert texts(head + "Bare text") == ["Bare text"]
+    for tag in ("svg", "template"):
+        assert texts(f"<div><p>A</p><{tag}><x>no</div><p>B</p>") == ["A", "B"]
+        assert texts(f"<div><p>A</p><{tag}><g><a>no</a>no</g></{tag}><p>B</p></div>c") == ["A", "B", "c"]
+    assert texts("<div><template><div>no</div>no</template><p>B</p></div>") == ["B"]
+    assert texts("<div><svg><path d=x /><p>A</p><p>B</p></div>") == ["A", "B"]
+    assert texts("<div><svg><foreignObject><div>no</div></foreignObject></svg><p>B</p></div>") == ["B"]
+    for tag in ("math", "object", "noscript"):
+        assert texts(f"<article><p>Let <{tag}>x</{tag}> be</p><{tag}><p>Own</p></{tag}><p>C</p></article>") == ["Let x be", "Own", "C"]
+        assert texts(f"<article><p>A</p><{tag}>b</article><p>C</p>") == ["A", "b", "C"]
+
+
 def test_viterbi_equals_all_labellings():
     rng = np.random.default_rng(3)
     names = {f"f{i}": i for i in range(6)}

@@ -14,8 +14,10 @@ teach lists, quotes and tables inside an article and notices, adverts, forms,
 sidebars and comments inside and around it.
 
 Cases: a null or empty page, and one without main text, gives an empty text
-with 0 characters; unclosed and stray tags are taken as a browser would, blocks
-are never dropped for their size; repeated rows are extracted alike, each on
+with 0 characters; unclosed and stray tags are taken as a browser would (a head
+ends at the first text or tag that cannot stand in it, an svg at the first block,
+and either, like a template, with its parent); text in math, object and noscript
+belongs to its block, text in svg to none; blocks are never dropped for their size; repeated rows are extracted alike, each on
 its own row; a null page_id or url is kept; an empty table gives no rows; other
 columns are ignored.
 """
@@ -37,7 +39,13 @@ ship(__name__)
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section "
                   "select summary table tbody td textarea tfoot th thead tr ul button iframe".split())
-SKIP = frozenset("script style head template noscript svg math object".split())
+SKIP = frozenset("script style head template svg".split())
+#: What may stand in a head; any other tag ends it.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: Tags that end an open svg, unless they stand in one of its elements that hold HTML.
+NOT_IN_SVG = BLOCK - frozenset("iframe button".split()) | frozenset("b big br code em embed i img meta nobr s small span strike "
+                                                                    "strong sub sup tt u var".split())
+HOLDS_HTML = frozenset("foreignobject desc title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What an opening tag ends, if open in the same list, table or block.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -80,12 +88,29 @@ class Blocks(HTMLParser):
             self.out.append((text, (f"own:{own}", *sorted(feats)), self.links))
         self.text, self.links = [], 0
 
+    def cut(self, i: int) -> None:
+        """Close the open elements from the i-th on."""
+        self.skip -= sum(t in SKIP for t, _ in self.stack[i:])
+        del self.stack[i:]
+
+    def end_skipped(self, tag: str) -> None:
+        """Close a head or svg in which the tag cannot stand."""
+        i = max(i for i, (t, _) in enumerate(self.stack) if t in SKIP)
+        if self.stack[i][0] == "head":
+            if tag not in IN_HEAD and (tag == "body" or all(t not in ("title", "noscript") for t, _ in self.stack[i:])):
+                self.cut(i)
+        elif self.stack[i][0] == "svg" and tag in NOT_IN_SVG and all(t not in HOLDS_HTML for t, _ in self.stack[i:]):
+            self.cut(i)
+            if self.skip:
+                self.end_skipped(tag)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in SKIP:
-            self.skip += 1
-            self.stack.append((tag, ()))
-            return
         if self.skip:
+            self.end_skipped(tag)
+        if tag in SKIP or self.skip:
+            if tag not in VOID:
+                self.skip += tag in SKIP
+                self.stack.append((tag, ()))
             return
         if tag in BLOCK:
             self.flush()
@@ -106,35 +131,34 @@ class Blocks(HTMLParser):
         if self.stack and any(t == "p" for t, _ in self.stack):
             for i in range(len(self.stack) - 1, -1, -1):      # a block ends an open paragraph
                 if self.stack[i][0] == "p":
-                    del self.stack[i:]
+                    self.cut(i)
                     break
                 if self.stack[i][0] in SCOPE:
                     break
         if tag in CLOSES:
             for i in range(len(self.stack) - 1, -1, -1):
                 if self.stack[i][0] in CLOSES[tag]:
-                    del self.stack[i:]
+                    self.cut(i)
                     break
                 if self.stack[i][0] in SCOPE:
                     break
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in SKIP and self.skip:
-            self.skip -= 1
-        elif self.skip:
-            return
-        if tag in BLOCK:
+        i = next((i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag), -1)
+        inside = self.skip and (i < 0 or any(t in SKIP for t, _ in self.stack[:i]))     # a tag of what is skipped
+        if tag in BLOCK and not inside:
             self.flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                if tag not in BLOCK and any(t in BLOCK for t, _ in self.stack[i + 1:]):
-                    # an inline tag closed across blocks: only itself
-                    del self.stack[i]
-                else:
-                    del self.stack[i:]
-                break
+        if i < 0:
+            return
+        if tag not in BLOCK and tag not in SKIP and any(t in BLOCK for t, _ in self.stack[i + 1:]):
+            # an inline tag closed across blocks: only itself
+            del self.stack[i]
+        else:
+            self.cut(i)     # also what is skipped and was left open in it
 
     def handle_data(self, data: str) -> None:
+        if self.skip and self.stack[-1][0] == "head" and data.strip():
+            self.cut(len(self.stack) - 1)
         if not self.skip:
             self.text.append(data)
             if any(t == "a" for t, _ in self.stack):
