@@ -382,6 +382,26 @@ def test_jaccard_components_equal_brute_force(spark, options):
     assert got == brute_components(rows)
 
 
+def test_jaccard_trees_and_hub_bound(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.integers(0, 9, (30, 16))
+    points = np.maximum(centres[rng.integers(0, 30, 900)] + rng.integers(-1, 2, (900, 16)), 0)
+    points[points.sum(1) == 0, 0] = 1
+    sizes, rows = points.sum(1), np.arange(900)
+    assert len(jaccard.tree(points, sizes, rows)[1]) == 3
+    both = np.minimum(points[:, None], points[None]).sum(2)
+    ok = both * 100 >= 75 * (sizes[:, None] + sizes - both)
+    for left, right in ((rows, rows), (rows[:850], rows[850:]), (rows[:20], rows[20:]), (rows[:0], rows)):
+        got = [(int(i), int(j), int(x)) for r, q, s in jaccard.leaf_pairs(points, sizes, left, right, 75) for i, j, x in zip(r, q, s, strict=True)]
+        want = {(min(i, j), max(i, j)) for i in left for j in right if ok[i, j] and (left is not right or i < j)}
+        assert len(got) == len(want) and {(min(i, j), max(i, j)) for i, j, _ in got} == want
+        assert all(both[i, j] == x for i, j, x in got)
+    full = jaccard.FULL
+    pairs = spark.createDataFrame([([4, 4], [4, 3], 8, 7), ([4, 4], [8, 0], 8, 8), ([full, 0], [full, 9], 90000, 90009)],
+                                  "x array<smallint>, y array<smallint>, n long, m long")
+    assert [r[0] for r in pairs.select(jaccard._close_enough(*map(F.col, "xynm"), 75)).collect()] == [True, False, True]
+
+
 def test_jaccard_repeated_rows_null_ids_and_empty_tables(spark):
     t = "one two three four five six seven"
     df = spark.createDataFrame([(5, t), (5, t), (None, t), (None, "x y"), (7, None)], DOCS)

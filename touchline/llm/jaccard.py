@@ -11,10 +11,11 @@ by the hash of its set; only classes are compared.
   wanted similarity have a common shingle among the first of either. Rare
   shingles come first, so a passage that many documents share makes no block. Of
   blocks with the same members one is kept.
-* First, each class is verified against one hub of its blocks. Links give
-  components, and only blocks with several components go on: their points form
-  R-trees (leaves packed by size and coordinates, with upper corners), a pair of
-  leaves is opened if its corners' bound allows a link, and pairs of points of
+* First, each class is verified against one hub of its blocks, if their points'
+  bound allows a link. Links give components, and only blocks with several
+  components go on: their points form R-trees (leaves packed by size and
+  coordinates, nodes with upper corners), which are descended together; a pair of
+  nodes is opened if its corners' bound allows a link, and pairs of points of
   different components that pass the bound are candidates. Of each two
   components, the pair with the highest bound is verified first, and components
   are joined; then all candidates that still lie in two components are verified.
@@ -45,8 +46,8 @@ from touchline.llm.common import in_filter, key_filter, rolling, ship, slices, s
 ship(__name__)
 
 GROUPS = 256
-#: Points in a leaf of a block's R-tree.
-LEAF = 32
+#: Points in a leaf of a block's R-tree, and children of its other nodes.
+LEAF, FAN = 32, 8
 #: Largest count that a point holds; a set with a larger one is bounded by its size alone.
 FULL = 32767
 
@@ -173,30 +174,55 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry, last_hub, pending = rows[:, -1:], int(hub[-1]), wait
 
 
+def _close_enough(x: Column, y: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether two points' summed coordinate minima allow a link."""
+    bound = F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b)), F.lit(0), lambda a, v: a + v)
+    return (F.greatest(F.array_max(x), F.array_max(y)) >= FULL) | (bound * (100 + percent) >= F.lit(percent) * (n + m))
+
+
+def tree(points: np.ndarray, sizes: np.ndarray, rows: np.ndarray):
+    """An R-tree of the rows: its leaves, and for each level, from the leaves to
+    the root, the nodes' upper corners, least and largest sizes."""
+    order = rows[np.lexsort((points[rows, 1], points[rows, 0], sizes[rows]))]
+    leaves = [order[i:i + LEAF] for i in range(0, len(order), LEAF)]
+    levels = [(np.stack([points[r].max(0) for r in leaves]), np.array([sizes[r].min() for r in leaves]), np.array([sizes[r].max() for r in leaves]))]
+    while len(levels[-1][1]) > 1:
+        top, lo, hi = levels[-1]
+        at = np.arange(0, len(lo), FAN)
+        levels.append((np.maximum.reduceat(top, at, 0), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)))
+    return leaves, levels
+
+
 def leaf_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs (i in left, j in right) whose bound allows a link, with the bound,
-    from two R-trees of one level of leaves each (the same tree if ``left`` is
+    from two R-trees that are descended together (the same tree if ``left`` is
     ``right``)."""
-    def pack(rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int, int]]:
-        order = rows[np.lexsort((points[rows, 1], points[rows, 0], sizes[rows]))]
-        leaves = [order[i:i + LEAF] for i in range(0, len(order), LEAF)]
-        return [(r, points[r].max(0), int(sizes[r].min()), int(sizes[r].max())) for r in leaves]
-
+    if not len(left) or not len(right):
+        return
     same = left is right
-    a, b = pack(left), pack(right)
-    for i, (r, top, lo, hi) in enumerate(a):
-        for q, top2, lo2, hi2 in (a[i:] if same else b):
-            if percent * max(lo, lo2) > 100 * min(hi, hi2):
-                continue
-            bound = int(np.minimum(top, top2).sum())
-            if bound * 100 < percent * (lo + lo2 - min(bound, lo + lo2)):
-                continue
-            both = np.minimum(points[r][:, None, :], points[q][None, :, :]).sum(2)
-            ok = both * 100 >= percent * (sizes[r][:, None] + sizes[q][None, :] - both)
-            if same and q is r:
-                ok = np.triu(ok, 1)
-            x, y = np.nonzero(ok)
-            yield r[x], q[y], both[x, y]
+    leaves, a = tree(points, sizes, left)
+    leaves2, b = (leaves, a) if same else tree(points, sizes, right)
+    todo = [(max(len(a), len(b)) - 1, 0, 0)]
+    while todo:
+        level, i, j = todo.pop()
+        if level:
+            # the lower tree's root stands for its missing levels
+            (top, lo, hi), (top2, lo2, hi2) = a[min(level, len(a)) - 1], b[min(level, len(b)) - 1]
+            x, y = np.arange(i * FAN, min(i * FAN + FAN, len(lo))), np.arange(j * FAN, min(j * FAN + FAN, len(lo2)))
+            bound = np.minimum(top[x][:, None, :], top2[y][None, :, :]).sum(2)
+            ok = percent * np.maximum.outer(lo[x], lo2[y]) <= 100 * np.minimum.outer(hi[x], hi2[y])
+            ok &= bound * (100 + percent) >= percent * np.add.outer(lo[x], lo2[y])
+            if same and i == j:
+                ok = np.triu(ok)
+            todo += [(level - 1, int(x[u]), int(y[v])) for u, v in zip(*np.nonzero(ok), strict=True)]
+            continue
+        r, q = leaves[i], leaves2[j]
+        both = np.minimum(points[r][:, None, :], points[q][None, :, :]).sum(2)
+        ok = both * 100 >= percent * (sizes[r][:, None] + sizes[q][None, :] - both)
+        if same and i == j:
+            ok = np.triu(ok, 1)
+        x, y = np.nonzero(ok)
+        yield r[x], q[y], both[x, y]
 
 
 def _block_pairs(percent: int):
@@ -350,6 +376,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
     tried = (blocks.filter("cls <> hub").groupBy("cls", "hub").agg(F.sum("same").alias("common")).join(sizes, "cls").join(hubs, "hub")
              .filter(F.greatest("n", "m") * percent <= F.least("n", "m") * 100)
              .groupBy("cls").agg(F.max(F.struct("common", "hub"))["hub"].alias("hub")))
+    # and of those pairs, the ones that their points' bound allows
+    tried = stored(tried)
+    ids = tried.select("cls").unionAll(tried.select("hub")).distinct()
+    near = points.select("cls", "n", "point").join(ids, "cls", "left_semi").groupBy("cls", "n").agg(F.min("point").alias("point"))
+    tried = (tried.join(near, "cls").join(near.select(F.col("cls").alias("hub"), F.col("n").alias("m"), F.col("point").alias("other")), "hub")
+             .filter(_close_enough(F.col("point"), F.col("other"), F.col("n"), F.col("m"), percent)))
     links = verify(stored(tried.select(F.col("hub").alias("a"), F.col("cls").alias("b"))), docs, classes, k, percent)
     first = components(links)
 
