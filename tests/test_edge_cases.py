@@ -112,7 +112,7 @@ def test_forecast_missing_month_shrinks_divisor(spark):
 
 
 def test_models_as_sql_views(spark):
-    from conftest import SF_SMALL
+    from util import SF_SMALL
     from touchline.registry import warehouse
     w = warehouse(spark, SF_SMALL)
     assert "v_fct_attributed_revenue" in w.register_views(prefix="v_")

@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from util import SF_CHECK
 from touchline.plans import analytics, report
 from touchline.registry import warehouse
 

@@ -3,7 +3,7 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck
-from conftest import SF_SMALL
+from util import SF_SMALL
 from touchline.registry import QUERIES
 
 NAMES = sorted(QUERIES)

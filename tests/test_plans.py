@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from util import SF_SMALL
 from touchline.registry import warehouse
 
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")

@@ -1,4 +1,4 @@
-"""Hand-written raw tables for unit tests."""
+"""Hand-written raw tables and the tables' folders for tests."""
 from __future__ import annotations
 
 import datetime as dt
@@ -8,6 +8,10 @@ from touchline.sources.tables import RawTables
 
 D = dt.date.fromisoformat
 
+#: Tables of the tests; not in conftest, whose module name each test folder has for itself.
+SF_SMALL = "/root/testdata/sf0.001"
+SF_CHECK = "/root/testdata/sf0.01"
+
 
 def campaign(cid, channel, company, budget, start, end, tag, name=None):
     return (cid, name or f"{channel}_{tag}", channel, company, budget, D(start), D(end), tag)
