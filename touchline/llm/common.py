@@ -57,6 +57,27 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of ``monotonically_increasing_id`` that hold a row's place in its partition.
+PLACE_BITS = 33
+
+
+def numbered(rows: DataFrame, order: list[str], parts: int, name: str) -> DataFrame:
+    """``rows`` with ``name``: each row's place in the given order, from 0. A
+    range partitioning orders them; the rows of the partitions before come from
+    one count each, so no task sees more than its own partition."""
+    placed = stored(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                    .withColumn("__place__", F.monotonically_increasing_id()))
+    part = F.shiftright("__place__", PLACE_BITS)
+    starts, before = [], 0
+    for r in sorted(placed.groupBy(part.alias("part")).count().collect()):      # one row for each partition
+        starts.append((r["part"], before))
+        before += r["count"]
+    firsts = rows.sparkSession.createDataFrame(starts, "__part__ long, __first__ long")
+    return (placed.withColumn("__part__", part).join(F.broadcast(firsts), "__part__")
+            .withColumn(name, F.col("__first__") + F.col("__place__").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)))
+            .drop("__part__", "__first__", "__place__"))
+
+
 def clean_text(text: Column | str = "text") -> Column:
     """The text, empty if null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
@@ -154,6 +175,19 @@ def batch_of(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
                                        for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts in ``column`` take at most ``size``
+    bytes; a longer text is a slice of its own."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        i, before = 0, 0
+        while i < b.num_rows:
+            j = max(int(np.searchsorted(ends, before + size, "right")), i + 1)
+            yield b.slice(i, j - i)
+            i, before = j, int(ends[j - 1])
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The batches in slices, which bound a worker's memory."""
     pa.set_memory_pool(pa.system_memory_pool())
