@@ -6,6 +6,7 @@ from touchline.llm.chat import OP4_SQL, op4_chat_formatting
 from touchline.llm.extraction import op8_html_extraction
 from touchline.llm.jaccard import op10_ngram_jaccard
 from touchline.llm.ppm import op6_ppm_scores
+from touchline.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from touchline.llm.resampling import OP11_SQL, op11_importance_resampling
 from touchline.llm.secrets import op3_secret_scan
 from touchline.llm.sharding import op5_sharding
@@ -25,10 +26,12 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLE_SQL = {
     "op4_chat_formatting": OP4_SQL,
     "op7_threshold_top_k": OP7_SQL,
     "op11_importance_resampling": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
