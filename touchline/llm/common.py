@@ -180,7 +180,7 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 <<
     bytes; a longer text is a slice of its own."""
     pa.set_memory_pool(pa.system_memory_pool())
     for b in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column % b.num_columns)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         i, before = 0, 0
         while i < b.num_rows:
             j = max(int(np.searchsorted(ends, before + size, "right")), i + 1)

@@ -5,6 +5,7 @@ from touchline.llm.bpe import op9_byte_bpe
 from touchline.llm.chat import OP4_SQL, op4_chat_formatting
 from touchline.llm.extraction import op8_html_extraction
 from touchline.llm.jaccard import op10_ngram_jaccard
+from touchline.llm.language_id import op13_language_id
 from touchline.llm.ppm import op6_ppm_scores
 from touchline.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from touchline.llm.resampling import OP11_SQL, op11_importance_resampling
@@ -27,6 +28,7 @@ QUERIES = {
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_language_id": op13_language_id,
 }
 
 ORACLE_SQL = {
