@@ -56,37 +56,32 @@ class Filters:
     hashes: int
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-    """(documents' offsets, codes, for each code its lower-case runs of letters)
-    of the pieces between white space."""
-    import regex
-
-    letters = regex.compile(r"\p{L}+")
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(documents' offsets, codes, for each code its word): the lower-case runs of
+    letters of the texts; what lies between runs is left as one empty word."""
     texts = pc.cast(pc.fill_null(texts, ""), pa.large_string())
-    lists = pc.utf8_split_whitespace(texts.take(pa.array(np.arange(len(texts)))))
+    texts = texts.take(pa.array(np.arange(len(texts))))     # the kernels below expect an array of its own
+    lists = pc.split_pattern(pc.replace_substring_regex(pc.utf8_lower(texts), r"\P{L}+", " "), " ")
     coded = pc.dictionary_encode(lists.flatten())
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False), [letters.findall(w.lower()) for w in coded.dictionary.to_pylist()]
+    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
 
 
-def grams_of(words: list[list[str]], longest: int) -> tuple[np.ndarray, np.ndarray]:
+def grams_of(words: list[str], longest: int) -> tuple[np.ndarray, np.ndarray]:
     """(word number, 64-bit n-gram) of every n-gram, 1 to ``longest`` signs, of the
-    words' runs of letters, each with a border sign before and after. Borders alone
-    are no n-gram."""
-    runs = [(i, r) for i, own in enumerate(words) for r in own]
-    if not runs:
+    words, each with a border sign before and after. Borders alone are no n-gram."""
+    sizes = np.array([len(w) + 2 if w else 0 for w in words], np.int64)
+    signs = np.frombuffer("".join(f"\x02{w}\x03" for w in words if w).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    if not len(signs):
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    joined = "".join(f"\x02{r}\x03" for _, r in runs)
-    signs = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    sizes = np.array([len(r) + 2 for _, r in runs])
-    owner = np.repeat(np.array([i for i, _ in runs]), sizes)
+    owner = np.repeat(np.arange(len(words)), sizes)
     ends = np.repeat(np.cumsum(sizes), sizes)
     at, base = np.arange(len(signs)), np.uint64(0x9E3779B97F4A7C15)
     word, gram, value = [], [], np.zeros(len(signs), np.uint64)
     for n in range(1, longest + 1):
-        value = value[:len(signs) - n + 1] * base + signs[n - 1:]
+        value = value[:max(len(signs) - n + 1, 0)] * base + signs[n - 1:]
         ok = at[:len(value)] + n <= ends[:len(value)]
         if n == 1:
             ok &= signs > 3
@@ -95,10 +90,13 @@ def grams_of(words: list[list[str]], longest: int) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(word), np.concatenate(gram)
 
 
-def positions(grams: np.ndarray, hashes: int, size: int) -> np.ndarray:
-    """``hashes`` positions below ``size`` of each n-gram."""
-    step = mix(grams ^ np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
-    return np.stack([(grams + np.uint64(i) * step) % np.uint64(size) for i in range(hashes)]).astype(np.int64)
+def positions(grams: np.ndarray, hashes: int, size: int) -> Iterator[np.ndarray]:
+    """``hashes`` times a position below ``size`` (a power of two) of each n-gram."""
+    step, last = mix(grams ^ np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1), np.uint64(size - 1)
+    at = grams
+    for _ in range(hashes):
+        yield (at & last).astype(np.int64)
+        at = at + step
 
 
 def _counts(longest: int):
@@ -125,7 +123,7 @@ def _marks(hashes: int, size: int):
         for b in batches:
             lang = b.column(0).to_numpy()
             at = positions(b.column(1).to_numpy().view(np.uint64), hashes, size)
-            own = np.unique((at * MAX_LANGUAGES + lang[None, :]).ravel())
+            own = np.unique(np.concatenate([a * MAX_LANGUAGES + lang for a in at]))
             number = own % MAX_LANGUAGES
             bit = np.uint64(1) << (number % 64).astype(np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(own // MAX_LANGUAGES), pa.array(number // 64), pa.array(bit.view(np.int64))],
@@ -157,7 +155,7 @@ def train(labelled: DataFrame, longest: int = 5, share: int = 100_000, hashes: i
     return Filters(languages, bits, full ** hashes, longest, hashes)
 
 
-def hits(filters: Filters, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+def hits(filters: Filters, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """For each word its number of n-grams, and of those each language has."""
     owner, grams = grams_of(words, filters.longest)
     mask = np.full((len(grams), filters.bits.shape[1]), ~np.uint64(0))
