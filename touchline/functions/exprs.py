@@ -5,15 +5,13 @@ so they stay inside whole-stage codegen (no Python UDF anywhere).
 
 Numeric conventions (they decide cross-engine parity, see README "Numerics"):
 
-* Amounts are summed as ``DECIMAL(30, 8)`` (independent of partitioning and
-  summation order) and cast back to ``DOUBLE`` at the edge.  No amount is cut to
-  cents; :func:`touchline.operators.quality.amount_precision` counts the amounts
-  that eight decimals do not hold.
+* Amounts are summed exactly, whatever their decimals, partitioning and order
+  (:mod:`touchline.functions.exact`), and rounded to ``DOUBLE`` once, at the edge.
 * Rounding is ``round(x * 10^n) / 10^n`` on doubles (:func:`round_dp`), which is
   bit-for-bit what a binary-rounding engine does (including the sign of a
   result that rounds to zero), instead of Spark's decimal-string HALF_UP
   rounding of ``round(x, n)``.
-* Means are ``exact decimal sum / count`` so the result does not depend on the
+* Means are ``exact sum / count`` so the result does not depend on the
   order rows reach an aggregation buffer.
 """
 from __future__ import annotations
@@ -49,12 +47,13 @@ def money(c: ColumnOrName) -> Column:
 
 
 def money_sum(c: ColumnOrName) -> Column:
-    """Order-independent sum of amounts, as DOUBLE."""
+    """Order-independent sum of amounts of eight decimals at most, as DOUBLE (the
+    models sum any amount, see :mod:`touchline.functions.exact`)."""
     return F.sum(money(c)).cast("double")
 
 
 def money_mean(c: ColumnOrName) -> Column:
-    """Order-independent mean of amounts, as DOUBLE.
+    """Order-independent mean of such amounts, as DOUBLE.
 
     NULL inputs are ignored like ``avg``; an all-NULL group gives NULL.
     """

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.exprs import money, round_dp
+from touchline.functions import exact
+from touchline.functions.exprs import round_dp
 from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from touchline.sources.schemas import RECONCILIATION_TOLERANCE
 
@@ -103,21 +104,22 @@ def relationships_summary(specs: Sequence[tuple[str, DataFrame, str, DataFrame,
 
 
 def _total(df: DataFrame, col: str) -> F.Column:
-    """Exact total of an amount column as a scalar subquery (DECIMAL)."""
-    return df.agg(F.sum(money(col))).scalar()
+    """Exact total of an amount column (see :mod:`touchline.functions.exact`), DOUBLE, as a scalar subquery."""
+    return exact.ready(df, col).agg(exact.value(exact.total(col))).scalar()
 
 
 def reconcile_revenue_to_source(fact: DataFrame, revenue: DataFrame,
                                 tolerance: float = RECONCILIATION_TOLERANCE) -> DataFrame:
     """Fact total equals the source total within ``tolerance``."""
-    fct, src = _total(fact, "revenue_amount"), _total(revenue, "revenue_amount")
-    diff = (fct.cast("decimal(37,8)") - src.cast("decimal(37,8)")).cast("double")
-    return fact.sparkSession.range(1).select(
+    totals = fact.sparkSession.range(1).select(exact.ready(fact, "revenue_amount").agg(exact.total("revenue_amount").alias("t")).scalar().alias("f"),
+                                               exact.ready(revenue, "revenue_amount").agg(exact.total("revenue_amount").alias("t")).scalar().alias("s"))
+    return totals.select(exact.value("f").alias("fct"), exact.value("s").alias("src"),
+                         exact.value(exact.minus("f", "s")).alias("difference")).select(
         F.lit("revenue_reconciles_to_source").alias("test_name"),
-        round_dp(fct.cast("double"), 2).alias("fct_total"),
-        round_dp(src.cast("double"), 2).alias("src_total"),
-        round_dp(diff, 2).alias("difference"),
-        F.when(F.abs(diff) > tolerance, 1).otherwise(0).cast("bigint").alias("failing_rows"))
+        round_dp("fct", 2).alias("fct_total"),
+        round_dp("src", 2).alias("src_total"),
+        round_dp("difference", 2).alias("difference"),
+        F.when(F.abs("difference") > tolerance, 1).otherwise(0).cast("bigint").alias("failing_rows"))
 
 
 def reconcile_attributed_not_exceeds_total(fact: DataFrame, revenue: DataFrame,
@@ -125,17 +127,16 @@ def reconcile_attributed_not_exceeds_total(fact: DataFrame, revenue: DataFrame,
     """R2: attributed revenue under each model does not exceed the source total.
     Both model totals come from one pass over the fact."""
     total = _total(revenue, "revenue_amount")
-    amt = money("revenue_amount")
     # Every fact row carries both channels, so each model's attributed total is
     # the fact total; one aggregate yields both rows.
-    per_model = fact.agg(F.sum(amt).alias("t")).select(
+    per_model = exact.ready(fact, "revenue_amount").agg(exact.value(exact.total("revenue_amount")).alias("t")).select(
         F.col("t").alias("last_touch"), F.col("t").alias("first_touch"),
     ).unpivot([], ["last_touch", "first_touch"], "model", "attributed")
     return per_model.select(
         F.lit("attributed_not_exceeds_total").alias("test_name"), "model",
-        round_dp(F.col("attributed").cast("double"), 2).alias("attributed_rev"),
-        round_dp(total.cast("double"), 2).alias("total_rev"),
-        F.when(F.coalesce(F.col("attributed").cast("double"), F.lit(0.0)) > total.cast("double") + tolerance, 1)
+        round_dp("attributed", 2).alias("attributed_rev"),
+        round_dp(total, 2).alias("total_rev"),
+        F.when(F.coalesce("attributed", F.lit(0.0)) > total + tolerance, 1)
         .otherwise(0).cast("bigint").alias("failing_rows"))
 
 
@@ -152,8 +153,8 @@ def reconcile_row_count(fact: DataFrame, revenue: DataFrame) -> DataFrame:
 def reconcile_campaign_not_exceeds_total(campaign_attribution: DataFrame, revenue: DataFrame,
                                          tolerance: float = RECONCILIATION_TOLERANCE) -> DataFrame:
     """Revenue split over campaigns does not exceed the source total."""
-    attr = _total(campaign_attribution, "attributed_revenue").cast("double")
-    total = _total(revenue, "revenue_amount").cast("double")
+    attr = _total(campaign_attribution, "attributed_revenue")
+    total = _total(revenue, "revenue_amount")
     return campaign_attribution.sparkSession.range(1).select(
         F.lit("campaign_attribution_not_exceeds_total").alias("test_name"),
         round_dp(attr, 4).alias("attributed_rev"),

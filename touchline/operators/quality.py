@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.functions.exprs import MONEY, money_sum, round_dp, safe_div
+from touchline.functions import exact
+from touchline.functions.exprs import MONEY, round_dp, safe_div
 from touchline.operators.joins import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, lookup_join,
                                       null_aware_anti_count)
 from touchline.sources import schemas
@@ -155,8 +156,8 @@ def dq_report(spark: SparkSession, raw: RawTables, date_range: tuple[str, str] =
 def anchors(raw: RawTables) -> DataFrame:
     """Total users and total revenue (2 dp), one row."""
     users = raw.user_signups.agg(F.count(F.lit(1))).scalar()
-    return raw.portfolio_revenue.agg(
-        round_dp(money_sum("revenue_amount"), 2).alias("total_revenue")
+    return exact.ready(raw.portfolio_revenue, "revenue_amount").agg(
+        round_dp(exact.sum_of("revenue_amount"), 2).alias("total_revenue")
     ).select(users.cast("bigint").alias("total_users"), "total_revenue")
 
 
@@ -198,10 +199,10 @@ def source_profile(raw: RawTables) -> DataFrame:
 
     u, c, r = raw.user_signups, raw.content_performance, raw.portfolio_revenue
     content = c.agg(F.struct(F.count(F.lit(1)).alias("rows"), pct(blank("utm_source")).alias("missing"))).scalar()
-    revenue = r.agg(F.struct(
+    revenue = exact.ready(r, "revenue_amount").agg(F.struct(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("revenue_type") == "recurring").alias("recurring"),
-        money_sum("revenue_amount").alias("total"))).scalar()
+        exact.sum_of("revenue_amount").alias("total"))).scalar()
     users = u.agg(
         F.count(F.lit(1)).alias("users"),
         pct(blank("utm_source")).alias("user_missing_utm_source_pct"),

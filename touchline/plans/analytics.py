@@ -3,20 +3,16 @@
 Every query first aggregates the fact with a partial (map-side) aggregate:
 sums go straight to a grain bounded by the domain (channels x companies x
 months), distinct counts through a (group, user_id) level first.  Windows,
-ranks and joins then run on the few aggregated rows only.  Sums stay DECIMAL
-until the final projection (exact, order independent), see
-:mod:`touchline.functions.exprs`.
+ranks and joins then run on the few aggregated rows only.  Sums stay exact
+until the final projection, see :mod:`touchline.functions.exact`.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.functions.exprs import money, month_index, month_str, round_dp, safe_div
-
-
-def _dbl(c) -> F.Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
+from touchline.functions import exact
+from touchline.functions.exprs import month_index, month_str, round_dp, safe_div
 
 
 def channel_revenue_ranking(fact: DataFrame) -> DataFrame:
@@ -32,23 +28,23 @@ def channel_ranking_rows(fact: DataFrame) -> DataFrame:
     (at most 8 x 8 groups) from which both per-model totals are rolled up.  A
     channel present under one model only has NULL on the other side.
     """
-    pairs = (fact.groupBy(F.col("last_touch_channel").alias("l"), F.col("first_touch_channel").alias("f"))
-             .agg(F.sum(money("revenue_amount")).alias("amt")))
-    last = pairs.groupBy(F.col("l").alias("channel")).agg(F.sum("amt").alias("l_amt"))
-    first = pairs.groupBy(F.col("f").alias("channel")).agg(F.sum("amt").alias("f_amt"))
-    both = last.join(first, "channel", "full_outer")  # USING: channel is coalesced
+    pairs = (exact.ready(fact, "revenue_amount").groupBy(F.col("last_touch_channel").alias("l"), F.col("first_touch_channel").alias("f"))
+             .agg(exact.total_of(fact, "revenue_amount").alias("amt")))
+    last = pairs.groupBy(F.col("l").alias("channel")).agg(exact.add("amt").alias("l_amt"))
+    first = pairs.groupBy(F.col("f").alias("channel")).agg(exact.add("amt").alias("f_amt"))
     everything = Window.partitionBy()  # <= 8 rows after aggregation
-    l_rev, f_rev = _dbl("l_amt"), _dbl("f_amt")
+    both = (last.join(first, "channel", "full_outer")  # USING: channel is coalesced
+            .select("channel", exact.value("l_amt").alias("l_rev"), exact.value("f_amt").alias("f_rev"),
+                    exact.value(exact.minus("l_amt", "f_amt")).alias("difference"),
+                    exact.add_over("l_amt", everything).alias("all_amt")))
     return both.select(
         "channel",
-        round_dp(l_rev, 2).alias("last_touch_revenue"),
-        round_dp(f_rev, 2).alias("first_touch_revenue"),
-        round_dp(_dbl(F.col("l_amt").cast("decimal(37,8)") - F.col("f_amt").cast("decimal(37,8)")), 2)
-        .alias("last_minus_first"),
-        F.rank().over(everything.orderBy(F.desc_nulls_last("l_amt"))).cast("bigint").alias("last_touch_rank"),
-        F.rank().over(everything.orderBy(F.desc_nulls_last("f_amt"))).cast("bigint").alias("first_touch_rank"),
-        round_dp(safe_div(F.lit(100.0) * l_rev, _dbl(F.sum("l_amt").over(everything))), 1)
-        .alias("pct_of_total_last_touch"),
+        round_dp("l_rev", 2).alias("last_touch_revenue"),
+        round_dp("f_rev", 2).alias("first_touch_revenue"),
+        round_dp("difference", 2).alias("last_minus_first"),
+        F.rank().over(everything.orderBy(F.desc_nulls_last("l_rev"))).cast("bigint").alias("last_touch_rank"),
+        F.rank().over(everything.orderBy(F.desc_nulls_last("f_rev"))).cast("bigint").alias("first_touch_rank"),
+        round_dp(safe_div(F.lit(100.0) * F.col("l_rev"), exact.value("all_amt")), 1).alias("pct_of_total_last_touch"),
     )
 
 
@@ -62,13 +58,13 @@ def campaign_roi(roi: DataFrame) -> DataFrame:
 def campaign_roi_coverage(roi: DataFrame, fact: DataFrame) -> DataFrame:
     """One row - revenue tied to any campaign, total revenue, % covered, spend.
     The fact total is a scalar subquery computed once."""
-    total = fact.agg(F.sum(money("revenue_amount"))).scalar()
-    tied = F.sum(money("attributed_revenue"))
-    return roi.agg(
-        round_dp(_dbl(tied), 2).alias("revenue_tied_to_campaigns"),
-        round_dp(_dbl(total), 2).alias("total_revenue"),
-        round_dp(safe_div(F.lit(100.0) * _dbl(tied), _dbl(total)), 1).alias("pct_covered"),
-        F.sum("budget").cast("double").alias("total_spend"),
+    total = exact.ready(fact, "revenue_amount").agg(exact.value(exact.total_of(fact, "revenue_amount"))).scalar()
+    sums = exact.ready(roi, "attributed_revenue").agg(exact.total("attributed_revenue").alias("tied"), F.sum("budget").cast("double").alias("total_spend"))
+    return sums.select(exact.value("tied").alias("tied"), "total_spend").select(
+        round_dp("tied", 2).alias("revenue_tied_to_campaigns"),
+        round_dp(total, 2).alias("total_revenue"),
+        round_dp(safe_div(F.lit(100.0) * F.col("tied"), total), 1).alias("pct_covered"),
+        "total_spend",
     )
 
 
@@ -81,9 +77,9 @@ def cac_rows(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Q3: spend / distinct customers per company x last-touch channel; NULL CAC
     where there is no spend.  Spend and customers are aggregated separately,
     then joined on the two keys, so budgets never fan out over revenue rows."""
-    acquired = (fact.groupBy(F.col("last_touch_channel").alias("channel"), "company_id")
+    acquired = (exact.ready(fact, "revenue_amount").groupBy(F.col("last_touch_channel").alias("channel"), "company_id")
                 .agg(F.count_distinct("user_id").alias("customers_acquired"),
-                     round_dp(_dbl(F.sum(money("revenue_amount"))), 2).alias("attributed_revenue")))
+                     round_dp(exact.value(exact.total_of(fact, "revenue_amount")), 2).alias("attributed_revenue")))
     spend = (campaigns.groupBy("channel", "company_id")
              .agg(F.sum("budget").cast("double").alias("total_spend")))
     j = acquired.join(spend, ["channel", "company_id"], "left")
@@ -124,18 +120,21 @@ def revenue_trend_by_channel(fact: DataFrame) -> DataFrame:
     """Q5: monthly revenue per last-touch channel, month-over-month growth %
     and the trailing 3-row mean.  Row based, like the reference: a missing
     month makes lag look at the previous existing row."""
-    monthly = (fact.groupBy(F.col("last_touch_channel").alias("channel"), "revenue_month")
-               .agg(F.sum(money("revenue_amount")).alias("amt")))
+    monthly = (exact.ready(fact, "revenue_amount").groupBy(F.col("last_touch_channel").alias("channel"), "revenue_month")
+               .agg(exact.total_of(fact, "revenue_amount").alias("amt"))
+               .withColumn("rev", exact.value("amt")))
     w = Window.partitionBy("channel").orderBy("revenue_month")
     trailing = w.rowsBetween(-2, Window.currentRow)
-    prev = F.lag("amt").over(w)
-    return monthly.select(
+    near = monthly.select(
+        "channel", "revenue_month", "amt", "rev",
+        F.lag("amt").over(w).alias("prev"), F.lag("rev").over(w).alias("prev_rev"),
+        exact.add_over("amt", trailing).alias("near_amt"), F.count("rev").over(trailing).alias("near_months"))
+    return near.select(
         "channel",
         month_str("revenue_month").alias("month"),
-        round_dp(_dbl("amt"), 2).alias("revenue"),
-        round_dp(safe_div(F.lit(100.0) * _dbl(F.col("amt").cast("decimal(37,8)") - prev.cast("decimal(37,8)")), _dbl(prev)), 1).alias("mom_growth_pct"),
-        round_dp(safe_div(F.sum("amt").over(trailing), F.count("amt").over(trailing)), 2)
-        .alias("trailing_3mo_avg"),
+        round_dp("rev", 2).alias("revenue"),
+        round_dp(safe_div(F.lit(100.0) * exact.value(exact.minus("amt", "prev")), "prev_rev"), 1).alias("mom_growth_pct"),
+        round_dp(safe_div(exact.value("near_amt"), "near_months"), 2).alias("trailing_3mo_avg"),
         "revenue_month",
     ).orderBy(F.asc_nulls_last("channel"), F.asc_nulls_last("revenue_month")).drop("revenue_month")
 
@@ -145,15 +144,16 @@ def forecast_by_company(fact: DataFrame, horizon: int = 3, trailing_months: int
     """Q6: flat projection of each company's mean monthly revenue over the
     calendar months >= last - (trailing_months - 1), for ``horizon`` months after
     its last month, plus its actuals from last - (actual_months - 1) on."""
-    monthly = (fact.groupBy("company_id", "revenue_month")
-               .agg(F.sum(money("revenue_amount")).alias("amt"))
+    monthly = (exact.ready(fact, "revenue_amount").groupBy("company_id", "revenue_month")
+               .agg(exact.total_of(fact, "revenue_amount").alias("amt"))
+               .withColumn("rev", exact.value("amt"))
                .withColumn("last_month", F.max("revenue_month").over(Window.partitionBy("company_id"))))
     since = lambda n: F.col("revenue_month") >= F.add_months("last_month", -(n - 1))
     mean = (monthly.where(since(trailing_months))
             .groupBy("company_id", "last_month")
-            .agg(round_dp(safe_div(F.sum("amt"), F.count("amt")), 2).alias("avg_rev")))
+            .agg(round_dp(safe_div(exact.value(exact.add("amt")), F.count("rev")), 2).alias("avg_rev")))
     actual = monthly.where(since(actual_months)).select(
-        "company_id", "revenue_month", round_dp(_dbl("amt"), 2).alias("revenue"),
+        "company_id", "revenue_month", round_dp("rev", 2).alias("revenue"),
         F.lit("actual").alias("row_type"))
     forecast = (mean.select("company_id", "last_month", "avg_rev",
                             F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("g"))
@@ -166,6 +166,6 @@ def forecast_by_company(fact: DataFrame, horizon: int = 3, trailing_months: int
 
 def channel_revenue_totals(fact: DataFrame) -> DataFrame:
     """Q7: revenue per last-touch channel rounded to whole units, descending."""
-    return (fact.groupBy(F.col("last_touch_channel").alias("channel"))
-            .agg(round_dp(_dbl(F.sum(money("revenue_amount"))), 0).alias("revenue"))
+    return (exact.ready(fact, "revenue_amount").groupBy(F.col("last_touch_channel").alias("channel"))
+            .agg(round_dp(exact.value(exact.total_of(fact, "revenue_amount")), 0).alias("revenue"))
             .orderBy(F.desc_nulls_last("revenue")))

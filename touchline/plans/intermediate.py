@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.functions.exprs import is_in, money_mean, money_sum, round_dp
+from touchline.functions import exact
+from touchline.functions.exprs import is_in, round_dp
 from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, interval_join, lookup_join
 from touchline.sources import schemas
 
@@ -51,13 +52,13 @@ def int_user_attribution(signups: DataFrame, campaigns: DataFrame,
 def int_user_revenue(revenue: DataFrame) -> DataFrame:
     """M6: per (user, company) revenue summary.  Partial aggregation runs
     map-side, so a heavy user is combined before the shuffle."""
-    return (revenue.groupBy("user_id", "company_id")
+    return (exact.ready(revenue, "revenue_amount").groupBy("user_id", "company_id")
             .agg(F.min("revenue_type").alias("revenue_type"),
                  F.count(F.lit(1)).alias("active_months"),
                  F.min("revenue_month").alias("first_revenue_month"),
                  F.max("revenue_month").alias("last_revenue_month"),
-                 round_dp(money_sum("revenue_amount"), 2).alias("total_revenue"),
-                 round_dp(money_mean("revenue_amount"), 2).alias("avg_monthly_revenue")))
+                 round_dp(exact.sum_of("revenue_amount"), 2).alias("total_revenue"),
+                 round_dp(exact.mean_of("revenue_amount"), 2).alias("avg_monthly_revenue")))
 
 
 def int_user_journey(attribution: DataFrame, user_revenue: DataFrame) -> DataFrame:

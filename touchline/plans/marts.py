@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.functions.exprs import money, money_mean, money_sum, month_str, round_dp, safe_div
+from touchline.functions import exact
+from touchline.functions.exprs import month_str, round_dp, safe_div
 from touchline.sources import schemas
 
 
@@ -39,22 +40,22 @@ def revenue_rollup(fact: DataFrame) -> DataFrame:
     Not a reference model: a physical shortcut for batch runs.  The additive
     analysis queries (channel ranking, coverage total, trend, forecast, ad-hoc
     totals and the additive dashboard aggregates) read the same columns from it
-    as from the fact and give identical results, because sums of exact decimal
-    sums are exact; it has at most channels^2 x companies x months rows, so one
+    as from the fact and give identical results, because sums of exact sums
+    (:mod:`touchline.functions.exact`) are exact; it has at most channels^2 x companies x months rows, so one
     pass over the fact serves all of them.  Distinct-user queries (CAC,
     retention) still read the fact.
     """
-    return (fact.groupBy("company_id", "revenue_month", "last_touch_channel", "first_touch_channel")
-            .agg(F.sum(money("revenue_amount")).alias("revenue_amount"),
+    return (exact.ready(fact, "revenue_amount").groupBy("company_id", "revenue_month", "last_touch_channel", "first_touch_channel")
+            .agg(exact.total("revenue_amount").alias("revenue_amount"),
                  F.count(F.lit(1)).alias("revenue_rows")))
 
 
 def fct_campaign_roi(campaigns: DataFrame, campaign_attribution: DataFrame) -> DataFrame:
     """Spend vs attributed revenue per campaign.  Attribution is
     aggregated to campaign grain *before* the join, so budgets never fan out."""
-    attributed = (campaign_attribution.groupBy("campaign_id")
+    attributed = (exact.ready(campaign_attribution, "attributed_revenue").groupBy("campaign_id")
                   .agg(F.count_distinct("user_id").alias("attributed_users"),
-                       round_dp(money_sum("attributed_revenue"), 2).alias("attributed_revenue"))
+                       round_dp(exact.sum_of("attributed_revenue"), 2).alias("attributed_revenue"))
                   .withColumnRenamed("campaign_id", "__cid"))
     j = campaigns.join(attributed, campaigns["campaign_id"] == attributed["__cid"], "left")
     rev = F.coalesce("attributed_revenue", F.lit(0.0))
@@ -69,11 +70,11 @@ def fct_campaign_roi(campaigns: DataFrame, campaign_attribution: DataFrame) -> D
 
 def fct_content_performance(content: DataFrame) -> DataFrame:
     """Content output and engagement per channel x publish month."""
-    return (content.groupBy("channel", "publish_month")
+    return (exact.ready(content, "click_through_rate").groupBy("channel", "publish_month")
             .agg(F.count(F.lit(1)).alias("content_pieces"),
                  F.sum("views").cast("bigint").alias("total_views"),
                  F.sum("clicks").cast("bigint").alias("total_clicks"),
-                 round_dp(money_mean("click_through_rate"), 4).alias("avg_click_through_rate"),
+                 round_dp(exact.mean_of("click_through_rate"), 4).alias("avg_click_through_rate"),
                  round_dp(safe_div(F.sum("clicks"), F.sum("views")), 4).alias("blended_click_through_rate"),
                  F.count_if(~F.col("has_utm_source")).alias("pieces_missing_utm_source")))
 

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.functions.exprs import money, month_str, round_dp, safe_div
+from touchline.functions import exact
+from touchline.functions.exprs import month_str, round_dp, safe_div
 from touchline.operators.joins import literal_broadcast
 from touchline.plans import analytics
 
@@ -22,10 +23,6 @@ KEEP_ABOVE = 10.0
 TOP_CHANNELS = ("youtube", "instagram")
 
 
-def _dbl(c) -> F.Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
-
-
 def channel_view(fact: DataFrame, dim_channel: DataFrame) -> DataFrame:
     """V1: channel ranking with display name and channel type."""
     r = analytics.channel_ranking_rows(fact)
@@ -39,18 +36,18 @@ def channel_view(fact: DataFrame, dim_channel: DataFrame) -> DataFrame:
 def channel_type_split(fact: DataFrame, dim_channel: DataFrame) -> DataFrame:
     """V2: last-touch revenue per channel type (content vs earned).  The fact is
     aggregated to channel grain before the dimension join."""
-    per_channel = (fact.groupBy(F.col("last_touch_channel").alias("channel"))
-                   .agg(F.sum(money("revenue_amount")).alias("amt")))
+    per_channel = (exact.ready(fact, "revenue_amount").groupBy(F.col("last_touch_channel").alias("channel"))
+                   .agg(exact.total_of(fact, "revenue_amount").alias("amt")))
     d = literal_broadcast(dim_channel.select("channel", "channel_type"))
     return (per_channel.join(d, "channel", "left")
             .groupBy("channel_type")
-            .agg(round_dp(_dbl(F.sum("amt")), 2).alias("revenue")))
+            .agg(round_dp(exact.value(exact.add("amt")), 2).alias("revenue")))
 
 
 def monthly_revenue(fact: DataFrame) -> DataFrame:
     """V3: total revenue per month."""
-    return (fact.groupBy("revenue_month")
-            .agg(round_dp(_dbl(F.sum(money("revenue_amount"))), 2).alias("revenue"))
+    return (exact.ready(fact, "revenue_amount").groupBy("revenue_month")
+            .agg(round_dp(exact.value(exact.total_of(fact, "revenue_amount")), 2).alias("revenue"))
             .orderBy(F.asc_nulls_last("revenue_month"))
             .select(month_str("revenue_month").alias("month"), "revenue"))
 
@@ -104,8 +101,8 @@ def quality_label_counts(attribution: DataFrame) -> DataFrame:
 
 def company_revenue(fact: DataFrame, dim_company: DataFrame) -> DataFrame:
     """V9: revenue per company with its name, descending."""
-    per_company = (fact.groupBy("company_id")
-                   .agg(round_dp(_dbl(F.sum(money("revenue_amount"))), 2).alias("revenue")))
+    per_company = (exact.ready(fact, "revenue_amount").groupBy("company_id")
+                   .agg(round_dp(exact.value(exact.total_of(fact, "revenue_amount")), 2).alias("revenue")))
     d = literal_broadcast(dim_company.select("company_id", "company_name"))
     return (per_company.join(d, "company_id", "left")
             .select("company_id", "company_name", "revenue")
@@ -114,14 +111,14 @@ def company_revenue(fact: DataFrame, dim_company: DataFrame) -> DataFrame:
 
 def top_channel_share(fact: DataFrame, channels: Sequence[str] = TOP_CHANNELS) -> DataFrame:
     """Last-touch revenue of the named channels and its share of the total."""
-    amt = money("revenue_amount")
-    top = F.sum(F.when(F.col("last_touch_channel").isin(list(channels)), amt))
-    total = F.sum(amt)
-    return fact.agg(
-        round_dp(_dbl(F.coalesce(top, F.lit(0).cast("decimal(38,8)"))), 2).alias("top_revenue"),
-        round_dp(_dbl(total), 2).alias("total_revenue"),
-        round_dp(safe_div(F.lit(100.0) * _dbl(F.coalesce(top, F.lit(0).cast("decimal(38,8)"))), _dbl(total)), 1)
-        .alias("pct_of_total"),
+    quoted = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in channels)
+    named = f"last_touch_channel IN ({quoted})" if quoted else "false"
+    sums = exact.ready(fact, "revenue_amount").agg(exact.total_of(fact, "revenue_amount", when=named).alias("top"),
+                    exact.total_of(fact, "revenue_amount").alias("total"))
+    return sums.select(F.coalesce(exact.value("top"), F.lit(0.0)).alias("top"), exact.value("total").alias("total")).select(
+        round_dp("top", 2).alias("top_revenue"),
+        round_dp("total", 2).alias("total_revenue"),
+        round_dp(safe_div(F.lit(100.0) * F.col("top"), "total"), 1).alias("pct_of_total"),
     )
 
 
