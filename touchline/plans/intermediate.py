@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from touchline.functions import exact
 from touchline.functions.exprs import is_in, round_dp
 from touchline.operators.joins import DEFAULT_BROADCAST_ROWS, interval_join, lookup_join
+from touchline.operators.sweep import EVENTS_PER_SLAB, sweep_join
 from touchline.sources import schemas
 
 
@@ -80,16 +81,17 @@ def int_user_journey(attribution: DataFrame, user_revenue: DataFrame) -> DataFra
     )
 
 
-def int_campaign_attribution(journey: DataFrame, campaigns: DataFrame, *, bucketed: bool = True,
+def int_campaign_attribution(journey: DataFrame, campaigns: DataFrame, *, bucketed: bool | None = None,
                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                             salt_buckets: int | None = None) -> DataFrame:
+                             salt_buckets: int | None = None, slab: int = EVENTS_PER_SLAB) -> DataFrame:
     """M8: credit a campaign iff its channel = the user's last touch, its company
     = the user's company and the signup date lies in the closed campaign window;
     the user's lifetime revenue is split 1/N over the N matches (4 dp).
 
+    Users meet campaigns slab by slab of the sorted signup dates (:func:`sweep_join`).
     ``bucketed=False`` joins on (channel, company) with the range as a residual
     predicate; ``bucketed=True`` adds the signup month as an equality key against
-    the month buckets of each window.  Both give identical rows.
+    the month buckets of each window.  All give identical rows.
     """
     users = journey.select(
         "user_id",
@@ -98,10 +100,13 @@ def int_campaign_attribution(journey: DataFrame, campaigns: DataFrame, *, bucket
         "signup_date", "total_revenue")
     windows = campaigns.select("campaign_id", "campaign_name", "channel", "company_id",
                                "start_date", "end_date")
-    matches = interval_join(
-        users, windows, point_keys=["__uchannel", "__ucompany"], window_keys=["channel", "company_id"],
-        point="signup_date", lo="start_date", hi="end_date", bucketed=bucketed,
-        max_broadcast_rows=max_broadcast_rows, salt_buckets=salt_buckets, salt_on="user_id")
+    sides = dict(point_keys=["__uchannel", "__ucompany"], window_keys=["channel", "company_id"],
+                 point="signup_date", lo="start_date", hi="end_date")
+    if bucketed is None:
+        matches = sweep_join(users, windows, part_on="user_id", slab=slab, **sides)
+    else:
+        matches = interval_join(users, windows, bucketed=bucketed, max_broadcast_rows=max_broadcast_rows,
+                                salt_buckets=salt_buckets, salt_on="user_id", **sides)
     n = F.count(F.lit(1)).over(Window.partitionBy("user_id"))
     return (matches.withColumn("n_campaign_matches", n)
             .select("user_id", "campaign_id", "campaign_name", "channel", "company_id",

@@ -53,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
 class Warehouse:
     """Lazily built models of the attribution pipeline for one raw layer."""
 
-    def __init__(self, spark: SparkSession, raw: RawTables, *, bucketed: bool = True,
+    def __init__(self, spark: SparkSession, raw: RawTables, *, bucketed: bool | None = None,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                  overrides: dict[str, DataFrame] | None = None):
         self.spark = spark
