@@ -26,7 +26,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from touchline.plans.marts import revenue_rollup  # noqa: E402
-from touchline.run import result_sets  # noqa: E402
+from touchline.run import result_sets, stored_activity  # noqa: E402
 from touchline.plans.warehouse import Warehouse, shared_dir  # noqa: E402
 from touchline.sources import fixtures  # noqa: E402
 from touchline.sources.files import ingest  # noqa: E402
@@ -62,7 +62,8 @@ def pipeline(spark, sf_dir: str) -> None:
                                           database="bench_marts_" + uuid.uuid4().hex[:8])
     rollup_path = os.path.join(root, "marts", "_revenue_rollup")
     revenue_rollup(w.fct_attributed_revenue).write.mode("overwrite").parquet(rollup_path)
-    for df in result_sets(w, spark.read.parquet(rollup_path)).values():
+    activity = stored_activity(w, os.path.join(root, "marts"))
+    for df in result_sets(w, spark.read.parquet(rollup_path), activity).values():
         run(df)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions import exact
 from touchline.functions.exprs import month_index, month_str, round_dp, safe_div
+from touchline.operators import userset
 
 
 def channel_revenue_ranking(fact: DataFrame) -> DataFrame:
@@ -68,18 +69,26 @@ def campaign_roi_coverage(roi: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
-def cac_by_channel_company(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
+def cac_by_channel_company(fact: DataFrame, campaigns: DataFrame, activity: DataFrame | None = None) -> DataFrame:
     """Q3 ordered by company, then CAC with NULLs last."""
-    return cac_rows(fact, campaigns).orderBy(F.asc_nulls_last("company_id"), F.asc_nulls_last("cac"))
+    return cac_rows(fact, campaigns, activity).orderBy(F.asc_nulls_last("company_id"), F.asc_nulls_last("cac"))
 
 
-def cac_rows(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
+def cac_rows(fact: DataFrame, campaigns: DataFrame, activity: DataFrame | None = None) -> DataFrame:
     """Q3: spend / distinct customers per company x last-touch channel; NULL CAC
     where there is no spend.  Spend and customers are aggregated separately,
-    then joined on the two keys, so budgets never fan out over revenue rows."""
-    acquired = (exact.ready(fact, "revenue_amount").groupBy(F.col("last_touch_channel").alias("channel"), "company_id")
-                .agg(F.count_distinct("user_id").alias("customers_acquired"),
-                     round_dp(exact.value(exact.total_of(fact, "revenue_amount")), 2).alias("attributed_revenue")))
+    then joined on the two keys, so budgets never fan out over revenue rows.  With
+    ``activity`` (:func:`touchline.plans.marts.user_activity`) customers are counted
+    there, and ``fact`` may be the rollup."""
+    groups = exact.ready(fact, "revenue_amount").groupBy(F.col("last_touch_channel").alias("channel"), "company_id")
+    revenue = round_dp(exact.value(exact.total_of(fact, "revenue_amount")), 2).alias("attributed_revenue")
+    if activity is None:
+        acquired = groups.agg(F.count_distinct("user_id").alias("customers_acquired"), revenue)
+    else:
+        users = userset.counted(activity, ["channel", "company_id"], "n").select(
+            F.col("channel").alias("__ch"), F.col("company_id").alias("__co"), "n")
+        acquired = (groups.agg(revenue).join(users, F.col("channel").eqNullSafe(F.col("__ch")) & F.col("company_id").eqNullSafe(F.col("__co")), "left")
+                    .withColumn("customers_acquired", F.coalesce("n", F.lit(0).cast("long"))).drop("__ch", "__co", "n"))
     spend = (campaigns.groupBy("channel", "company_id")
              .agg(F.sum("budget").cast("double").alias("total_spend")))
     j = acquired.join(spend, ["channel", "company_id"], "left")
@@ -92,23 +101,26 @@ def cac_rows(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
     )
 
 
-def cohort_retention_by_channel(fact: DataFrame, max_index: int = 12) -> DataFrame:
+def cohort_retention_by_channel(fact: DataFrame, max_index: int = 12, activity: DataFrame | None = None) -> DataFrame:
     """Q4 ordered by channel and month index."""
-    return retention_rows(fact, max_index).orderBy(F.asc_nulls_last("channel"), F.asc_nulls_last("month_index"))
+    return retention_rows(fact, max_index, activity).orderBy(F.asc_nulls_last("channel"), F.asc_nulls_last("month_index"))
 
 
-def retention_rows(fact: DataFrame, max_index: int = 12) -> DataFrame:
+def retention_rows(fact: DataFrame | None, max_index: int = 12, activity: DataFrame | None = None) -> DataFrame:
     """Q4: distinct users active N month boundaries after their signup month,
     per last-touch channel, over the users active in month 0 of that channel.
 
     The month-0 cohort is the month-0 row of the same aggregate, attached with a
     window over <= 13 rows per channel (no self join); channels without month-0
-    users drop out, as with an inner join."""
-    rev = fact.select(F.col("last_touch_channel").alias("channel"), "user_id",
-                      month_index("signup_month", "revenue_month").alias("month_index"))
-    active = (rev.where(F.col("month_index").between(0, max_index))
-              .groupBy("channel", "month_index")
-              .agg(F.count_distinct("user_id").alias("active_users")))
+    users drop out, as with an inner join.  With ``activity``
+    (:func:`touchline.plans.marts.user_activity`) the fact is not read."""
+    wanted = F.col("month_index").between(0, max_index)
+    if activity is None:
+        rev = fact.select(F.col("last_touch_channel").alias("channel"), "user_id",
+                          month_index("signup_month", "revenue_month").alias("month_index"))
+        active = rev.where(wanted).groupBy("channel", "month_index").agg(F.count_distinct("user_id").alias("active_users"))
+    else:
+        active = userset.counted(activity.where(wanted), ["channel", "month_index"], "active_users")
     cohort = F.max(F.when(F.col("month_index") == 0, F.col("active_users"))).over(Window.partitionBy("channel"))
     return (active.withColumn("cohort_users", cohort)
             .where(F.col("cohort_users").isNotNull())

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions import exact
-from touchline.functions.exprs import month_str, round_dp, safe_div
+from touchline.functions.exprs import month_index, month_str, round_dp, safe_div
+from touchline.operators import userset
 from touchline.sources import schemas
 
 
@@ -42,14 +43,33 @@ def revenue_rollup(fact: DataFrame) -> DataFrame:
     totals and the additive dashboard aggregates) read the same columns from it
     as from the fact and give identical results, because sums of exact sums
     (:mod:`touchline.functions.exact`) are exact; it has at most channels^2 x companies x months rows, so one
-    pass over the fact serves all of them.  Distinct-user queries (CAC,
-    retention) still read the fact.
+    pass over the fact serves all of them.  Distinct users are in
+    :func:`user_activity`.
     """
     return (exact.ready(fact, "revenue_amount").groupBy("company_id", "revenue_month", "last_touch_channel", "first_touch_channel")
             .agg(exact.total("revenue_amount").alias("revenue_amount"),
                  F.count(F.lit(1)).alias("revenue_rows")))
 
 
+def user_numbers(attribution: DataFrame) -> DataFrame:
+    """A number for each user, in runs by channel, company and signup month (write it
+    before use, see :func:`touchline.operators.userset.numbers`)."""
+    return userset.numbers(attribution, "user_id", ["last_touch_channel", "company_id", "signup_month"])
+
+
+def user_activity(fact: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The users active per (company, last-touch channel, months since signup), as
+    exact bitmaps over ``numbers``.
+
+    Like :func:`revenue_rollup` a shortcut for batch runs: one pass over the fact
+    serves all distinct-user queries (CAC, retention and the dashboard figures made
+    of them).  A user takes a bit per month of activity.
+    """
+    rows = fact.select("user_id", "company_id", F.col("last_touch_channel").alias("channel"),
+                       month_index("signup_month", "revenue_month").alias("month_index"))
+    return userset.pieces(rows, ["company_id", "channel", "month_index"], "user_id", numbers)
+
+
 def fct_campaign_roi(campaigns: DataFrame, campaign_attribution: DataFrame) -> DataFrame:
     """Spend vs attributed revenue per campaign.  Attribution is
     aggregated to campaign grain *before* the join, so budgets never fan out."""

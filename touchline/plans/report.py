@@ -52,9 +52,10 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
             .select(month_str("revenue_month").alias("month"), "revenue"))
 
 
-def company_cac(fact: DataFrame, campaigns: DataFrame, company_id: str | None = None) -> DataFrame:
+def company_cac(fact: DataFrame, campaigns: DataFrame, company_id: str | None = None,
+                activity: DataFrame | None = None) -> DataFrame:
     """V4: CAC rows that carry spend, for one company or (None) for all."""
-    rows = analytics.cac_rows(fact, campaigns).where(F.col("total_spend").isNotNull())
+    rows = analytics.cac_rows(fact, campaigns, activity).where(F.col("total_spend").isNotNull())
     if company_id is not None:
         rows = rows.where(F.col("company_id") == company_id)
     return rows.select("company_id", "channel", "customers_acquired", "total_spend", "cac",
@@ -62,11 +63,11 @@ def company_cac(fact: DataFrame, campaigns: DataFrame, company_id: str | None =
 
 
 def spend_verdict(fact: DataFrame, campaigns: DataFrame, stop_below: float = STOP_BELOW,
-                  keep_above: float = KEEP_ABOVE) -> DataFrame:
+                  keep_above: float = KEEP_ABOVE, activity: DataFrame | None = None) -> DataFrame:
     """V5: 'stop' below ``stop_below`` revenue per dollar, 'keep' above
     ``keep_above``, NULL in between, for every company x channel with spend."""
     rpd = F.col("revenue_per_dollar_spent")
-    return company_cac(fact, campaigns).select(
+    return company_cac(fact, campaigns, activity=activity).select(
         "company_id", "channel", "revenue_per_dollar_spent",
         F.when(rpd < stop_below, F.lit("stop")).when(rpd > keep_above, F.lit("keep")).alias("verdict"))
 
@@ -80,9 +81,9 @@ def top_campaigns(roi: DataFrame, k: int = 8) -> DataFrame:
             .limit(k))
 
 
-def pooled_retention(fact: DataFrame) -> DataFrame:
+def pooled_retention(fact: DataFrame | None, activity: DataFrame | None = None) -> DataFrame:
     """V7: retention by month index pooled over channels: sum(active) / sum(cohort)."""
-    r = analytics.retention_rows(fact)
+    r = analytics.retention_rows(fact, activity=activity)
     return (r.groupBy("month_index")
             .agg(F.sum("cohort_users").cast("bigint").alias("cohort_users"),
                  F.sum("active_users").cast("bigint").alias("active_users"))

@@ -18,28 +18,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators import quality
 from touchline.plans import analytics, model_tests
-from touchline.plans.marts import revenue_rollup
+from touchline.plans.marts import revenue_rollup, user_activity, user_numbers
 from touchline.plans.warehouse import Warehouse
 from touchline.sources.files import ingest, load_sources, write_result_csv, write_table
 
 
-def result_sets(w: Warehouse, rollup: DataFrame | None = None) -> dict[str, DataFrame]:
+def result_sets(w: Warehouse, rollup: DataFrame | None = None, activity: DataFrame | None = None) -> dict[str, DataFrame]:
     """The seven analysis result sets, by output label.  With ``rollup`` (see
     :func:`touchline.plans.marts.revenue_rollup`) the additive ones read it
-    instead of the fact."""
+    instead of the fact, with ``activity`` (:func:`touchline.plans.marts.user_activity`)
+    the ones that count users do too."""
     fact, roi = w.fct_attributed_revenue, w.fct_campaign_roi
     sums = fact if rollup is None else rollup
     return {
         "channel_revenue_ranking": analytics.channel_revenue_ranking(sums),
         "campaign_roi": analytics.campaign_roi(roi),
         "campaign_roi_coverage": analytics.campaign_roi_coverage(roi, sums),
-        "cac_by_channel_company": analytics.cac_by_channel_company(fact, w.stg_campaign_metadata),
-        "cohort_retention_by_channel": analytics.cohort_retention_by_channel(fact),
+        "cac_by_channel_company": analytics.cac_by_channel_company(fact if activity is None else sums, w.stg_campaign_metadata, activity),
+        "cohort_retention_by_channel": analytics.cohort_retention_by_channel(fact, activity=activity),
         "revenue_trend_by_channel": analytics.revenue_trend_by_channel(sums),
         "forecast_3mo_by_company": analytics.forecast_by_company(sums),
     }
 
 
+def stored_activity(w: Warehouse, root: str) -> DataFrame:
+    """The users' numbers and activity, written below ``root``; returns the activity."""
+    numbers, activity = os.path.join(root, "_user_numbers"), os.path.join(root, "_user_activity")
+    write_table(user_numbers(w.int_user_attribution), numbers)
+    write_table(user_activity(w.fct_attributed_revenue, w.spark.read.parquet(numbers)), activity)
+    return w.spark.read.parquet(activity)
+
+
 def run(spark: SparkSession, sources: str, out: str, gate: bool = True, preview_rows: int = 0,
         bucket_users: int | None = None, file_names: dict[str, str] | None = None) -> Warehouse:
     raw, manifest = ingest(spark, load_sources(spark, sources, file_names), os.path.join(out, "raw"), bucket_users=bucket_users)
@@ -54,7 +63,8 @@ def run(spark: SparkSession, sources: str, out: str, gate: bool = True, preview_
     model_tests.enforce(spark.read.parquet(tests))
     write_table(revenue_rollup(w.fct_attributed_revenue), os.path.join(out, "marts", "_revenue_rollup"))
     rollup = spark.read.parquet(os.path.join(out, "marts", "_revenue_rollup"))
-    for label, df in result_sets(w, rollup).items():
+    activity = stored_activity(w, os.path.join(out, "marts"))
+    for label, df in result_sets(w, rollup, activity).items():
         # a row per campaign is not small
         write_result_csv(df, os.path.join(out, "results", label), one_file=label != "campaign_roi")
         if preview_rows:
