@@ -105,14 +105,15 @@ def _counts(longest: int):
         for b in byte_slices(batches, 1):
             offsets, codes, words = words_of(b.column(1))
             owner, grams = grams_of(words, longest)
-            own, place = np.unique(grams, return_inverse=True)
+            coded = pc.dictionary_encode(pa.array(grams.view(np.int64)))
+            own, place = coded.dictionary.to_numpy(), coded.indices.to_numpy()
             lang = pc.dictionary_encode(b.column(0))
             of = np.repeat(lang.indices.to_numpy(zero_copy_only=False), np.diff(offsets))
             for i, name in enumerate(lang.dictionary.to_pylist()):
                 times = np.bincount(codes[of == i], minlength=len(words))
                 n = np.bincount(place, times[owner], len(own)).astype(np.int64) if len(own) else np.empty(0, np.int64)
                 some = np.nonzero(n)[0]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(own[some].view(np.int64)),
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(own[some]),
                                                   pa.array(n[some])], names=["lang", "gram", "n"])
     return run
 
