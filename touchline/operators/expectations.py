@@ -77,6 +77,20 @@ def not_null_summary(specs: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> D
     return _union(parts)
 
 
+def accepted_columns_summary(model: str, df: DataFrame, accepted: Sequence[tuple[str, Sequence]]) -> DataFrame:
+    """The accepted-values tests of several columns of one model in one scan: only
+    values outside their column's list come out of it, and are combined map-side."""
+    def outside(c: str, values: Sequence) -> F.Column:
+        return F.when(~F.col(c).isin(list(values)), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
+
+    bad = df.select(F.explode(F.filter(F.array(*[outside(c, v) for c, v in accepted]), lambda x: x.isNotNull())).alias("bad")).select("bad.*")
+    counts = bad.distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("failing_rows"))
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c, _ in accepted])).alias("column_name"))
+    return names.join(counts, "column_name", "left").select(
+        F.lit("accepted_values").alias("test_name"), F.lit(model).alias("model"), "column_name",
+        F.coalesce("failing_rows", F.lit(0).cast("bigint")).alias("failing_rows"))
+
+
 def unique_summary(specs: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     """``specs``: (model name, frame, column); failing rows = duplicated values."""
     return _union([expect_unique(df, col).agg(*_row("unique", model, col, F.count(F.lit(1))))

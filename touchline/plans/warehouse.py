@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from touchline.operators.joins import DEFAULT_BROADCAST_ROWS
 from touchline.plans import intermediate, marts, staging
@@ -55,12 +56,15 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, raw: RawTables, *, bucketed: bool | None = None,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 overrides: dict[str, DataFrame] | None = None):
+                 overrides: dict[str, DataFrame] | None = None,
+                 observed: dict[str, dict] | None = None):
         self.spark = spark
         self.raw = raw
         self.bucketed = bucketed
         self.max_broadcast_rows = max_broadcast_rows
         self._overrides = dict(overrides or {})
+        #: Metrics of the models that :meth:`materialize` watched while it wrote them.
+        self.observed = dict(observed or {})
 
     def _get(self, name: str, build) -> DataFrame:
         return self._overrides[name] if name in self._overrides else build()
@@ -153,7 +157,8 @@ class Warehouse:
     # -- materialisation ---------------------------------------------------
     def materialize(self, root: str | None = None, names=MATERIALIZED,
                     partition_fact_by_month: bool = False, bucket_users: int | None = None,
-                    database: str = "touchline_marts") -> Warehouse:
+                    database: str = "touchline_marts",
+                    metrics: Callable[[str], list[Column]] | None = None) -> Warehouse:
         """Write ``names`` (in dependency order) as Parquet tables and return a
         warehouse reading them.
 
@@ -166,6 +171,10 @@ class Warehouse:
         With ``bucket_users=N`` the user-keyed models are stored bucketed (and
         sorted) by user_id into N buckets, registered in ``database``; joins on
         user_id between them then read co-located buckets without a shuffle.
+
+        ``metrics`` names aggregates of a model (by its name) that are observed
+        while it is written, in the task that writes, so that they cost no scan and
+        a lost task is not counted twice; they are in ``observed`` of the result.
         """
         root = root or os.path.join(shared_dir(self.spark), "touchline", uuid.uuid4().hex)
         if bucket_users:
@@ -175,13 +184,19 @@ class Warehouse:
         for name in names:
             path = os.path.join(root, name)
             df = w.model(name)
+            wanted = metrics(name) if metrics else []
+            seen = Observation(name)
+
+            def watch(rows: DataFrame, wanted: list[Column] = wanted, seen: Observation = seen) -> DataFrame:
+                return rows.observe(seen, *wanted) if wanted else rows
+
             if bucket_users and name in USER_KEYED:
-                stored = write_bucketed(self.spark, df, path, f"{database}.{name}", "user_id", bucket_users)
+                stored = write_bucketed(self.spark, df, path, f"{database}.{name}", "user_id", bucket_users, watch)
             else:
-                writer = df.write.mode("overwrite")
+                writer = watch(df).write.mode("overwrite")
                 if partition_fact_by_month and name == "fct_attributed_revenue":
                     # rows of a month meet before they are written; AQE splits a large month
-                    writer = (df.hint("rebalance", "revenue_month_str").write.mode("overwrite")
+                    writer = (watch(df.hint("rebalance", "revenue_month_str")).write.mode("overwrite")
                               .partitionBy("revenue_month_str"))
                 writer.parquet(path)
                 # read back with the model's schema: no type inference of
@@ -189,5 +204,6 @@ class Warehouse:
                 stored = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
             w = Warehouse(self.spark, self.raw, bucketed=self.bucketed,
                           max_broadcast_rows=self.max_broadcast_rows,
-                          overrides={**w._overrides, name: stored})
+                          overrides={**w._overrides, name: stored},
+                          observed={**w.observed, name: seen.get} if wanted else w.observed)
         return w

@@ -5,9 +5,10 @@
 ``--sources`` holds the four source files (campaign_metadata.csv,
 content_performance.csv, portfolio_revenue.csv, user_signups.json).  Raw
 tables, the quality report, the marts and the results of the model tests are
-written as Parquet under ``--out``; a failing test ends the run before any result
-is written.  Each of the seven analysis result sets is written as one CSV
-(``--out/results/<label>``).  Plain function composition, no scheduler.
+written as Parquet to a new version under ``--out/versions``; a failing test ends the
+run before any result is written, with the failing rows under ``failing_rows``.  Each
+of the seven analysis result sets is written as one CSV (``results/<label>``).  A
+version whose tests pass is published: ``--out/CURRENT`` names it.  Plain function composition, no scheduler.
 """
 from __future__ import annotations
 
@@ -20,6 +21,7 @@ from touchline.operators import quality
 from touchline.plans import analytics, model_tests
 from touchline.plans.marts import revenue_rollup, user_activity, user_numbers
 from touchline.plans.warehouse import Warehouse
+from touchline.sources import publish
 from touchline.sources.files import ingest, load_sources, write_result_csv, write_table
 
 
@@ -57,10 +59,15 @@ def run(spark: SparkSession, sources: str, out: str, gate: bool = True, preview_
     write_table(report, os.path.join(out, "raw", "data_quality_report"))
     if gate:
         quality.enforce_gate(spark.read.parquet(os.path.join(out, "raw", "data_quality_report")))
-    w = Warehouse(spark, raw).materialize(os.path.join(out, "marts"), bucket_users=bucket_users)
+    w = Warehouse(spark, raw).materialize(os.path.join(out, "marts"), bucket_users=bucket_users, metrics=model_tests.metrics)
     tests = os.path.join(out, "marts", "_model_tests")
     write_table(model_tests.every_test(w), tests)
-    model_tests.enforce(spark.read.parquet(tests))
+
+    def keep(test: str, model: str, column: str | None) -> None:
+        name = ".".join(x for x in (test, model, column) if x)
+        write_table(model_tests.failing_rows(w, test, model, column), os.path.join(out, "failing_rows", name))
+
+    model_tests.enforce(spark.read.parquet(tests), keep)
     write_table(revenue_rollup(w.fct_attributed_revenue), os.path.join(out, "marts", "_revenue_rollup"))
     rollup = spark.read.parquet(os.path.join(out, "marts", "_revenue_rollup"))
     activity = stored_activity(w, os.path.join(out, "marts"))
@@ -72,6 +79,16 @@ def run(spark: SparkSession, sources: str, out: str, gate: bool = True, preview_
     return w
 
 
+def refresh(spark: SparkSession, sources: str, root: str, **options) -> Warehouse:
+    """:func:`run` into a new version below ``root``, published (see
+    :mod:`touchline.sources.publish`) when it has ended well. A run that fails leaves
+    the published version as it was, and its own folder with the failing rows."""
+    version = publish.new_version(root)
+    w = run(spark, sources, version, **options)
+    publish.publish(spark, root, version)
+    return w
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--sources", required=True)
@@ -85,7 +102,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     from touchline.session import build_session
     spark = build_session(app="touchline-run")
-    run(spark, args.sources, args.out, gate=not args.no_gate, preview_rows=args.preview,
+    refresh(spark, args.sources, args.out, gate=not args.no_gate, preview_rows=args.preview,
         bucket_users=args.bucket_users, file_names={"raw_user_signups": args.signups} if args.signups else None)
     spark.stop()
 

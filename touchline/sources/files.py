@@ -4,7 +4,7 @@ the ingest step (raw layer landed as Parquet), its manifest, and result sinks.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -107,14 +107,15 @@ USER_KEYED = ("raw_user_signups", "raw_portfolio_revenue")
 
 
 def write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, key: str,
-                   buckets: int) -> DataFrame:
+                   buckets: int, watch: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Write ``df`` as a Parquet table bucketed and sorted by ``key`` at ``path``
     (registered in the session catalog as ``table``) and return it read back
     through the catalog, so joins on ``key`` between tables with the same bucket
     count need no shuffle. Rows meet by bucket first: one file per bucket. A key
     with a large share of the rows stays in one bucket; leave such tables
-    unbucketed, where AQE splits the join."""
-    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    unbucketed, where AQE splits the join. ``watch`` may observe the rows as they
+    are written."""
+    (watch(df.repartition(buckets, key)).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))
     return spark.table(table)
 
@@ -137,11 +138,14 @@ def ingest(spark: SparkSession, raw: RawTables, out_dir: str, bucket_users: int
         path = os.path.join(out_dir, name)
         # the row count is observed while writing: no second scan for the manifest
         obs = Observation(name)
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+        def watch(rows: DataFrame, obs: Observation = obs) -> DataFrame:
+            return rows.observe(obs, F.count(F.lit(1)).alias("rows"))
+
         if bucket_users and name in USER_KEYED:
-            landed[name] = write_bucketed(spark, df, path, f"{database}.{name}", "user_id", bucket_users)
+            landed[name] = write_bucketed(spark, df, path, f"{database}.{name}", "user_id", bucket_users, watch)
         else:
-            write_table(df, path)
+            write_table(watch(df), path)
             landed[name] = spark.read.parquet(path)
         counts[name] = obs.get["rows"]
     tables = RawTables(
