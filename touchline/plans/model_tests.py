@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,7 +67,10 @@ def unique(w: Warehouse) -> DataFrame:
 
 
 def accepted_values(w: Warehouse) -> DataFrame:
-    return ex.accepted_values_summary([(m, w.model(m), c, v) for m, c, v in ACCEPTED])
+    """One scan for each model, whatever the number of its columns."""
+    parts = [ex.accepted_columns_summary(model, w.model(model), [(c, v) for m, c, v in ACCEPTED if m == model])
+             for model in dict.fromkeys(m for m, _, _ in ACCEPTED)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def relationships(w: Warehouse) -> DataFrame:
