@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import in_filter, key_filter, rolling, ship, slices, stored, table, word_codes, word_hashes
+from touchline.llm.common import byte_slices, in_filter, key_filter, rolling, ship, slices, stored, table, word_codes, word_hashes
 
 ship(__name__)
 
@@ -80,7 +80,7 @@ def class_hash(own: np.ndarray) -> int | None:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches, 4096):
+    for b in slices(byte_slices(batches, 0), 4096):
         _, codes, words = word_codes(b.column(0))
         yield pa.RecordBatch.from_arrays([pc.cast(words, pa.string()), pa.array(np.bincount(codes, minlength=len(words)))],
                                          names=["word", "n"])
@@ -89,7 +89,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _points(k: int, groups: int):
     """doc_id, n, cls, point of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(byte_slices(batches, 1)):
             n, cls, points = [], [], []
             for own, _ in shingle_sets(b.column(1), k):
                 n.append(len(own))
@@ -115,7 +115,7 @@ def _prefixes(k: int, percent: int, bits, ranks):
     the smaller set of a pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank_of = ranks.value
-        for b in slices(batches):
+        for b in slices(byte_slices(batches, 1)):
             b = _kept(b, bits.value)
             out: list[list[np.ndarray]] = [[], [], [], []]
             for own, freq in shingle_sets(b.column(1), k, rank_of):
@@ -272,7 +272,7 @@ def _sets(k: int, bits, short: bool):
     """cls, elements of the documents that the filter lets pass; ``short``: of
     each element 16 bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(byte_slices(batches, 1)):
             b = _kept(b, bits.value)
             own = [s for s, _ in shingle_sets(b.column(1), k) if len(s)]
             at = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
