@@ -60,12 +60,19 @@ AROUND = ("ad", "advert", "banner", "breadcrumb", "byline", "comment", "cookie",
 AROUND_TAGS = frozenset("nav aside footer header form button select textarea dialog menu iframe".split())
 
 
-def around(word: str) -> str | None:
-    """The listed beginning that a class word has; short ones must be the whole
-    word or its plural."""
-    for a in AROUND:
-        if word == a or word == a + "s" or (len(a) > 4 and word.startswith(a)):
-            return a
+#: Elements that hold the whole page or its article: their class words tell the layout, not what the text is.
+HOLDERS = frozenset("html body main article".split())
+
+
+def around(name: str) -> str | None:
+    """The listed beginning that a class, id or role name has: in its last word, or in
+    either of two. (Of longer names the other words say what the last one is about.)
+    Short beginnings must be the whole word or its plural."""
+    words = WORD.findall(name)
+    for word in reversed(words if len(words) <= 2 else words[-1:]):
+        for a in AROUND:
+            if word == a or word == a + "s" or (len(a) > 4 and word.startswith(a)):
+                return a
     return None
 
 
@@ -121,8 +128,8 @@ class Blocks(HTMLParser):
             return
         feats = [f"in:{tag}"] if tag in BLOCK or tag == "a" else []
         for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                for w in WORD.findall(value.lower()):
+            if name in ("class", "id", "role") and value and tag not in HOLDERS:
+                for w in value.lower().split():
                     if a := around(w):
                         feats += ["around", f"around:{a}"]
         self.stack.append((tag, tuple(feats)))
