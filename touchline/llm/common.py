@@ -2,10 +2,12 @@
 intermediate results, fixed-size key filters and Arrow tokenisation."""
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +50,32 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Rows that a Python worker is handed at once (Spark's own default is 10,000).
+BATCH_ROWS = 1024
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, jobs hand Python workers at most ``BATCH_ROWS`` rows at once:
+    the buffers on both sides hold whole texts. The session's setting is put
+    back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    if not 0 < before <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, str(before))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
     lineage ends at files that every executor can read."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -175,6 +197,15 @@ def batch_of(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
                                        for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def give_back() -> None:
+    """Hand the freed memory of this process back to the system: workers are
+    kept for later tasks, and their heaps would stay at their peaks."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):    # another C library than glibc
+        pass
+
+
 def byte_slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose texts in ``column`` take at most ``size``
     bytes; a longer text is a slice of its own."""
@@ -186,6 +217,7 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 <<
             j = max(int(np.searchsorted(ends, before + size, "right")), i + 1)
             yield b.slice(i, j - i)
             i, before = j, int(ends[j - 1])
+    give_back()
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
@@ -194,3 +226,4 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
+    give_back()

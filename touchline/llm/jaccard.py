@@ -16,11 +16,12 @@ by the hash of its set; only classes are compared.
   components go on: their points form R-trees (leaves packed by size and
   coordinates, nodes with upper corners), which are descended together; a pair of
   nodes is opened if its corners' bound allows a link, and pairs of points of
-  different components that pass the bound are candidates. Of each two
-  components, the pair with the highest bound is verified first, and components
-  are joined; then all candidates that still lie in two components are verified.
-  So a group of n copies costs about n verifications, and no link between
-  components is lost.
+  different components that pass the bound are candidates. In each of ``rounds``
+  rounds (Boruvka's), every component has the pair with the highest bound that was not
+  verified before verified, and components are joined, so a round verifies at most as
+  many pairs as there are components. Then all candidates that still lie in two
+  components are verified. So a group of n copies costs about n verifications, and
+  no link between components is lost.
 
 A block of more than ``chunk`` points is split into chunks, and pairs of chunks
 are spread over tasks.
@@ -41,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import byte_slices, in_filter, key_filter, rolling, ship, slices, stored, table, word_codes, word_hashes
+from touchline.llm.common import byte_slices, rolling, ship, slices, stored, table, word_codes, word_hashes
 
 ship(__name__)
 
@@ -102,21 +103,23 @@ def _points(k: int, groups: int):
     return run
 
 
-def _kept(b: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
-    """Rows whose doc_id may be in the filter, or is null."""
-    ids = b.column(0)
-    own = in_filter(bits, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False))
-    return b.filter(pa.array(own | ids.is_null().to_numpy(zero_copy_only=False)))
+def one_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The documents that stand for the classes, by an exact join on their ids
+    (documents of one id all stay, and so do those without an id)."""
+    reps = classes.filter("rep IS NOT NULL").select(F.col("rep").alias("doc_id"))
+    own = docs.filter("doc_id IS NOT NULL").join(reps, "doc_id", "left_semi")
+    if classes.filter("rep IS NULL").isEmpty():
+        return own
+    return own.unionAll(docs.filter("doc_id IS NULL"))
 
 
-def _prefixes(k: int, percent: int, bits, ranks):
+def _prefixes(k: int, percent: int, ranks):
     """shingle, n, cls, indexed: the first shingles of each set, by the rarity of
     their words. ``indexed``: also within the shorter prefix that suffices for
     the smaller set of a pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank_of = ranks.value
         for b in slices(byte_slices(batches, 1)):
-            b = _kept(b, bits.value)
             out: list[list[np.ndarray]] = [[], [], [], []]
             for own, freq in shingle_sets(b.column(1), k, rank_of):
                 n = len(own)
@@ -225,10 +228,37 @@ def leaf_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: n
         yield r[x], q[y], both[x, y]
 
 
-def _block_pairs(percent: int):
-    """a, b, bound (of the similarity): pairs of classes of different components
-    that pass the bound. The rows of a chunk pair come together."""
-    def solve(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+def best_of_each(found: Iterator[tuple], comp: np.ndarray, best: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each component the ``best`` pairs of the highest share: component, i,
+    j, share. What is held grows with the components, not with the pairs."""
+    names, code = np.unique(comp, return_inverse=True)
+    held = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.float64))
+    waiting, n = [held], 0
+
+    def cut() -> tuple[np.ndarray, ...]:
+        c, i, j, share = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        order = np.lexsort((j, i, -share, c))
+        c = c[order]
+        start = np.maximum.accumulate(np.where(np.concatenate([[True], c[1:] != c[:-1]]), np.arange(len(c)), 0)) if len(c) else c
+        order = order[np.arange(len(c)) - start < best]
+        return tuple(x[order] for x in (np.concatenate([w[0] for w in waiting]), i, j, share))
+
+    for i, j, share in found:
+        waiting += [(code[i], i, j, share), (code[j], i, j, share)]
+        n += 2 * len(i)
+        if n > 1 << 16:
+            waiting, n = [cut()], 0
+    c, i, j, share = cut()
+    yield names[c], i, j, share
+
+
+def _block_pairs(percent: int, best: int):
+    """comp, a, b, bound (of the similarity): pairs of classes of different
+    components that pass the bound, of each block the ``best`` of each
+    component, or all (0; comp is a's). The rows of a chunk pair come together."""
+    names = ["comp", "a", "b", "bound"]
+
+    def solve(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
         cls, n, comp = (t.column(i).to_numpy() for i in (3, 4, 5))
         points = t.column(6).flatten().to_numpy().reshape(len(cls), -1).astype(np.int64)
@@ -238,15 +268,17 @@ def _block_pairs(percent: int):
         chunk, lo, hi = t.column(8).to_numpy(), t.column(1)[0].as_py(), t.column(2)[0].as_py()
         left = np.nonzero(chunk == lo)[0]
         right = left if lo == hi else np.nonzero(chunk == hi)[0]
-        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
-        for i, j, bound in leaf_pairs(points, n, left, right, percent):
-            ok = (comp[i] != comp[j]) & (indexed[i] | indexed[j])
-            i, j, bound = i[ok], j[ok], np.minimum(bound[ok], np.minimum(n[i[ok]], n[j[ok]]))
-            share = bound / (n[i] + n[j] - bound)
-            i, j = cls[i], cls[j]
-            out.append((np.minimum(i, j), np.maximum(i, j), share))
-        a, b, share = (np.concatenate(c) for c in zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share)], names=["a", "b", "bound"])
+
+        def passing() -> Iterator[tuple]:
+            for i, j, bound in leaf_pairs(points, n, left, right, percent):
+                ok = (comp[i] != comp[j]) & (indexed[i] | indexed[j])
+                if ok.any():
+                    i, j, bound = i[ok], j[ok], np.minimum(bound[ok], np.minimum(n[i[ok]], n[j[ok]]))
+                    yield i, j, bound / (n[i] + n[j] - bound)
+
+        found = best_of_each(passing(), comp, best) if best else ((comp[i], i, j, share) for i, j, share in passing())
+        for c, i, j, share in found:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (c, np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j]), share)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -259,21 +291,19 @@ def _block_pairs(percent: int):
             for i, j in zip([0, *edge.tolist()], [*edge.tolist(), b.num_rows], strict=True):
                 own = (s[i], lo[i], hi[i])
                 if held and own != key:
-                    yield solve(held)
+                    yield from solve(held)
                     held = []
                 held.append(b.slice(i, j - i))
                 key = own
         if held:
-            yield solve(held)
+            yield from solve(held)
     return run
 
 
-def _sets(k: int, bits, short: bool):
-    """cls, elements of the documents that the filter lets pass; ``short``: of
-    each element 16 bits."""
+def _sets(k: int, short: bool):
+    """cls, elements of the documents; ``short``: of each element 16 bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(byte_slices(batches, 1)):
-            b = _kept(b, bits.value)
             own = [s for s, _ in shingle_sets(b.column(1), k) if len(s)]
             at = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
             flat = np.concatenate(own) if own else np.empty(0, np.uint64)
@@ -317,8 +347,8 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percen
     of each element and also keeps pairs that only look linked."""
     spark = docs.sparkSession
     ids = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
-    bits = spark.sparkContext.broadcast(key_filter(classes.join(ids, "cls", "left_semi").filter("rep IS NOT NULL"), "rep"))
-    sets = docs.mapInArrow(_sets(k, bits, short), f"id long, elements array<{'smallint' if short else 'bigint'}>")
+    chosen = one_each(docs, stored(classes.join(ids, "cls", "left_semi")))
+    sets = chosen.mapInArrow(_sets(k, short), f"id long, elements array<{'smallint' if short else 'bigint'}>")
     salted = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 256).cast("int").alias("salts")), "a")
     rows = salted.select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("id"))
     hubs = (salted.select("a", "salts").distinct()
@@ -346,10 +376,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int = GROUPS, frequent: int = 1 << 16,
-                    chunk: int = 4096) -> DataFrame:
+                    chunk: int = 4096, rounds: int = 3) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) with doc_id, n_shingles, component_id.
     ``frequent`` words, the most frequent of all documents, are sent out to order
-    the shingles; the order has no effect on the result."""
+    the shingles; the order has no effect on the result, nor have ``rounds``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     top = (docs.select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -358,8 +388,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
 
     points = stored(docs.mapInArrow(_points(k, groups), "doc_id long, n long, cls long, point array<smallint>"))
     classes = stored(points.filter(F.col("cls").isNotNull()).groupBy("cls", "n").agg(F.min("doc_id").alias("rep")))
-    bits = spark.sparkContext.broadcast(key_filter(classes.filter("rep IS NOT NULL"), "rep"))
-    prefixes = docs.mapInArrow(_prefixes(k, percent, bits, ranks), "shingle long, n long, cls long, indexed boolean")
+    prefixes = one_each(docs, classes).mapInArrow(_prefixes(k, percent, ranks), "shingle long, n long, cls long, indexed boolean")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     every_block = stored(prefixes.repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "cls")
                          .mapInArrow(_shared, "shingle long, cls long, hub long, indexed boolean"))
@@ -385,38 +414,39 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
     links = verify(stored(tried.select(F.col("hub").alias("a"), F.col("cls").alias("b"))), docs, classes, k, percent)
     first = components(links)
 
-    known = sizes.join(first.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", F.coalesce("root", "cls").alias("comp"))
-    rows = blocks.select("shingle", "cls", "indexed", "members").join(known, "cls")
-    mixed = rows.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("shingle")
-    left = stored(rows.join(mixed, "shingle"))
-    # points of the classes that are left, one row each
-    used = (points.select("cls", "point").join(left.select("cls").distinct(), "cls", "left_semi")
-            .groupBy("cls").agg(F.min("point").alias("point")))
-    left = left.join(used, "cls")
-    small = left.filter(F.col("members") <= chunk).withColumn("chunk", F.lit(0)).withColumn("chunks", F.lit(1))
-    big = left.filter(F.col("members") > chunk).withColumn("chunks", F.ceil(F.col("members") / chunk).cast("int"))
-    big = big.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
-    spread = small.unionByName(big).select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
-    ready = (spread.select("shingle", F.least("chunk", "with").alias("lo"), F.greatest("chunk", "with").alias("hi"),
-                           "cls", "n", "comp", "point", "indexed", "chunk")
-             .repartition(parts, "shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi"))
-    more = stored(ready.mapInArrow(_block_pairs(percent), "a long, b long, bound double")
-                  .groupBy("a", "b").agg(F.max("bound").alias("bound")))
-
-    def apart(found: DataFrame) -> DataFrame:
-        """The candidates whose classes lie in two components, with those."""
-        side = lambda c: found.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-        return (more.join(side("a"), "a", "left").join(side("b"), "b", "left")
-                .select("a", "b", "bound", F.coalesce("a_root", "a").alias("x"), F.coalesce("b_root", "b").alias("y"))
-                .filter("x <> y"))
-
-    found = first
-    for last in (False, True):
-        tried = apart(found)
-        if not last:    # the best pair of each two components
-            tried = (tried.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-                     .agg(F.max(F.struct("bound", "a", "b")).alias("p")).select("p.a", "p.b"))
-        likely = verify(stored(tried.select("a", "b")), docs, classes, k, percent, short=True)
+    def candidates(rows: DataFrame, best: int) -> DataFrame:
+        """comp, a, b, bound of the pairs that the blocks' trees find."""
+        # points of the classes that are left, one row each
+        used = (points.select("cls", "point").join(rows.select("cls").distinct(), "cls", "left_semi")
+                .groupBy("cls").agg(F.min("point").alias("point")))
+        rows = rows.join(used, "cls")
+        small = rows.filter(F.col("members") <= chunk).withColumn("chunk", F.lit(0)).withColumn("chunks", F.lit(1))
+        big = rows.filter(F.col("members") > chunk).withColumn("chunks", F.ceil(F.col("members") / chunk).cast("int"))
+        big = big.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
+        spread = small.unionByName(big).select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
+        ready = (spread.select("shingle", F.least("chunk", "with").alias("lo"), F.greatest("chunk", "with").alias("hi"),
+                               "cls", "n", "comp", "point", "indexed", "chunk")
+                 .repartition(parts, "shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi"))
+        return ready.mapInArrow(_block_pairs(percent, best), "comp long, a long, b long, bound double")
+
+    found, tested = first, None
+    for best in range(1, rounds + 2):
+        known = sizes.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", F.coalesce("root", "cls").alias("comp"))
+        rows = blocks.select("shingle", "cls", "indexed", "members").join(known, "cls")
+        mixed = rows.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("shingle")
+        blocks = stored(rows.join(mixed, "shingle"))      # a block that lies in one component is done with
+        if blocks.isEmpty():
+            break
+        last = best > rounds
+        pairs = candidates(blocks, 0 if last else best)
+        pairs = pairs.select("a", "b").distinct() if last else pairs.groupBy("comp", "a", "b").agg(F.max("bound").alias("bound"))
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        if not last:
+            pairs = (pairs.groupBy("comp").agg(F.max(F.struct("bound", "a", "b")).alias("p")).select("p.a", "p.b").distinct())
+        pairs = stored(pairs)
+        tested = pairs if tested is None else tested.unionAll(pairs)
+        likely = verify(pairs, docs, classes, k, percent, short=True)
         links = stored(links.unionAll(verify(likely, docs, classes, k, percent)))
         found = components(links)
 
