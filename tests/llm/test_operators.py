@@ -419,3 +419,45 @@ def test_queries_equal_their_sql(spark):
     for name, sql in ORACLE_SQL.items():
         ok, message = compare(spark, name, QUERIES[name], sql, SMALL, con)
         assert ok, message
+
+
+def test_jaccard_best_pairs_of_each_component():
+    rng = np.random.default_rng(3)
+    comp = rng.integers(0, 40, 300) * 7
+    i, j = rng.integers(0, 300, 90_000), rng.integers(0, 300, 90_000)
+    i, j = i[comp[i] != comp[j]], j[comp[i] != comp[j]]
+    share = rng.integers(0, 900, len(i)) / 1000
+    parts = [(i[x], j[x], share[x]) for x in np.array_split(np.arange(len(i)), 11)]
+    for best in (1, 3):
+        (got,) = jaccard.best_of_each(iter(parts), comp, best)
+        every = [(c, -s, a, b) for c, a, b, s in [*zip(comp[i], i, j, share), *zip(comp[j], i, j, share)]]
+        want = []
+        for c in np.unique(comp):
+            want += sorted(x for x in every if x[0] == c)[:best]
+        assert sorted((c, -s, a, b) for c, a, b, s in zip(*got)) == sorted(want)
+
+
+@pytest.mark.parametrize("few, rounds", [(0, 1), (0, 3), (4, 3)])
+def test_jaccard_near_copies_of_one_text_unite(spark, monkeypatch, few, rounds):
+    """Copies linked with their common text, but not with one another, and a
+    chain of texts each linked with the next only."""
+    monkeypatch.setattr(jaccard, "FEW", few)
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+    rows = [(0, " ".join(base))]
+    for d in range(1, 40):
+        own = list(base)
+        for at in rng.choice(190, 4, replace=False):
+            own[at] = f"x{d}_{at}"
+        rows.append((d, " ".join(own)))
+    chained = [f"v{x}" for x in range(300)]
+    rows += [(100 + d, " ".join(chained[d * 20:d * 20 + 200])) for d in range(6)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, DOCS), rounds=rounds).collect()}
+    sets = {d: {tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    root = {d: d for d in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    assert got == {d: (len(sets[d]), root[d]) for d in sets}

@@ -16,11 +16,12 @@ by the hash of its set; only classes are compared.
   components go on: their points form R-trees (leaves packed by size and
   coordinates, nodes with upper corners), which are descended together; a pair of
   nodes is opened if its corners' bound allows a link, and pairs of points of
-  different components that pass the bound are candidates. In each of ``rounds``
-  rounds (Boruvka's), every component has the pair with the highest bound that was not
-  verified before verified, and components are joined, so a round verifies at most as
-  many pairs as there are components. Then all candidates that still lie in two
-  components are verified. So a group of n copies costs about n verifications, and
+  different components that pass the bound are candidates. A block with few of
+  them (``FEW`` a row) has them all verified and is done with. The others go through
+  at most ``rounds`` rounds (Boruvka's): of every component the pair with the highest
+  bound that was not verified before is verified, and components are joined, so a
+  round verifies at most as many pairs as there are components. Then all candidates
+  that still lie in two components are verified. So a group of n copies costs about n verifications, and
   no link between components is lost.
 
 A block of more than ``chunk`` points is split into chunks, and pairs of chunks
@@ -35,6 +36,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,25 +44,29 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import byte_slices, rolling, ship, slices, stored, table, word_codes, word_hashes
+from touchline.llm.common import byte_slices, in_filter, key_filter, rolling, ship, slices, stored, table, word_codes, word_hashes
 
 ship(__name__)
 
 GROUPS = 256
 #: Points in a leaf of a block's R-tree, and children of its other nodes.
 LEAF, FAN = 32, 8
+#: Candidate pairs for each row of a block up to which all are verified at once.
+FEW = 4
 #: Largest count that a point holds; a set with a larger one is bounded by its size alone.
 FULL = 32767
 
 
-def shingle_sets(texts: pa.Array, k: int, rank_of: dict[str, int] | None = None):
+def shingle_sets(texts: pa.Array, k: int, rank_of: tuple[pa.Array, np.ndarray] | None = None):
     """For each text its distinct shingle hashes (sorted), and with ``rank_of``
     the frequency of each shingle's rarest word."""
     offsets, codes, words = word_codes(texts)
     hashes = word_hashes(words)[codes] if len(codes) else np.empty(0, np.uint64)
     whole = rolling(hashes, k)
     if rank_of is not None:
-        freq = np.array([rank_of.get(w, 0) for w in words.to_pylist()], np.int64)
+        frequent, counts = rank_of
+        at = pc.fill_null(pc.index_in(words, frequent), len(counts)).to_numpy(zero_copy_only=False)
+        freq = np.append(counts, 0)[at]
         freq = freq[codes] if len(codes) else np.empty(0, np.int64)
         least = freq[:len(whole)].copy()
         for j in range(1, k):
@@ -127,7 +133,7 @@ def _prefixes(k: int, percent: int, ranks):
                     continue
                 probe = n - -(-percent * n // 100) + 1                       # n - ceil(t n) + 1
                 index = n - -(-2 * percent * n // (100 + percent)) + 1       # n - ceil(2 t n / (1 + t)) + 1
-                first = own[np.lexsort((own, freq))[:probe]]
+                first = own[np.argsort(freq, kind="stable")[:probe]]     # own is in order already
                 out[0].append(first.view(np.int64))
                 out[1].append(np.full(probe, n))
                 out[2].append(np.full(probe, class_hash(own)))
@@ -253,15 +259,17 @@ def best_of_each(found: Iterator[tuple], comp: np.ndarray, best: int) -> Iterato
 
 
 def _block_pairs(percent: int, best: int):
-    """comp, a, b, bound (of the similarity): pairs of classes of different
-    components that pass the bound, of each block the ``best`` of each
-    component, or all (0; comp is a's). The rows of a chunk pair come together."""
-    names = ["comp", "a", "b", "bound"]
+    """comp, a, b, bound (of the similarity), open: pairs of classes of different
+    components that pass the bound. A chunk pair with at most ``FEW`` such pairs for
+    each of its rows gives them all (open is null); of a larger one, each component's
+    ``best`` are given, with the block's shingle as open; 0: all, whatever their
+    number. The rows of a chunk pair come together."""
+    names = ["comp", "a", "b", "bound", "open"]
 
     def solve(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
         cls, n, comp = (t.column(i).to_numpy() for i in (3, 4, 5))
-        points = t.column(6).flatten().to_numpy().reshape(len(cls), -1).astype(np.int64)
+        points = t.column(6).flatten().to_numpy().reshape(len(cls), -1).astype(np.int32)
         full = (points >= FULL).any(1)
         points[full] = n[full][:, None]
         indexed = t.column(7).to_numpy(zero_copy_only=False).astype(bool)
@@ -276,9 +284,23 @@ def _block_pairs(percent: int, best: int):
                     i, j, bound = i[ok], j[ok], np.minimum(bound[ok], np.minimum(n[i[ok]], n[j[ok]]))
                     yield i, j, bound / (n[i] + n[j] - bound)
 
-        found = best_of_each(passing(), comp, best) if best else ((comp[i], i, j, share) for i, j, share in passing())
-        for c, i, j, share in found:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (c, np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j]), share)], names=names)
+        found, held, many = passing(), [], False
+        if best:
+            count = 0
+            for own in found:
+                held.append(own)
+                count += len(own[0])
+                if count > FEW * len(cls):
+                    many = True
+                    break
+        if many:
+            given = best_of_each(chain(held, found), comp, best)
+        else:
+            given = ((comp[i], i, j, share) for i, j, share in (held if best else found))
+        for c, i, j, share in given:
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x) for x in (c, np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j]), share)),
+                 pa.array(np.full(len(c), t.column(0)[0].as_py())) if many else pa.nulls(len(c), pa.int64())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -300,10 +322,19 @@ def _block_pairs(percent: int, best: int):
     return run
 
 
-def _sets(k: int, short: bool):
-    """cls, elements of the documents; ``short``: of each element 16 bits."""
+def _kept(b: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    """Rows whose doc_id may be in the filter, or is null."""
+    ids = b.column(0)
+    own = in_filter(bits, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False))
+    return b.filter(pa.array(own | ids.is_null().to_numpy(zero_copy_only=False)))
+
+
+def _sets(k: int, bits, short: bool):
+    """cls, elements of the documents that the filter lets pass; ``short``: of
+    each element 16 bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(byte_slices(batches, 1)):
+            b = _kept(b, bits.value)
             own = [s for s, _ in shingle_sets(b.column(1), k) if len(s)]
             at = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
             flat = np.concatenate(own) if own else np.empty(0, np.uint64)
@@ -347,8 +378,8 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percen
     of each element and also keeps pairs that only look linked."""
     spark = docs.sparkSession
     ids = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
-    chosen = one_each(docs, stored(classes.join(ids, "cls", "left_semi")))
-    sets = chosen.mapInArrow(_sets(k, short), f"id long, elements array<{'smallint' if short else 'bigint'}>")
+    bits = spark.sparkContext.broadcast(key_filter(classes.join(ids, "cls", "left_semi").filter("rep IS NOT NULL"), "rep"))
+    sets = docs.mapInArrow(_sets(k, bits, short), f"id long, elements array<{'smallint' if short else 'bigint'}>")
     salted = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 256).cast("int").alias("salts")), "a")
     rows = salted.select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("id"))
     hubs = (salted.select("a", "salts").distinct()
@@ -384,7 +415,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     top = (docs.select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
            .orderBy(F.col("n").desc(), "word").limit(frequent).toArrow())
-    ranks = spark.sparkContext.broadcast(dict(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True)))
+    ranks = spark.sparkContext.broadcast((pc.cast(top["word"], pa.large_string()).combine_chunks(), top["n"].to_numpy().astype(np.int64)))
 
     points = stored(docs.mapInArrow(_points(k, groups), "doc_id long, n long, cls long, point array<smallint>"))
     classes = stored(points.filter(F.col("cls").isNotNull()).groupBy("cls", "n").agg(F.min("doc_id").alias("rep")))
@@ -427,7 +458,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
         ready = (spread.select("shingle", F.least("chunk", "with").alias("lo"), F.greatest("chunk", "with").alias("hi"),
                                "cls", "n", "comp", "point", "indexed", "chunk")
                  .repartition(parts, "shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi"))
-        return ready.mapInArrow(_block_pairs(percent, best), "comp long, a long, b long, bound double")
+        return ready.mapInArrow(_block_pairs(percent, best), "comp long, a long, b long, bound double, open long")
 
     found, tested = first, None
     for best in range(1, rounds + 2):
@@ -438,13 +469,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
         if blocks.isEmpty():
             break
         last = best > rounds
-        pairs = candidates(blocks, 0 if last else best)
-        pairs = pairs.select("a", "b").distinct() if last else pairs.groupBy("comp", "a", "b").agg(F.max("bound").alias("bound"))
+        pairs = stored(candidates(blocks, 0 if last else best))
+        blocks = blocks.join(pairs.filter("open IS NOT NULL").select(F.col("open").alias("shingle")).distinct(), "shingle", "left_semi")
+        sure = pairs.filter("open IS NULL").select("a", "b")
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if not last:
-            pairs = (pairs.groupBy("comp").agg(F.max(F.struct("bound", "a", "b")).alias("p")).select("p.a", "p.b").distinct())
-        pairs = stored(pairs)
+            sure, pairs = (x.join(tested, ["a", "b"], "left_anti") for x in (sure, pairs))
+        some = (pairs.filter("open IS NOT NULL").groupBy("comp").agg(F.max(F.struct("bound", "a", "b")).alias("p"))
+                .select("p.a", "p.b"))
+        pairs = stored(sure.unionAll(some).distinct())
         tested = pairs if tested is None else tested.unionAll(pairs)
         likely = verify(pairs, docs, classes, k, percent, short=True)
         links = stored(links.unionAll(verify(likely, docs, classes, k, percent)))
