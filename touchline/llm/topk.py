@@ -53,6 +53,15 @@ class Lists:
         self.ids, self.vectors = ids[order], vectors[order]
         self.by_dim = np.argsort(self.vectors, axis=0, kind="stable")     # ascending
         self.sorted = np.take_along_axis(self.vectors, self.by_dim, 0)
+        # doubles are multiplied faster than integers, and as exactly while all sums stay below 2^53
+        self.doubles = self.vectors.astype(np.float64)
+        self.largest = float(np.abs(self.doubles).max(initial=0.0)) * self.vectors.shape[1]
+
+    def scores(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """The inner products of ``rows`` with ``q``."""
+        if self.largest * float(np.abs(q.astype(np.float64)).max(initial=0.0)) < 2.0 ** 53:
+            return (self.doubles[rows] @ q.astype(np.float64)).astype(np.int64)
+        return self.vectors[rows] @ q
 
     def top(self, query_id: int, q: np.ndarray, k: int, step: int = 32) -> list[tuple[int, int]]:
         """The k best (score, id), by score descending, then id."""
@@ -62,18 +71,22 @@ class Lists:
             own = self.ids[self.ids != query_id][:k]
             return [(0, int(i)) for i in own]
         weight, down = q[dims], q[dims] > 0
+        highest, lowest = dims[down], dims[~down]   # dimensions read from the high end, from the low end
         seen = np.zeros(n, bool)
         seen[np.searchsorted(self.ids, query_id):np.searchsorted(self.ids, query_id, "right")] = True
         best_rows, best = np.empty(0, np.int64), np.empty(0, np.int64)
         depth = 0
         while depth < n:
             stop = min(n, depth + step)
-            at = np.where(down[None, :], n - 1 - np.arange(depth, stop)[:, None], np.arange(depth, stop)[:, None])
-            met = np.unique(self.by_dim[at, dims[None, :]])
-            met = met[~seen[met]]
+            hit = np.zeros(n, bool)     # marked, not sorted
+            hit[self.by_dim[n - stop:n - depth, highest]] = True
+            hit[self.by_dim[depth:stop, lowest]] = True
+            met = np.flatnonzero(hit & ~seen)
             seen[met] = True
-            score = self.vectors[met] @ q
-            rows, scores = np.concatenate([best_rows, met]), np.concatenate([best, score])
+            rows, scores = np.concatenate([best_rows, met]), np.concatenate([best, self.scores(met, q)])
+            if len(scores) > k:
+                least = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]    # with all ties
+                rows, scores = rows[least], scores[least]
             keep = np.lexsort((rows, -scores))[:k]      # rows are in the ids' order
             best_rows, best = rows[keep], scores[keep]
             depth, step = stop, step * 2
