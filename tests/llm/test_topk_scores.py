@@ -12,7 +12,7 @@ def brute(ids, vectors, query_id, q, k):
 def test_scores_are_exact_on_both_sides_of_two_to_the_53():
     r = np.random.default_rng(3)
     ids = r.permutation(200)
-    for scale, few in ((1, 3), (1, 500), (2 ** 24, 500), (2 ** 25, 3)):
+    for scale, few in ((1, 3), (1, 500), (2 ** 24, 30), (2 ** 25, 3)):
         v = r.integers(-few, few + 1, (200, 6)) * scale + r.integers(0, 2, (200, 6))
         part = topk.Lists(ids, v)
         for i in range(0, 200, 20):
