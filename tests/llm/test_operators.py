@@ -461,3 +461,45 @@ def test_jaccard_near_copies_of_one_text_unite(spark, monkeypatch, few, rounds):
                 if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                     root[a] = root[b] = min(root[a], root[b])
     assert got == {d: (len(sets[d]), root[d]) for d in sets}
+
+
+def test_jaccard_pairs_of_a_group_are_found_once_not_in_every_shared_shingle(spark, monkeypatch):
+    """Texts that share most of their first shingles, none linked with another."""
+    rng = np.random.default_rng(8)
+    base, rows, made, places = [f"w{x}" for x in rng.integers(0, 5000, 200)], [], [], []
+    while len(rows) < 30:
+        four = set(rng.choice(38, 4, replace=False).tolist())
+        if any(len(four & other) > 2 for other in places):      # else (196 - 25) / (196 + 25) is 0.77
+            continue
+        places.append(four)
+        rows.append((len(rows), " ".join(f"x{len(rows)}_{at}" if (at - 4) / 5 in four else w for at, w in enumerate(base))))
+    written = jaccard.stored
+
+    def counted(df):
+        out = written(df)
+        if "open" in out.columns:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, DOCS), rounds=0).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(d, d) for d in range(30)]
+    assert made and max(made) <= 30 * 29, made
+
+
+@pytest.mark.parametrize("percent", [60, 75, 90])
+def test_jaccard_linked_sets_share_so_many_of_their_first_shingles(percent):
+    rng = np.random.default_rng(percent)
+    tight = linked = 0
+    for _ in range(4000):
+        both = rng.choice(4000, rng.integers(1, 80), replace=False)
+        more = [rng.choice(4000, rng.integers(0, 25), replace=False) for _ in range(2)]
+        x, y = (np.union1d(both, m) for m in more)
+        if 100 * len(np.intersect1d(x, y)) < percent * len(np.union1d(x, y)):
+            continue
+        first = [np.sort(s)[:len(s) - -(-percent * len(s) // 100) + 1] for s in (x, y)]
+        need = int(jaccard.least_met(np.int64(len(x)), np.int64(len(y)), percent))
+        shared = len(np.intersect1d(*first))
+        assert 1 <= need <= shared
+        linked, tight = linked + 1, tight + (need > 1)
+    assert linked > 50 and tight > 10

@@ -6,11 +6,15 @@ by the hash of its set; only classes are compared.
 
 * Shingles are hashed into ``groups`` groups; the counts by group are a point.
   The sum of two points' coordinate minima bounds the overlap of their sets.
-* Points are dealt into blocks that a linked pair surely shares: with the
-  shingles in one order (by their rarest word, then hash), two sets of the
-  wanted similarity have a common shingle among the first of either. Rare
-  shingles come first, so a passage that many documents share makes no block. Of
-  blocks with the same members one is kept.
+* With the shingles in one order (by their rarest word, then hash), two sets of
+  the wanted similarity have a common shingle among the first of either. Rare
+  shingles come first, so a passage that many documents share makes no block. The
+  classes that share such a shingle have its smallest one as their hub; a block
+  holds all classes of one hub, each once, so a linked pair shares a block, and
+  near copies that share hundreds of shingles meet in a few blocks.
+* How many of its first shingles a class shares with any other (``met``) bounds a
+  pair's overlap too: what lies behind the first ones is less than the wanted
+  share of the larger set (:func:`least_met`).
 * First, each class is verified against one hub of its blocks, if their points'
   bound allows a link. Links give components, and only blocks with several
   components go on: their points form R-trees (leaves packed by size and
@@ -44,7 +48,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import byte_slices, in_filter, key_filter, rolling, ship, slices, stored, table, word_codes, word_hashes
+from touchline.llm.common import (byte_slices, give_back, in_filter, key_filter, rolling, ship, slices, stored, table, word_codes,
+                                  word_hashes)
 
 ship(__name__)
 
@@ -86,64 +91,95 @@ def class_hash(own: np.ndarray) -> int | None:
     return None if not len(own) else int(np.uint64(xxhash.xxh3_64_intdigest(own.tobytes())).view(np.int64))
 
 
+#: Rows of word counts that a task holds before it adds them up.
+HELD = 1 << 19
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(byte_slices(batches, 0), 4096):
-        _, codes, words = word_codes(b.column(0))
-        yield pa.RecordBatch.from_arrays([pc.cast(words, pa.string()), pa.array(np.bincount(codes, minlength=len(words)))],
-                                         names=["word", "n"])
+    """word, n: what a task counts is added up before it goes out."""
+    held: list[pa.RecordBatch] = []
 
+    def added() -> Iterator[pa.RecordBatch]:
+        sums = pa.Table.from_batches(held).group_by("word").aggregate([("n", "sum")])
+        yield from sums.select(["word", "n_sum"]).rename_columns(["word", "n"]).combine_chunks().to_batches(max_chunksize=1 << 16)
 
-def _points(k: int, groups: int):
-    """doc_id, n, cls, point of each document."""
+    for b in slices(byte_slices(batches, 0), 4096):
+        _, codes, words = word_codes(b.column(0))
+        held.append(pa.RecordBatch.from_arrays([pc.cast(words, pa.string()), pa.array(np.bincount(codes, minlength=len(words)), pa.int64())],
+                                               names=["word", "n"]))
+        if sum(x.num_rows for x in held) > HELD:
+            yield from added()
+            held.clear()
+    if held:
+        yield from added()
+
+
+def _points(k: int, groups: int, percent: int, ranks):
+    """doc_id, n, cls, point, first of each document; ``first``: the first
+    shingles of its set, by the rarity of their words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(byte_slices(batches, 1)):
-            n, cls, points = [], [], []
-            for own, _ in shingle_sets(b.column(1), k):
+        for b in slices(byte_slices(batches, 1, 2 << 20)):
+            n, cls, points, first = [], [], [], []
+            for own, freq in shingle_sets(b.column(1), k, ranks.value):
                 n.append(len(own))
                 cls.append(class_hash(own))
                 points.append(np.minimum(np.bincount((own >> np.uint64(40)).astype(np.int64) % groups, minlength=groups), FULL).astype(np.int16))
-            flat = pa.array(np.concatenate(points) if points else np.empty(0, np.int16))
-            at = pa.array(np.arange(0, len(points) * groups + 1, groups, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
-                                              pa.ListArray.from_arrays(at, flat)], names=["doc_id", "n", "cls", "point"])
+                probe = len(own) - -(-percent * len(own) // 100) + 1 if len(own) else 0     # n - ceil(t n) + 1
+                first.append(own[np.argsort(freq, kind="stable")[:probe]])       # own is in order already
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), lists_of(points, np.int16), lists_of(first, np.uint64, np.int64)],
+                names=["doc_id", "n", "cls", "point", "first"])
     return run
 
 
-def one_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The documents that stand for the classes, by an exact join on their ids
-    (documents of one id all stay, and so do those without an id)."""
-    reps = classes.filter("rep IS NOT NULL").select(F.col("rep").alias("doc_id"))
-    own = docs.filter("doc_id IS NOT NULL").join(reps, "doc_id", "left_semi")
-    if classes.filter("rep IS NULL").isEmpty():
-        return own
-    return own.unionAll(docs.filter("doc_id IS NULL"))
+def lists_of(rows: list[np.ndarray], kind: type, seen_as: type | None = None) -> pa.ListArray:
+    flat = np.concatenate(rows) if rows else np.empty(0, kind)
+    at = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(seen_as or kind)))
+
 
+def _laid_out(b: pa.RecordBatch, percent: int) -> pa.RecordBatch:
+    """shingle, n, cls, indexed: the first shingles of the sets in the rows (n,
+    cls, first), a row each. ``indexed``: also within the shorter prefix that
+    suffices for the smaller set of a pair."""
+    n, lists = b.column(0).to_numpy(), b.column(2)
+    at = lists.offsets.to_numpy().astype(np.int64)
+    size = np.diff(at)
+    index = n - -(-2 * percent * n // (100 + percent)) + 1       # n - ceil(2 t n / (1 + t)) + 1
+    place = np.arange(size.sum()) - np.repeat(at[:-1] - at[0], size)
+    return pa.RecordBatch.from_arrays(
+        [lists.flatten(), pa.array(np.repeat(n, size)), pa.array(np.repeat(b.column(1).to_numpy(), size)), pa.array(place < np.repeat(index, size))],
+        names=["shingle", "n", "cls", "indexed"])
 
-def _prefixes(k: int, percent: int, ranks):
-    """shingle, n, cls, indexed: the first shingles of each set, by the rarity of
-    their words. ``indexed``: also within the shorter prefix that suffices for
-    the smaller set of a pair."""
+
+def _of_classes(bits, percent: int, several: bool):
+    """Of the rows (n, cls, first) those whose class may be in the filter
+    (``several``: it may have several rows), or the others, laid out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank_of = ranks.value
-        for b in slices(byte_slices(batches, 1)):
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            for own, freq in shingle_sets(b.column(1), k, rank_of):
-                n = len(own)
-                if not n:
-                    continue
-                probe = n - -(-percent * n // 100) + 1                       # n - ceil(t n) + 1
-                index = n - -(-2 * percent * n // (100 + percent)) + 1       # n - ceil(2 t n / (1 + t)) + 1
-                first = own[np.argsort(freq, kind="stable")[:probe]]     # own is in order already
-                out[0].append(first.view(np.int64))
-                out[1].append(np.full(probe, n))
-                out[2].append(np.full(probe, class_hash(own)))
-                out[3].append(np.arange(probe) < index)
-            if out[0]:
-                cols = [np.concatenate(c) for c in out]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["shingle", "n", "cls", "indexed"])
+        for b in slices(batches):
+            b = b.filter(pa.array(in_filter(bits.value, b.column(1).to_numpy()) == several))
+            yield b if several else _laid_out(b, percent)
+    return run
+
+
+def _all_laid_out(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            yield _laid_out(b, percent)
     return run
 
 
+def first_shingles(points: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """shingle, n, cls, indexed of each class, from one of its rows. Only rows of
+    classes with several rows (and those that the fixed-size filter takes for
+    such) are shuffled for that."""
+    bits = points.sparkSession.sparkContext.broadcast(key_filter(classes.filter("rows > 1"), "cls"))
+    rows, out = points.filter(F.col("cls").isNotNull()).select("n", "cls", "first"), "shingle long, n long, cls long, indexed boolean"
+    one = (rows.mapInArrow(_of_classes(bits, percent, True), "n long, cls long, first array<bigint>")
+           .groupBy("n", "cls").agg(F.min("first").alias("first")))
+    return rows.mapInArrow(_of_classes(bits, percent, False), out).unionAll(one.mapInArrow(_all_laid_out(percent), out))
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of blocks with two classes or more, each with the block's hub (its
     first row); the rows come sorted by shingle, n, cls."""
@@ -181,6 +217,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(rows[0][keep]), pa.array(rows[1][keep]), pa.array(hub[keep]),
                                               pa.array(rows[2][keep].astype(bool))], names=names)
         carry, last_hub, pending = rows[:, -1:], int(hub[-1]), wait
+    give_back()
 
 
 def _close_enough(x: Column, y: Column, n: Column, m: Column, percent: int) -> Column:
@@ -189,6 +226,16 @@ def _close_enough(x: Column, y: Column, n: Column, m: Column, percent: int) -> C
     return (F.greatest(F.array_max(x), F.array_max(y)) >= FULL) | (bound * (100 + percent) >= F.lit(percent) * (n + m))
 
 
+def least_met(n, m, percent: int):
+    """How many of their first shingles linked sets of n and m shingles have in
+    common at least. With the shingles in order, let x be the set whose first
+    ones end earlier: common ones up to there are among the first of both, and
+    behind there x has ceil(t |x|) - 1 others. n and m: columns or arrays."""
+    over = lambda x, y: F.ceil(x / F.lit(y)) if isinstance(x, Column) else -(-x // y)
+    most = F.greatest(n, m) if isinstance(n, Column) else np.maximum(n, m)
+    return over((n + m) * percent, 100 + percent) - over(most * percent, 100) + 1
+
+
 def tree(points: np.ndarray, sizes: np.ndarray, rows: np.ndarray):
     """An R-tree of the rows: its leaves, and for each level, from the leaves to
     the root, the nodes' upper corners, least and largest sizes."""
@@ -260,9 +307,9 @@ def best_of_each(found: Iterator[tuple], comp: np.ndarray, best: int) -> Iterato
 
 def _block_pairs(percent: int, best: int):
     """comp, a, b, bound (of the similarity), open: pairs of classes of different
-    components that pass the bound. A chunk pair with at most ``FEW`` such pairs for
+    components that pass the bounds. A chunk pair with at most ``FEW`` such pairs for
     each of its rows gives them all (open is null); of a larger one, each component's
-    ``best`` are given, with the block's shingle as open; 0: all, whatever their
+    ``best`` are given, with the block's hub as open; 0: all, whatever their
     number. The rows of a chunk pair come together."""
     names = ["comp", "a", "b", "bound", "open"]
 
@@ -273,13 +320,13 @@ def _block_pairs(percent: int, best: int):
         full = (points >= FULL).any(1)
         points[full] = n[full][:, None]
         indexed = t.column(7).to_numpy(zero_copy_only=False).astype(bool)
-        chunk, lo, hi = t.column(8).to_numpy(), t.column(1)[0].as_py(), t.column(2)[0].as_py()
+        met, chunk, lo, hi = t.column(9).to_numpy(), t.column(8).to_numpy(), t.column(1)[0].as_py(), t.column(2)[0].as_py()
         left = np.nonzero(chunk == lo)[0]
         right = left if lo == hi else np.nonzero(chunk == hi)[0]
 
         def passing() -> Iterator[tuple]:
             for i, j, bound in leaf_pairs(points, n, left, right, percent):
-                ok = (comp[i] != comp[j]) & (indexed[i] | indexed[j])
+                ok = (comp[i] != comp[j]) & (indexed[i] | indexed[j]) & (np.minimum(met[i], met[j]) >= least_met(n[i], n[j], percent))
                 if ok.any():
                     i, j, bound = i[ok], j[ok], np.minimum(bound[ok], np.minimum(n[i[ok]], n[j[ok]]))
                     yield i, j, bound / (n[i] + n[j] - bound)
@@ -319,6 +366,7 @@ def _block_pairs(percent: int, best: int):
                 key = own
         if held:
             yield from solve(held)
+        give_back()
     return run
 
 
@@ -329,6 +377,17 @@ def _kept(b: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
     return b.filter(pa.array(own | ids.is_null().to_numpy(zero_copy_only=False)))
 
 
+def kept_texts(docs: DataFrame, classes: DataFrame, some: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id may stand for one of ``some`` classes, or
+    is null; written, so that later reads are of them alone."""
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(classes.join(some, "cls", "left_semi").filter("rep IS NOT NULL"), "rep"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(byte_slices(batches, 1)):
+            yield _kept(b, bits.value)
+    return stored(docs.mapInArrow(run, docs.schema))
+
+
 def _sets(k: int, bits, short: bool):
     """cls, elements of the documents that the filter lets pass; ``short``: of
     each element 16 bits."""
@@ -417,66 +476,66 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, groups: int
            .orderBy(F.col("n").desc(), "word").limit(frequent).toArrow())
     ranks = spark.sparkContext.broadcast((pc.cast(top["word"], pa.large_string()).combine_chunks(), top["n"].to_numpy().astype(np.int64)))
 
-    points = stored(docs.mapInArrow(_points(k, groups), "doc_id long, n long, cls long, point array<smallint>"))
-    classes = stored(points.filter(F.col("cls").isNotNull()).groupBy("cls", "n").agg(F.min("doc_id").alias("rep")))
-    prefixes = one_each(docs, classes).mapInArrow(_prefixes(k, percent, ranks), "shingle long, n long, cls long, indexed boolean")
+    points = stored(docs.mapInArrow(_points(k, groups, percent, ranks), "doc_id long, n long, cls long, point array<smallint>, first array<bigint>"))
+    classes = stored(points.filter(F.col("cls").isNotNull()).groupBy("cls", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    every_block = stored(prefixes.repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "cls")
-                         .mapInArrow(_shared, "shingle long, cls long, hub long, indexed boolean"))
-    # of blocks with the same members (and the same ones indexed) one is kept, with their number
-    member = lambda seed: F.bit_xor(F.xxhash64("cls", "indexed", F.lit(seed)))
-    kept = (every_block.groupBy("shingle").agg(member(1).alias("x"), member(2).alias("y"), F.count(F.lit(1)).alias("members"))
-            .groupBy("x", "y", "members").agg(F.min("shingle").alias("shingle"), F.count(F.lit(1)).alias("same"))
-            .select("shingle", "members", "same"))
-    blocks = stored(every_block.join(kept, "shingle"))
-
-    # one hub for each class: of those of a fitting size, the one with most common blocks
+    # a row for each class and hub, with the number of shingles for which the class has that hub
+    blocks = stored(first_shingles(points, classes, percent).repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "cls")
+                    .mapInArrow(_shared, "shingle long, cls long, hub long, indexed boolean")
+                    .groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("common"), F.max("indexed").alias("indexed")))
     sizes = classes.select("cls", "n")
-    hubs = classes.select(F.col("cls").alias("hub"), F.col("n").alias("m"))
-    tried = (blocks.filter("cls <> hub").groupBy("cls", "hub").agg(F.sum("same").alias("common")).join(sizes, "cls").join(hubs, "hub")
-             .filter(F.greatest("n", "m") * percent <= F.least("n", "m") * 100)
-             .groupBy("cls").agg(F.max(F.struct("common", "hub"))["hub"].alias("hub")))
+    shared = stored(blocks.groupBy("cls").agg(F.sum("common").alias("met")).join(sizes, "cls"))
+    near = stored(points.select("cls", "point").join(shared.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min("point").alias("point")))
+
+    # one hub for each class: of those of a fitting size, the one with most common shingles
+    hubs = shared.select(F.col("cls").alias("hub"), F.col("n").alias("m"), F.col("met").alias("hub_met"))
+    tried = (blocks.filter("cls <> hub").join(shared, "cls").join(hubs, "hub")
+             .filter((F.greatest("n", "m") * percent <= F.least("n", "m") * 100)
+                     & (F.least("met", "hub_met") >= least_met(F.col("n"), F.col("m"), percent)))
+             .groupBy("cls").agg(F.max(F.struct("common", "hub", "n", "m")).alias("best")).select("cls", "best.hub", "best.n", "best.m"))
     # and of those pairs, the ones that their points' bound allows
-    tried = stored(tried)
-    ids = tried.select("cls").unionAll(tried.select("hub")).distinct()
-    near = points.select("cls", "n", "point").join(ids, "cls", "left_semi").groupBy("cls", "n").agg(F.min("point").alias("point"))
-    tried = (tried.join(near, "cls").join(near.select(F.col("cls").alias("hub"), F.col("n").alias("m"), F.col("point").alias("other")), "hub")
+    tried = (stored(tried).join(near, "cls").join(near.select(F.col("cls").alias("hub"), F.col("point").alias("other")), "hub")
              .filter(_close_enough(F.col("point"), F.col("other"), F.col("n"), F.col("m"), percent)))
     links = verify(stored(tried.select(F.col("hub").alias("a"), F.col("cls").alias("b"))), docs, classes, k, percent)
     first = components(links)
 
     def candidates(rows: DataFrame, best: int) -> DataFrame:
         """comp, a, b, bound of the pairs that the blocks' trees find."""
-        # points of the classes that are left, one row each
-        used = (points.select("cls", "point").join(rows.select("cls").distinct(), "cls", "left_semi")
-                .groupBy("cls").agg(F.min("point").alias("point")))
-        rows = rows.join(used, "cls")
+        rows = rows.join(near, "cls")
         small = rows.filter(F.col("members") <= chunk).withColumn("chunk", F.lit(0)).withColumn("chunks", F.lit(1))
         big = rows.filter(F.col("members") > chunk).withColumn("chunks", F.ceil(F.col("members") / chunk).cast("int"))
         big = big.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
         spread = small.unionByName(big).select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
-        ready = (spread.select("shingle", F.least("chunk", "with").alias("lo"), F.greatest("chunk", "with").alias("hi"),
-                               "cls", "n", "comp", "point", "indexed", "chunk")
-                 .repartition(parts, "shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi"))
+        ready = (spread.select("hub", F.least("chunk", "with").alias("lo"), F.greatest("chunk", "with").alias("hi"),
+                               "cls", "n", "comp", "point", "indexed", "chunk", "met")
+                 .repartition(parts, "hub", "lo", "hi").sortWithinPartitions("hub", "lo", "hi"))
         return ready.mapInArrow(_block_pairs(percent, best), "comp long, a long, b long, bound double, open long")
 
     found, tested = first, None
+    blocks = blocks.select("hub", "cls", "indexed")
     for best in range(1, rounds + 2):
-        known = sizes.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", F.coalesce("root", "cls").alias("comp"))
-        rows = blocks.select("shingle", "cls", "indexed", "members").join(known, "cls")
-        mixed = rows.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("shingle")
-        blocks = stored(rows.join(mixed, "shingle"))      # a block that lies in one component is done with
+        known = shared.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", "met", F.coalesce("root", "cls").alias("comp"))
+        rows = blocks.select("hub", "cls", "indexed").join(known, "cls")
+        mixed = (rows.groupBy("hub").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("members"))
+                 .filter("x <> y").select("hub", "members"))
+        blocks = stored(rows.join(mixed, "hub"))      # a block that lies in one component is done with
         if blocks.isEmpty():
             break
+        if best > 1:      # what is left is a small part of the classes
+            left = blocks.select("cls").distinct()
+            near = stored(near.join(left, "cls", "left_semi"))
+            docs = kept_texts(docs, classes, left) if best == 2 else docs
         last = best > rounds
-        pairs = stored(candidates(blocks, 0 if last else best))
-        blocks = blocks.join(pairs.filter("open IS NOT NULL").select(F.col("open").alias("shingle")).distinct(), "shingle", "left_semi")
-        sure = pairs.filter("open IS NULL").select("a", "b")
+        pairs = stored(candidates(blocks, 0 if last else best).distinct())
+        blocks = blocks.join(pairs.filter("open IS NOT NULL").select(F.col("open").alias("hub")).distinct(), "hub", "left_semi")
+        sure = pairs.filter("open IS NULL").select("a", "b").distinct()
+        some = pairs.filter("open IS NOT NULL").select("comp", "a", "b", "bound").distinct()
         if tested is not None:
-            sure, pairs = (x.join(tested, ["a", "b"], "left_anti") for x in (sure, pairs))
-        some = (pairs.filter("open IS NOT NULL").groupBy("comp").agg(F.max(F.struct("bound", "a", "b")).alias("p"))
-                .select("p.a", "p.b"))
+            sure, some = (x.join(tested, ["a", "b"], "left_anti") for x in (sure, some))
+        some = some.groupBy("comp").agg(F.max(F.struct("bound", "a", "b")).alias("p")).select("p.a", "p.b")
         pairs = stored(sure.unionAll(some).distinct())
+        if pairs.isEmpty():
+            continue
         tested = pairs if tested is None else tested.unionAll(pairs)
         likely = verify(pairs, docs, classes, k, percent, short=True)
         links = stored(links.unionAll(verify(likely, docs, classes, k, percent)))
