@@ -3,6 +3,8 @@
 Every stage takes (spark, docs, sf_dir), works on all rows that its predecessor
 kept, and returns a DataFrame that is written as Parquet and read again as the
 next stage's ``docs``. All but the last return the columns of ``documents``.
+Stages that hand whole texts to Python write their result themselves
+(:func:`stored`), in small batches: executors keep the memory that large ones took.
 
 Cases: null and empty texts pass every filter (they have no toxic word, no
 shingle, no benchmark passage and no secret); of repeated rows and of any group
@@ -27,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the positive-unlabelled classifier scores below 0.5."""
     model = toxicity.train_on_folds(spark, docs, sf_dir)
     scored = toxicity.score(docs.withColumnsRenamed({"score": "__score__"}), model)
-    return scored.filter(F.col("score") < 0.5).drop("score").withColumnsRenamed({"__score__": "score"}).select(*docs.columns)
+    return stored(scored.filter(F.col("score") < 0.5).drop("score").withColumnsRenamed({"__score__": "score"}).select(*docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,10 +67,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text")
-    return bpe.decode(ids, path).select(
+    ids = stored(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text"))
+    return stored(bpe.decode(ids, path).select(
         "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256")))
 
 
 STAGES = [

@@ -46,3 +46,24 @@ def test_run_ends_in_the_ids_of_the_kept_texts(spark):
     out = P.run(spark, SMALL).collect()
     assert 0 < len(out) < spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert all(r.n_tokens == len(np.frombuffer(r.ids, "<u4")) for r in out)
+
+
+def test_python_workers_are_handed_whole_texts_in_small_batches(spark, monkeypatch):
+    """The stages that score and encode write in batches of the shared size,
+    whatever their result is written with."""
+    from touchline.llm import common
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    small = common.small_batches
+
+    def watched(session):
+        seen.append(True)
+        return small(session)
+
+    monkeypatch.setattr(common, "small_batches", watched)
+    for stage in (P.drop_toxic, P.encode):
+        seen.clear()
+        out = stage(spark, docs, SMALL)
+        assert seen and "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+    assert int(spark.conf.get(name)) > common.BATCH_ROWS

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import in_filter, key_filter, rolling, ship, slices, stored, table, word_codes
+from touchline.llm.common import byte_slices, in_filter, key_filter, rolling, ship, slices, stored, table, word_codes
 
 ship(__name__)
 
@@ -73,7 +73,7 @@ def _stretches(bits, lengths: list[int]):
     """row, doc_id, text_hash, stretches (their words joined by spaces), starts,
     seeds of each document that a seed may hit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(byte_slices(batches, 3, 1 << 20)):
             offsets, codes, words, hashes = normal_words(b.column(3))
             total = len(codes)
             flat = hashes[codes] if total else hashes[:0]

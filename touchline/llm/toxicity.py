@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.llm.common import crc_mod, ship, slices, table, word_codes
+from touchline.llm.common import byte_slices, crc_mod, ship, slices, small_batches, table, word_codes
 
 ship(__name__)
 
 #: Length of the word beginnings that are features besides the word.
 PREFIXES = (4, 5, 6, 7)
+#: Bytes of text that a worker lays out as features at once.
+SLICE = 1 << 20
 STRIP = ".,;:!?\"'()[]{}|*#$%&@<>=+-_/\\~`^«»„“”’…"
 
 
@@ -110,7 +112,7 @@ def text_features(texts: pa.Array, keys: np.ndarray | None = None) -> tuple[np.n
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, positive, features of each text."""
-    for b in slices(batches):
+    for b in slices(byte_slices(batches, 2, SLICE)):
         doc, feat = text_features(b.column(2))
         offsets = np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
@@ -188,8 +190,9 @@ def train(docs: DataFrame, labelled: DataFrame, settings: Settings | None = None
     sample = marked(labelled.filter("toxic = 1").orderBy(*by_hash(s.seed)).limit(s.max_positive), True).unionAll(
         marked(labelled.orderBy(*by_hash(s.seed + 1)).limit(s.max_unlabelled), False))
     texts = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "positive", "text")
-    rows = (texts.mapInArrow(_features, "doc_id long, positive boolean, features array<int>")
-            .groupBy("doc_id", "positive").agg(F.min("features").alias("features")).toArrow())
+    with small_batches(docs.sparkSession):
+        rows = (texts.mapInArrow(_features, "doc_id long, positive boolean, features array<int>")
+                .groupBy("doc_id", "positive").agg(F.min("features").alias("features")).toArrow())
     order = np.lexsort((rows["doc_id"].to_numpy(),))
     lists = rows["features"].combine_chunks()
     at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint32)
@@ -206,7 +209,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, keys, weights = sent.value
-        for b in slices(batches):
+        for b in slices(byte_slices(batches, at, SLICE)):
             doc, place = text_features(b.column(at), keys)
             z = (np.bincount(doc, weights[place], b.num_rows) if len(doc) else np.zeros(b.num_rows)) + bias
             yield pa.RecordBatch.from_arrays(
