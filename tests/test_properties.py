@@ -154,3 +154,55 @@ def test_month_index_matches_duckdb_date_diff(spark, pairs):
     con = duckdb.connect()
     want = [con.execute("SELECT date_diff('month', ?::DATE, ?::DATE)", [a, b]).fetchone()[0] for a, b in pairs]
     assert got == want
+
+
+@SETTINGS
+@given(windows, points, st.sampled_from([1, 2, 1000]))
+def test_interval_join_in_parts_matches_brute_force(spark, ws, ps, rows):
+    """Without ``salt_buckets`` crowded buckets are dealt over parts of both sides; equal
+    windows and equal points stay as many as they are."""
+    ws, ps = ws + ws[:3], ps + ps[:3]
+    wdf = spark.createDataFrame([(f"w{i % 9}", k, lo, hi) for i, (k, lo, hi) in enumerate(ws)],
+                                "wid string, wkey string, lo date, hi date")
+    pdf = spark.createDataFrame([(f"p{i % 9}", k, d) for i, (k, d) in enumerate(ps)],
+                                "pid string, pkey string, d date")
+    expected = sorted((f"p{i % 9}", f"w{j % 9}") for i, (pk, d) in enumerate(ps)
+                      for j, (wk, lo, hi) in enumerate(ws) if pk == wk and lo <= d <= hi)
+    for bucketed in (False, True):
+        out = interval_join(pdf, wdf, point_keys=["pkey"], window_keys=["wkey"], point="d", lo="lo", hi="hi",
+                            bucketed=bucketed, max_broadcast_rows=0, salt_on="pid", rows_per_part=rows)
+        assert sorted((r["pid"], r["wid"]) for r in out.select("pid", "wid").collect()) == expected, bucketed
+
+
+def _shuffled_rows(df) -> list[int]:
+    """Rows written by each exchange of an executed plan."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                found.append(node.metrics().apply("shuffleRecordsWritten").value())
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_windows_that_fit_a_part_are_not_copied(spark):
+    """Beyond the broadcast bound, no exchange carries more rows than there are windows (each
+    in one month here): the salted join sent 16 copies of each."""
+    wdf = spark.createDataFrame([(f"w{i}", "a", BASE + dt.timedelta(days=11 + i % 20), BASE + dt.timedelta(days=11 + i % 20))
+                                 for i in range(400)], "wid string, wkey string, lo date, hi date")
+    pdf = spark.createDataFrame([(f"p{i}", "a", BASE + dt.timedelta(days=11 + i % 20)) for i in range(100)],
+                                "pid string, pkey string, d date")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = interval_join(pdf, wdf, point_keys=["pkey"], window_keys=["wkey"], point="d", lo="lo", hi="hi",
+                            max_broadcast_rows=0, salt_on="pid")
+        assert len(out.collect()) == 100 * 20
+        assert max(_shuffled_rows(out)) == 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
