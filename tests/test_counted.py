@@ -4,11 +4,12 @@ import random
 from pyspark.sql import functions as F
 
 from touchline.functions import exact
-from touchline.operators.counted import repeated
+from touchline.operators.counted import dealt, repeated
 from touchline.operators import expectations as ex
 from touchline.plans import analytics, intermediate, marts, model_tests
 from touchline.plans.warehouse import Warehouse
-from util import campaign, raw_tables, revenue, user
+from touchline.registry import QUERIES
+from util import SF_CHECK, campaign, raw_tables, revenue, user
 
 CHANNELS, COMPANIES = ["youtube", "blog"], ["CTC-001", "CTC-002"]
 
@@ -83,6 +84,17 @@ def test_repeated_beyond_one_step(spark):
     assert total.first().t == 20000.5
 
 
+def test_rows_of_a_shared_tag_are_written_by_many_tasks(spark):
+    """Few users stand for most rows of the dirtied journey; the tasks that read them used to write them all."""
+    df = QUERIES["dirty_int_user_journey"](spark, SF_CHECK)
+    tasks = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(tasks) >= 8 and max(tasks) < sum(tasks) / 4
+    # one row's copies as well
+    one = dealt(spark.createDataFrame([("a", 1), ("b", 3), ("c", 200_001)], "k string, __times long"))
+    assert {r.k: r["count"] for r in one.groupBy("k").count().collect()} == {"a": 1, "b": 3, "c": 200_001}
+    assert max(r["count"] for r in one.groupBy(F.spark_partition_id().alias("p")).count().collect()) < 200_001 / 3
+
+
 def test_credit_of_no_rows(spark):
     w = Warehouse(spark, raw_tables(spark, campaigns=[campaign("C1", "blog", "CTC-001", 5, "2024-01-01", "2024-02-01", "t")]))
     assert [r.attributed_users for r in w.fct_campaign_roi.collect()] == [0]
